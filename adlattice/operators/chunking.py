@@ -128,7 +128,6 @@ def text_chunks(df: DataFrame, key: str, text: str, rule: ChunkRule = ChunkRule(
         .select(key, *keep, "__clean", spaced.alias("__spaced"))
         .select(key, *keep, F.posexplode(chunks).alias("chunk_order", "chunk_text"))
     )
-    length = F.size(words_of("chunk_text"))
     return exploded.select(
         F.xxhash64(key, F.lit(source), "chunk_order").alias("chunk_id"),
         key,
@@ -136,8 +135,10 @@ def text_chunks(df: DataFrame, key: str, text: str, rule: ChunkRule = ChunkRule(
         F.lit(source).alias("chunk_source"),
         "chunk_order",
         "chunk_text",
-        length.alias("chunk_length"),
-        F.when(F.col("chunk_order") > 0, F.least(F.lit(rule.overlap), length)).otherwise(F.lit(0)).alias("overlap_words"),
+        F.size(words_of("chunk_text")).alias("chunk_length"),
+    ).withColumn(
+        "overlap_words",
+        F.when(F.col("chunk_order") > 0, F.least(F.lit(rule.overlap), F.col("chunk_length"))).otherwise(F.lit(0)),
     )
 
 
