@@ -41,7 +41,7 @@ class HashingEncoder:
     def __call__(self, texts: list[str]) -> np.ndarray:
         rows, slots, known = [], [], self._slots
         for row, text in enumerate(texts):
-            tokens = text.split()
+            tokens = text.lower().split()
             rows += [row] * len(tokens)
             slots += [known[t] if t in known else self._slot(t) for t in tokens]
         width = 2 * self.dims
