@@ -88,7 +88,8 @@ REFERENCE_TEXTS = {
 SUPPORT_THRESHOLD = 0.6
 NEUTRAL = 0.5
 
-Phrases = list[tuple[str, float]]
+# Weights are summed as whole multiples of this, so a total does not depend on the order of the rows.
+WEIGHT_UNIT = 10_000
 
 
 def lexicon_rows(lexicon: dict = LEXICON) -> list[tuple[str, str, str, float]]:
@@ -106,10 +107,13 @@ def known_aspects(names: list[str] | None) -> list[str]:
     return ASPECTS if not names else [n for n in names if n in ASPECTS]
 
 
-def tagged_phrases(aspect: str, lexicon: dict) -> list[tuple[str, str, float]]:
-    """(phrase, tag, weight) of one aspect; negative phrases are tagged '(-) '."""
-    rows = [row for row in lexicon_rows(lexicon) if row[0] == aspect]
-    return [(phrase, f"(-) {phrase}" if polarity == "negative" else phrase, weight) for _, polarity, phrase, weight in rows]
+def tagged_phrases(aspect: str, lexicon: dict) -> list[tuple[str, str, int]]:
+    """(phrase, tag, weight in units) of one aspect; negative phrases are tagged '(-) '."""
+    return [
+        (phrase, f"(-) {phrase}" if polarity == "negative" else phrase, round(weight * WEIGHT_UNIT))
+        for name, polarity, phrase, weight in lexicon_rows(lexicon)
+        if name == aspect
+    ]
 
 
 def reference_matrix(encode: Encoder, texts: dict[str, list[str]] = REFERENCE_TEXTS) -> tuple[list[str], np.ndarray]:
@@ -170,10 +174,10 @@ def keyword_scores(chunks: DataFrame, key: str, text: str = "chunk_text", lexico
     found = chunks.select(key, *[lowered.contains(p).cast("int").alias(c) for p, c in column.items()])
     sums = [F.count(F.lit(1)).alias("chunks")]
     for i, rows in enumerate(phrases.values()):
-        weight = reduce(add, [F.col(column[p]) * w for p, _, w in rows], F.lit(0.0))
+        weight = reduce(add, [F.col(column[p]) * w for p, _, w in rows], F.lit(0))
         count = reduce(add, [F.col(column[p]) for p, _, _ in rows], F.lit(0))
         sums += [
-            F.sum(weight).alias(f"total_{i}"),
+            (F.sum(weight) / float(WEIGHT_UNIT)).alias(f"total_{i}"),
             F.sum(count).alias(f"hits_{i}"),
             F.count_if(count > 0).alias(f"keyword_chunks_{i}"),
         ]
@@ -289,7 +293,7 @@ def score_texts(df: DataFrame, key: str, text: str, make_encoder: Callable[[], E
     )
 
 
-def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, str, float]],
+def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, str, int]],
                   has_lexicon: bool, cosines: Column | None) -> Column:
     """Keyword and similarity parts of one aspect over the ``__chunks`` array of a row."""
     ids = lambda positions: F.transform(positions, lambda i: F.xxhash64(F.col(key), F.lit(source), i))
@@ -301,12 +305,12 @@ def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, s
         per_chunk = F.transform("__chunks", lambda c: F.filter(entries, lambda e: F.contains(c, e["phrase"])))
         # One-element array: binds the hits once for the four values taken from them.
         values = F.transform(F.array(per_chunk), lambda found: F.struct(
-            F.aggregate(F.flatten(found), F.lit(0.0), lambda s, e: s + e["weight"]).alias("total"),
+            F.aggregate(F.flatten(found), F.lit(0), lambda s, e: s + e["weight"]).alias("total"),
             F.transform(F.flatten(found), lambda e: e["tag"]).alias("keywords"),
             F.array_compact(F.transform(found, lambda f, i: F.when(F.size(f) > 0, i))).alias("at"),
         ))
         hits = F.get(values, F.lit(0))
-        keyword = keyword_score(hits["total"], F.size(hits["keywords"]), F.size("__chunks"))
+        keyword = keyword_score(hits["total"] / float(WEIGHT_UNIT), F.size(hits["keywords"]), F.size("__chunks"))
         keywords, keyword_chunks = hits["keywords"], ids(hits["at"])
     else:
         keyword = F.lit(NEUTRAL if has_lexicon else 0.0)
