@@ -1,14 +1,17 @@
 """Reading HTML with regular expressions, inside the JVM.
 
-Patterns are linear: no nested repetition, and loops over tags and quotes are possessive.
+Patterns are linear: no nested repetition, and loops over tags and quotes are possessive. The
+functions take and give SQL text (see ``sql``): a page needs many small expressions with lambdas, and
+one parsed text per field is far cheaper to set up than hundreds of calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlattice.functions.scalars import as_column, non_empty, strip
+from adlattice.functions.scalars import BLANK_CHARS
+
+sql = F.expr
 
 # Named entities decoded besides numeric ones (fixed values). The ampersand must come last.
 ENTITIES = {
@@ -24,62 +27,63 @@ HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
 TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
-def numeric_entities(text: Column) -> Column:
-    """Decode &#229; and &#xe5; forms."""
-    code = r"&#(x?[0-9a-fA-F]{1,6});"
-    between = F.split(text, r"&#x?[0-9a-fA-F]{1,6};")
-    codes = F.regexp_extract_all(text, F.lit(code), F.lit(1))
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def character(value: Column) -> Column:
-        digits = F.lower(value)
-        hexed = F.when(digits.startswith("x"), F.substring(digits, 2, 6)).otherwise(
-            F.lower(F.conv(F.regexp_replace(digits, "[^0-9]", ""), 10, 16))
-        )
-        return F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")
 
-    rest = F.slice(between, 2, F.size(between))
-    pairs = F.zip_with(codes, rest, lambda c, t: F.concat(character(c), F.coalesce(t, F.lit(""))))
-    return F.when(text.contains("&#"), F.concat(F.get(between, F.lit(0)), F.array_join(pairs, ""))).otherwise(text)
+_TRIMMED = f"btrim({{}}, {quoted(BLANK_CHARS)})"
+_PAIRS = ", ".join(f"struct({quoted(f'&{n};')} AS name, {quoted(c)} AS char)" for n, c in ENTITIES.items())
 
 
-def quoted(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def trimmed(text: str) -> str:
+    return _TRIMMED.format(text)
+
+
+def _numeric_entities(name: str) -> str:
+    """Decode &#229; and &#xe5; in the text of a variable."""
+    between = f"split({name}, '&#x?[0-9a-fA-F]{{1,6}};')"
+    codes = f"regexp_extract_all({name}, '&#(x?[0-9a-fA-F]{{1,6}});', 1)"
+    digits = "if(startswith(c, 'x'), substring(c, 2, 6), conv(c, 10, 16))"
+    character = f"decode(unhex(lpad({digits}, 8, '0')), 'UTF-32')"
+    rest = f"zip_with({codes}, slice({between}, 2, size({between})), (c, r) -> concat({character}, coalesce(r, '')))"
+    return f"if(contains({name}, '&#'), concat(get({between}, 0), array_join({rest}, '')), {name})"
 
 
-def once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _decoded(name: str) -> str:
+    """Decode entities in the text of a variable, only if it has any."""
+    named = f"aggregate(array({_PAIRS}), {_numeric_entities(name)}, (done, e) -> replace(done, e.name, e.char))"
+    return f"if(contains({name}, '&'), {named}, {name})"
 
 
-def decode_entities(text: Column | str) -> Column:
-    pairs = ", ".join(f"struct({quoted(f'&{n};')} AS name, {quoted(c)} AS char)" for n, c in ENTITIES.items())
-    names = F.expr(f"array({pairs})")
+def once(value: str, name: str, use: str) -> str:
+    """``use`` with the variable ``name`` bound to ``value``, so that the value is computed once."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
-    def decoded(t: Column) -> Column:
-        named = F.aggregate(names, numeric_entities(t), lambda done, e: F.replace(done, e["name"], e["char"]))
-        return F.when(t.contains("&"), named).otherwise(t)
 
-    return once(as_column(text), decoded)
+def decode_entities(text: str) -> str:
+    return once(text, "d", _decoded("d"))
 
 
-def without_hidden(html: Column | str) -> Column:
-    """HTML without comments, scripts and styles."""
-    return F.regexp_replace(as_column(html), HIDDEN, "")
+def visible_text(html: str, separator: str = " ") -> str:
+    """Text pieces between tags, each trimmed, empty ones dropped, joined by ``separator``.
 
+    Comments, scripts and styles are left out.
+    """
+    pieces = f"split(regexp_replace({html}, {quoted(HIDDEN)}, ''), '<[^>]*>')"
+    texts = f"transform({pieces}, p -> {trimmed(_decoded('p'))})"
+    return f"array_join(filter({texts}, t -> t != ''), {quoted(separator)})"
 
-def visible_text(html: Column | str, separator: str = " ") -> Column:
-    """Text pieces between tags, each trimmed, empty ones dropped, joined by ``separator``."""
-    pieces = F.split(without_hidden(html), "<[^>]*>")
-    texts = F.transform(pieces, lambda p: strip(decode_entities(p)))
-    return F.array_join(F.filter(texts, lambda t: t != ""), separator)
 
+def non_empty_sql(text: str) -> str:
+    return f"nullif({text}, '')"
 
-def attribute(tag: Column | str, name: str) -> Column:
+
+def attribute(tag: str, name: str) -> str:
     """Decoded value of an attribute in the text of an opening tag, NULL if absent or empty."""
-    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = once(as_column(tag), lambda t: F.concat(*[F.regexp_extract(t, pattern, g) for g in (1, 2, 3)]))
-    return decode_entities(non_empty(value))
+    pattern = quoted(rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    parts = ", ".join(f"regexp_extract(t, {pattern}, {g})" for g in (1, 2, 3))
+    return decode_entities(non_empty_sql(once(tag, "t", f"concat({parts})")))
 
 
 def has_classes(*classes: str) -> str:
@@ -102,47 +106,41 @@ def element(name: str, condition: str = "") -> str:
     return rf"(?is)<{name}\b{condition}[^>]*>(.*?)</{name}\s*>"
 
 
-def first_match(html: Column | str, pattern: str, group: int = 0) -> Column:
-    return non_empty(F.regexp_extract(as_column(html), pattern, group))
+def first_match(html: str, pattern: str, group: int = 0) -> str:
+    return non_empty_sql(f"regexp_extract({html}, {quoted(pattern)}, {group})")
 
 
-def all_matches(html: Column | str, pattern: str, group: int = 0) -> Column:
-    return F.regexp_extract_all(as_column(html), F.lit(pattern), F.lit(group))
+def all_matches(html: str, pattern: str, group: int = 0) -> str:
+    return f"regexp_extract_all({html}, {quoted(pattern)}, {group})"
 
 
-def texts_of(html: Column | str, pattern: str, group: int = 1, separator: str = " ") -> Column:
+def texts_of(html: str, pattern: str, group: int = 1, separator: str = " ") -> str:
     """Visible texts of all matches, empty ones dropped."""
-    return F.filter(F.transform(all_matches(html, pattern, group), lambda e: visible_text(e, separator)), lambda t: t != "")
+    return f"filter(transform({all_matches(html, pattern, group)}, m -> {visible_text('m', separator)}), t -> t != '')"
 
 
-def label_value_pairs(html: Column | str, pattern: str, label: int, value: int) -> Column:
+def label_value_pairs(html: str, pattern: str, label: int, value: int) -> str:
     """Array of (label, value): label in lower case, both as tight visible text, empty ones dropped."""
-    pairs = F.zip_with(
-        all_matches(html, pattern, label),
-        all_matches(html, pattern, value),
-        lambda a, b: F.struct(F.lower(visible_text(a, "")).alias("label"), visible_text(b, "").alias("value")),
-    )
-    return F.filter(pairs, lambda p: (p["label"] != "") & (p["value"] != ""))
+    pair = f"struct(lower({visible_text('l', '')}) AS label, {visible_text('v', '')} AS value)"
+    pairs = f"zip_with({all_matches(html, pattern, label)}, {all_matches(html, pattern, value)}, (l, v) -> {pair})"
+    return f"filter({pairs}, x -> x.label != '' AND x.value != '')"
 
 
-def last_value(pairs: str, label: str) -> Column:
+def last_value(pairs: str, label: str) -> str:
     """Value of the last pair with this label in a column of label and value pairs."""
-    return F.expr(f"try_element_at(filter({pairs}, p -> p.label = {quoted(label)}), -1).value")
+    return f"try_element_at(filter({pairs}, x -> x.label = {quoted(label)}), -1).value"
 
 
-def headed_blocks(html: Column | str) -> Column:
+def headed_blocks(html: str) -> str:
     """Array of (heading, body, in_section): each h2 with the HTML after it, up to the next h2 or section end."""
-    pieces = F.filter(F.split(as_column(html), r"(?i)(?=<h2\b)"), lambda p: F.lower(F.substring(p, 1, 3)) == "<h2")
-    return F.transform(
-        pieces,
-        lambda p: F.struct(
-            visible_text(F.regexp_extract(p, r"(?is)^<h2\b[^>]*>(.*?)</h2\s*>", 1), "").alias("heading"),
-            F.regexp_extract(F.get(F.split(p, r"(?i)</section\s*>", 2), F.lit(0)), r"(?is)^<h2\b[^>]*>.*?</h2\s*>(.*)$", 1).alias("body"),
-            p.rlike(r"(?i)</section\s*>").alias("in_section"),
-        ),
-    )
-
-
-def block_under(blocks: Column | str, heading: str) -> Column:
+    heading = visible_text(f"regexp_extract(b, {quoted(r'(?is)^<h2[^>]*>(.*?)</h2[ ]*>')}, 1)", "")
+    inside = f"get(split(b, {quoted(r'(?i)</section[ ]*>')}, 2), 0)"
+    body = f"regexp_extract({inside}, {quoted(r'(?is)^<h2[^>]*>.*?</h2[ ]*>(.*)$')}, 1)"
+    closed = f"b RLIKE {quoted(r'(?i)</section[ ]*>')}"
+    pieces = f"filter(split({html}, {quoted(r'(?i)(?=<h2[ >])')}), b -> lower(left(b, 3)) = '<h2')"
+    return f"transform({pieces}, b -> struct({heading} AS heading, {body} AS body, {closed} AS in_section))"
+
+
+def block_under(blocks: str, heading: str) -> str:
     """Body under the first heading that reads ``heading``."""
-    return F.get(F.filter(as_column(blocks), lambda b: F.lower(b["heading"]) == heading), F.lit(0))["body"]
+    return f"get(filter({blocks}, x -> lower(x.heading) = {quoted(heading)}), 0).body"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adlattice.functions.html import (
     TAG_REST, all_matches, attribute, block_under, element, first_match, has_attribute, has_classes, headed_blocks,
-    label_value_pairs, last_value, open_tag, texts_of, visible_text,
+    label_value_pairs, last_value, once, open_tag, quoted, sql, texts_of, trimmed, visible_text,
 )
 from adlattice.functions.scalars import (
     all_digits, digits_int, localised_date, non_empty, parsed_timestamp, strip, url_tail_id,
@@ -87,37 +87,38 @@ Pack = dict[str, Column]
 # -- props: JSON in an attribute -------------------------------------------------------------------
 
 
-def props_texts(html: Column | str, has_root: Column) -> Column:
+# Any element with props, and the root element.
+PROPS_TAG = rf"""(?is)<[a-z][a-z0-9]*\s(?=[^<]*?data-props\s*=){TAG_REST}"""
+ROOT_MARK = rf"""(?is)\sid\s*=\s*["']{ROOT_ID}["']"""
+ROOT_TAG = rf"""(?is)<[a-z][a-z0-9]*\s(?:[^<]*?\s)?id\s*=\s*["']{ROOT_ID}["']"""
+
+
+def props_texts(html: str, has_root: str) -> str:
     """Props of the root element if the page has one, else of all elements that carry any."""
-    tags = all_matches(html, rf"""(?is)<[a-z][a-z0-9]*\s(?=[^<]*?data-props\s*=){TAG_REST}""")
-    carrying = F.filter(tags, lambda t: attribute(t, "data-props").isNotNull())
-    of_root = F.filter(carrying, lambda t: t.rlike(rf"""(?is)\sid\s*=\s*["']{ROOT_ID}["']"""))
-    return F.transform(F.when(has_root, of_root).otherwise(carrying), lambda t: attribute(t, "data-props"))
+    carrying = f"filter({all_matches(html, PROPS_TAG)}, m -> {attribute('m', 'data-props')} IS NOT NULL)"
+    chosen = f"filter({carrying}, m -> NOT {has_root} OR m RLIKE {quoted(ROOT_MARK)})"
+    return f"transform({chosen}, m -> {attribute('m', 'data-props')})"
 
 
-def props_root(texts: Column, has_root: Column) -> Column:
+def props_root(texts: str, has_root: str) -> Column:
     """(obj, ad) variants of the first usable props block.
 
     Under the root element any object will do and may be the listing itself; elsewhere only a block
     with an ``adData`` or ``ad`` object counts.
     """
-
-    def candidate(text: Column) -> Column:
-        parsed = F.transform(F.array(tolerant_json(text)), lambda v: F.struct(
-            v.alias("obj"),
-            F.try_variant_get(v, "$.adData", "variant").alias("data"),
-            F.try_variant_get(v, "$.ad", "variant").alias("ad"),
-        ))
-        return F.get(F.transform(parsed, lambda c: F.struct(
-            F.when(is_object(c["obj"]), c["obj"]).alias("obj"),
-            F.coalesce(
-                F.when(is_object(c["data"]), c["data"]),
-                F.when(is_object(c["ad"]), c["ad"]),
-                F.when(has_root & is_object(c["obj"]), c["obj"]),
-            ).alias("ad"),
-        )), F.lit(0))
-
-    return F.get(F.filter(F.transform(texts, candidate), lambda c: c["ad"].isNotNull()), F.lit(0))
+    parsed = F.transform(F.expr(texts), tolerant_json)
+    parts = F.transform(parsed, lambda v: F.struct(
+        F.when(is_object(v), v).alias("obj"),
+        F.try_variant_get(v, "$.adData", "variant").alias("data"),
+        F.try_variant_get(v, "$.ad", "variant").alias("ad"),
+    ))
+    candidates = F.transform(parts, lambda c: F.struct(
+        c["obj"].alias("obj"),
+        F.coalesce(
+            F.when(is_object(c["data"]), c["data"]), F.when(is_object(c["ad"]), c["ad"]), F.when(F.col(has_root), c["obj"])
+        ).alias("ad"),
+    ))
+    return F.get(F.filter(candidates, lambda c: c["ad"].isNotNull()), F.lit(0))
 
 
 # Paths read from a props listing and from its outer object (fixed values).
@@ -200,16 +201,17 @@ def equipment_of(found: Column, outer: Fields, ad: Fields) -> Column:
     """The first equipment list found: by heading, then per fallback key its list or its HTML items."""
     steps = [F.get(found, F.lit(0))]
     for i, key in enumerate(EQUIPMENT_KEYS):
-        text = F.expr(f"if(has_root, {first_scalar(ad[key], outer[key])}, NULL)")
-        steps += [F.get(found, F.lit(i + 1)), F.coalesce(texts_of(text, ITEM_TAGS, 2, ""), F.array().cast("array<string>"))]
+        text = f"if(has_root, {first_scalar(ad[key], outer[key])}, NULL)"
+        items = f"coalesce({texts_of(text, ITEM_TAGS, 2, '')}, CAST(array() AS array<string>))"
+        steps += [F.get(found, F.lit(i + 1)), sql(items)]
     return first_non_empty(F.array(*steps))
 
 
 # -- JSON in script elements -------------------------------------------------------------------------
 
 
-def script_json(html: Column | str, element_id: str) -> Column:
-    return F.try_parse_json(first_match(html, element("script", has_attribute("id", element_id)), 1))
+def script_json(html: str, element_id: str) -> Column:
+    return sql(f"try_parse_json({first_match(html, element('script', has_attribute('id', element_id)), 1)})")
 
 
 LINKED_FIELDS = Fields([
@@ -219,16 +221,17 @@ LINKED_FIELDS = Fields([
 ])
 
 
-def linked_objects(html: Column | str) -> Column:
+LINKED_SCRIPT = element("script", has_attribute("type", r"application/ld\+json"))
+
+
+def linked_objects(html: str) -> Column:
     """Objects of every linked-data script: array of arrays of variants."""
-    scripts = all_matches(html, element("script", has_attribute("type", r"application/ld\+json")), 1)
-    return F.transform(
-        F.transform(scripts, lambda s: F.try_parse_json(s)),
-        lambda v: F.filter(F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)), lambda o: is_object(o)),
-    )
+    listed = "coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))"
+    objects = f"filter({listed}, o -> startswith(schema_of_variant(o), 'OBJECT'))"
+    return sql(f"transform(transform({all_matches(html, LINKED_SCRIPT, 1)}, s -> try_parse_json(s)), v -> {objects})")
 
 
-def json_ld_pack(html: Column | str, objects: str) -> Pack:
+def json_ld_pack(html: str, objects: str) -> Pack:
     """Title, price, brand, model and address of the first linked-data script that yields anything.
 
     ``objects`` is a column of :func:`linked_objects`.
@@ -258,7 +261,7 @@ def json_ld_pack(html: Column | str, objects: str) -> Pack:
     any_field = " OR ".join(f"p.{name} IS NOT NULL" for name in fields)
     read = f"transform({objects}, vs -> transform(vs, v -> {LINKED_FIELDS.reading('v')}))"
     used = F.expr(f"get(filter(transform({read}, objs -> struct({values})), p -> {any_field}), 0)")
-    meta = attribute(first_match(html, open_tag("meta", has_attribute("property", "og:title"))), "content")
+    meta = sql(attribute(first_match(html, open_tag("meta", has_attribute("property", "og:title"))), "content"))
     pack = {name: used[name] for name in fields}
     return {**pack, "title": F.coalesce(pack["title"], meta)}
 
@@ -292,55 +295,64 @@ def advertising_pack(targets: str) -> Pack:
 # -- visible page ------------------------------------------------------------------------------------
 
 
-def visible_description(blocks: Column, html: Column) -> Column:
+EXPANDABLE = r"""(?is)(<[a-z0-9]+\b[^>]*data-testid\s*=\s*["']expandable-section["'].*)$"""
+
+
+def visible_description(blocks: str, html: str) -> str:
     """Text under the description heading (more than 50 characters), else the meta description (more than 20)."""
-    no_label = lambda t: strip(F.replace(F.replace(t, F.lit("Vis mer"), F.lit("")), F.lit("Show more"), F.lit("")))
 
-    def of_block(block: Column) -> Column:
-        expandable = F.regexp_extract(block["body"], r"""(?is)(<[a-z0-9]+\b[^>]*data-testid\s*=\s*["']expandable-section["'].*)$""", 1)
-        section = visible_text(F.when(expandable != "", expandable).otherwise(block["body"]))
-        section = F.when(block["in_section"] & (F.length(strip(section)) > 50), section)
-        cleaned = no_label(strip(F.replace(section, F.lit("Beskrivelse"), F.lit(""))))
-        following = visible_text(F.regexp_extract(block["body"], r"(?is)(<div\b.*)$", 1))
-        following = non_empty(no_label(F.when(F.length(strip(following)) > 50, following)))
-        return F.coalesce(F.when(F.length(cleaned) > 50, cleaned), following)
+    def without_buttons(text: str) -> str:
+        return trimmed(f"replace(replace({text}, 'Vis mer', ''), 'Show more', '')")
 
-    described = F.filter(blocks, lambda b: F.lower(b["heading"]).contains(DESCRIPTION_HEADING))
-    found = F.get(F.filter(F.transform(described, of_block), lambda d: d.isNotNull()), F.lit(0))
-    meta = strip(attribute(first_match(html, open_tag("meta", has_attribute("name", "description"))), "content"))
-    return F.coalesce(found, F.when(F.length(meta) > 20, meta))
+    section = visible_text(f"if(e != '', e, b.body)")
+    section = once(f"regexp_extract(b.body, {quoted(EXPANDABLE)}, 1)", "e", section)
+    cleaned = without_buttons(trimmed("replace(s, 'Beskrivelse', '')"))
+    in_section = once(section, "s", f"if(b.in_section AND length(s) > 50 AND length({cleaned}) > 50, {cleaned}, NULL)")
+    following = visible_text(f"regexp_extract(b.body, {quoted(r'(?is)(<div[ >].*)$')}, 1)")
+    following = once(following, "f", f"if(length(f) > 50, nullif({without_buttons('f')}, ''), NULL)")
+    described = f"filter({blocks}, b -> contains(lower(b.heading), '{DESCRIPTION_HEADING}'))"
+    found = f"get(filter(transform({described}, b -> coalesce({in_section}, {following})), d -> d IS NOT NULL), 0)"
+    meta = trimmed(attribute(first_match(html, open_tag("meta", has_attribute("name", "description"))), "content"))
+    return f"coalesce({found}, {once(meta, 'm', 'if(length(m) > 20, m, NULL)')})"
 
 
-def visible_price(html: Column) -> Column:
+def visible_price(html: str) -> Column:
     """Number in the h2 next to the price label, else in the first price span."""
-    labelled = F.regexp_extract(html, rf"(?is)<p\b[^>]*>\s*{PRICE_LABEL}\s*</p\s*>(.*?)(?:</div|</section|$)", 1)
-    beside = digits_int(visible_text(first_match(labelled, element("h2"), 1), ""))
-    return F.coalesce(beside, digits_int(visible_text(first_match(html, element("span", has_classes("t2")), 1), "")))
+    labelled = f"regexp_extract({html}, {quoted(rf'(?is)<p[^>]*>[ ]*{PRICE_LABEL}[ ]*</p[ ]*>(.*?)(?:</div|</section|$)')}, 1)"
+    beside = digits_int(sql(visible_text(first_match(labelled, element("h2"), 1), "")))
+    span = visible_text(first_match(html, element("span", has_classes("t2")), 1), "")
+    return F.coalesce(beside, digits_int(sql(span)))
+
+
+def visible_pack(html: str, blocks: str, grid: str, specs: str, anchor: str) -> Pack:
+    """Fields of the visible page; specification pairs go over grid pairs.
+
+    ``grid`` and ``specs`` are columns of label and value pairs, ``anchor`` the link under the place
+    heading as (href, text).
+    """
 
+    def parameter(name: str) -> Column:
+        return sql(f"try_url_decode(nullif(regexp_extract({anchor}.href, '[?&]{name}=([^&#]*)', 1), ''))")
 
-def visible_pack(html: Column, blocks: Column, grid: str, specs: str, anchor: Column) -> Pack:
-    """Fields of the visible page; specification pairs go over grid pairs."""
-    href = attribute(anchor, "href")
-    parameter = lambda name: F.try_url_decode(non_empty(F.regexp_extract(href, rf"[?&]{name}=([^&#]*)", 1)))
-    place = visible_text(anchor, "")
+    place = F.col(f"{anchor}.text")
     after_code = F.regexp_extract(place, r"^[0-9]+\s+(.+)$", 1)
-    equipment = texts_of(block_under(blocks, EQUIPMENT_HEADING), ITEM_TAGS, 2)
+    equipment = sql(texts_of(block_under(blocks, EQUIPMENT_HEADING), ITEM_TAGS, 2))
     listed = F.filter(grid, lambda p: p["label"].contains(ID_LABEL) & all_digits(p["value"]))
     edited = F.filter(grid, lambda p: p["label"].contains(EDITED_LABEL) & localised_date(p["value"]).isNotNull())
 
     pack: Pack = {}
     for label, field in GRID_LABELS.items():
-        value = last_value(grid, label)
+        value = sql(last_value(grid, label))
         pack[field] = digits_int(value) if field in ("year", "seats") else value
     for label, field in SPEC_LABELS.items():
-        value = last_value(specs, label)
+        value = sql(last_value(specs, label))
         value = digits_int(value) if field in NUMERIC_SPECS else value
         pack[field] = F.coalesce(value, pack[field]) if field in pack else value
     price = visible_price(html)
     return {
         **pack,
-        "title": non_empty(visible_text(first_match(html, element("h1"), 1), "")),
-        "description": visible_description(blocks, html),
+        "title": non_empty(sql(visible_text(first_match(html, element("h1"), 1), ""))),
+        "description": sql(visible_description(blocks, html)),
         "price": price,
         "currency": F.when(price.isNotNull(), F.lit(DEFAULT_CURRENCY)),
         "equipment": F.when(F.size(equipment) > 0, equipment),
@@ -422,23 +434,24 @@ def parse_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
 
     Every extract stays on the page's row, so pages of any number are parsed in one narrow stage.
     """
-    html = F.col("html")
-    keys = ["page_id", "url", "html"]
-    has_root = html.rlike(rf"""(?is)<[a-z][a-z0-9]*\s(?:[^<]*?\s)?id\s*=\s*["']{ROOT_ID}["']""")
+    html, keys = "html", ["page_id", "url", "html"]
     sources = evaluated(pages.select(*keys), keys, {
-        "has_root": has_root,
+        "has_root": F.col(html).rlike(ROOT_TAG),
         "contact_json": script_json(html, CONTACT_ID),
         "linked": linked_objects(html),
         "targets": advertising_targets(script_json(html, ADVERTISING_ID)),
-        "blocks": headed_blocks(html),
-        "grid": label_value_pairs(html, GRID_PATTERN, 2, 3),
-        "specs": label_value_pairs(html, SPEC_PATTERN, 1, 2),
-        "canonical": attribute(first_match(html, open_tag("link", has_attribute("rel", "canonical"))), "href"),
-        "og_url": attribute(first_match(html, open_tag("meta", has_attribute("property", "og:url"))), "content"),
+        "blocks": sql(headed_blocks(html)),
+        "grid": sql(label_value_pairs(html, GRID_PATTERN, 2, 3)),
+        "specs": sql(label_value_pairs(html, SPEC_PATTERN, 1, 2)),
+        "canonical": sql(attribute(first_match(html, open_tag("link", has_attribute("rel", "canonical"))), "href")),
+        "og_url": sql(attribute(first_match(html, open_tag("meta", has_attribute("property", "og:url"))), "content")),
     })
     found = evaluated(sources, sources.columns, {
-        "props": props_root(props_texts(html, F.col("has_root")), F.col("has_root")),
-        "place_link": first_match(block_under("blocks", PLACE_HEADING), r"(?is)<a\b(?=[^>]*\shref\s*=)[^>]*>.*?</a\s*>"),
+        "props": props_root(props_texts(html, "has_root"), "has_root"),
+        "place": sql(once(
+            first_match(block_under("blocks", PLACE_HEADING), r"(?is)<a\b(?=[^>]*\shref\s*=)[^>]*>.*?</a\s*>"), "a",
+            f"struct({attribute('a', 'href')} AS href, {visible_text('a', '')} AS text)",
+        )),
     })
     outer, ad = OUTER_FIELDS.bound("outer_fields"), AD_FIELDS.bound("ad_fields")
     read = evaluated(found, found.columns, {
@@ -449,7 +462,7 @@ def parse_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     packs = {
         "data_props": props,
         "jsonld": json_ld_pack(html, "linked"),
-        "dom": visible_pack(html, F.col("blocks"), "grid", "specs", F.col("place_link")),
+        "dom": visible_pack(html, "blocks", "grid", "specs", "place"),
         "contact": contact_pack("contact_json"),
         "advertising": advertising_pack("targets"),
     }

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.functions.html import (
-    all_matches, attribute, element, first_match, has_attribute, has_classes, open_tag, visible_text,
+    all_matches, attribute, element, first_match, has_attribute, has_classes, open_tag, sql, visible_text,
 )
 from adlattice.functions.scalars import (
     absolute_url, as_column, digits_int, keyword_in_context, next_page_url, non_empty, strip, url_tail_id,
@@ -40,22 +40,22 @@ def result_cards(pages: DataFrame, base_url: str, scraped_at: Column, keep: list
 
     A card without a link, id or price still gives a row with NULLs there.
     """
-    cards = pages.select(*keep, F.posexplode(all_matches("html", CARD)).alias("card", "__card"))
-    link = cards.select(*keep, "card", "__card", first_match("__card", CARD_LINK).alias("__link"))
+    cards = pages.select(*keep, F.posexplode(sql(all_matches("html", CARD))).alias("card", "__card"))
+    link = cards.select(*keep, "card", "__card", sql(first_match("__card", CARD_LINK)).alias("__link"))
     return link.select(
         *keep,
         "card",
-        non_empty(F.replace(attribute("__link", "id"), F.lit(CARD_ID_PREFIX), F.lit(""))).alias("ad_id"),
-        absolute_url(attribute("__link", "href"), base_url).alias("ad_url"),
-        digits_int(visible_text(first_match("__card", CARD_PRICE, 1), "")).alias("price"),
-        F.coalesce(visible_text(first_match("__card", CARD_SPECS, 1)), F.lit("")).alias("specs_text"),
+        non_empty(F.replace(sql(attribute("__link", "id")), F.lit(CARD_ID_PREFIX), F.lit(""))).alias("ad_id"),
+        absolute_url(sql(attribute("__link", "href")), base_url).alias("ad_url"),
+        digits_int(sql(visible_text(first_match("__card", CARD_PRICE, 1), ""))).alias("price"),
+        F.coalesce(sql(visible_text(first_match("__card", CARD_SPECS, 1))), F.lit("")).alias("specs_text"),
         scraped_at.alias("scraped_at"),
     )
 
 
 def next_pages(pages: DataFrame) -> DataFrame:
     """Link to the following result page of every page that has a usable one."""
-    href = attribute(first_match("html", NEXT_LINK), "href")
+    href = sql(attribute(first_match("html", NEXT_LINK), "href"))
     return pages.select("page_id", next_page_url(href, "url").alias("next_url")).where(F.col("next_url").isNotNull())
 
 
@@ -64,10 +64,10 @@ def page_fields(pages: DataFrame, base_url: str) -> DataFrame:
     first_link = first_match("html", open_tag("a", r"(?=[^>]*\shref\s*=)"))
     return pages.select(
         "page_id",
-        non_empty(visible_text(first_match("html", element("title"), 1), "")).alias("title"),
-        non_empty(visible_text(first_match("html", element("h1"), 1), "")).alias("heading"),
+        non_empty(sql(visible_text(first_match("html", element("title"), 1), ""))).alias("title"),
+        non_empty(sql(visible_text(first_match("html", element("h1"), 1), ""))).alias("heading"),
         url_tail_id("url").alias("ad_id"),
-        absolute_url(attribute(first_link, "href"), base_url).alias("first_link"),
+        absolute_url(sql(attribute(first_link, "href")), base_url).alias("first_link"),
     )
 
 
