@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,16 +50,28 @@ def loadable_rows(listings: DataFrame, existing: DataFrame | None, order: list[s
 def load_staging(listings: DataFrame, path: str, order: list[str]) -> int:
     """Append a run's listings to the staging table and return how many rows were new.
 
-    Running the same load again inserts nothing. The count is observed while writing.
+    Running the same load again inserts nothing. Files are laid out by month; a rebalance lets the
+    runtime merge small months into one file and split a month that holds most of the load. The
+    count is observed while writing.
     """
     spark = listings.sparkSession
-    table_exists = path_exists(spark, path)
-    existing = spark.read.parquet(path) if table_exists else None
+    existing = spark.read.parquet(path) if path_exists(spark, path) else None
     inserted = Observation("inserted")
     rows = loadable_rows(listings, existing, order).select(*[f.name for f in STAGING_ADS.fields])
-    day = F.to_date("scraped_at")
-    rows.observe(inserted, F.count(F.lit(1)).alias("rows")).withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
-    return inserted.get["rows"]
+    counted = rows.observe(inserted, F.count(F.lit(1)).alias("rows"))
+    by_month = counted.withColumn("month", F.date_format("scraped_at", "yyyy-MM")).hint("rebalance", "month")
+    by_month.write.mode("append").partitionBy("month").parquet(path)
+    return observed(inserted, "rows")
+
+
+def observed(observation: Observation, name: str) -> int:
+    """An observed count; zero when the planner found the input empty and dropped the observation."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError as failure:
+        if "AssertionError" in str(failure.java_exception):
+            return 0
+        raise
 
 
 def append_details(details: DataFrame, existing: DataFrame) -> DataFrame:

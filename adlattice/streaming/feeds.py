@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from adlattice.operators.keyed import latest_per_key
+from adlattice.operators.keyed import latest_per_key, previous_per_key
 from adlattice.operators.lifecycle import price_differs
 from adlattice.sources.snapshots import read_snapshot, versions, write_snapshot
 
@@ -52,8 +52,8 @@ def newest_prices(ads: DataFrame | None, batch: DataFrame) -> DataFrame:
     return latest_per_key(ads.unionByName(newest), "ad_id", ["scraped_at", "snapshot_id"])
 
 
-def merge_batches(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: merge each micro-batch into the next version of a snapshot table.
+def versioned_batches(root: str, step: Callable[[DataFrame | None, DataFrame, int], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: ``step(before, batch, batch_id)`` gives the next version of a snapshot table.
 
     The version is the batch number, so a batch that is run again after a failure rewrites the same
     version from the one before it.
@@ -63,37 +63,66 @@ def merge_batches(root: str, merge: Callable[[DataFrame | None, DataFrame], Data
         spark = batch.sparkSession
         earlier = [v for v in versions(spark, root) if v < batch_id]
         before = read_snapshot(spark, root, earlier[-1]) if earlier else None
-        write_snapshot(merge(before, batch), root, batch_id)
+        write_snapshot(step(before, batch, batch_id), root, batch_id)
 
     return run
 
 
 def maintain_master(stream: DataFrame, root: str, checkpoint: str) -> None:
     """Keep the newest snapshot of every listing as a versioned table, fed by a stream."""
-    run_available(stream.writeStream.foreachBatch(merge_batches(root, newest_prices)), checkpoint)
+    merge = versioned_batches(root, lambda before, batch, _: newest_prices(before, batch))
+    run_available(stream.writeStream.foreachBatch(merge), checkpoint)
 
 
-def record_changes(root: str, history: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: newest prices plus the history rows of each batch.
+def changes_in_batch(before: DataFrame | None, batch: DataFrame, rows_per_slice: int = 4_000_000) -> DataFrame:
+    """Price changes a micro-batch adds to the known state, in scrape-time order.
 
-    History rows of a batch are written to their own folder before the new version, so a repeated
-    batch replaces its rows instead of adding them twice.
+    The last known snapshot of each listing joins its new ones as their predecessor. Snapshots that
+    are not newer than the state are late and report nothing. A missing price is remembered but not
+    reported. A listing with very many snapshots in one batch is cut into slices like in the batch form.
+    """
+    columns = ["ad_id", "scraped_at", "snapshot_id", "price"]
+    rows = batch.select(*columns, F.lit(True).alias("new"))
+    if before is not None:
+        known = before.select("ad_id", F.col("scraped_at").alias("known_time"))
+        rows = rows.join(known, "ad_id", "left").where(
+            F.col("known_time").isNull() | (F.col("scraped_at") > F.col("known_time"))
+        ).drop("known_time")
+        seed = before.select(*columns, F.lit(False).alias("new"))
+        rows = rows.unionByName(seed.join(batch.select("ad_id"), "ad_id", "left_semi"))
+    seen = rows.withColumn("seen", F.struct("price"))
+    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before", rows_per_slice)
+    return in_order.where(
+        F.col("new") & F.col("before").isNotNull() & F.col("price").isNotNull()
+        & price_differs(F.col("before.price"), F.col("price"))
+    ).select("ad_id", F.col("before.price").alias("old_price"), F.col("price").alias("new_price"),
+             F.col("scraped_at").alias("changed_at"))
+
+
+def watch_prices(stream: DataFrame, root: str, history: str, checkpoint: str) -> None:
+    """Append every price change of a snapshot stream to ``history`` and keep the newest state in ``root``.
+
+    A batch's changes go to their own folder before the new state is written, so a repeated batch
+    replaces its changes instead of adding them twice.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = [v for v in versions(spark, root) if v < batch_id]
-        before = read_snapshot(spark, root, earlier[-1]) if earlier else None
-        newest = latest_per_key(batch, "ad_id", ["scraped_at", "snapshot_id"])
-        if before is not None:
-            old = before.select("ad_id", F.col("price").alias("old_price"), F.col("scraped_at").alias("old_time"))
-            changed = newest.join(old, "ad_id").where(
-                price_differs(F.col("old_price"), F.col("price"))
-                & F.col("price").isNotNull()
-                & (F.col("scraped_at") > F.col("old_time"))
-            )
-            rows = changed.select("ad_id", "price", F.col("scraped_at").alias("changed_at"))
-            rows.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
-        write_snapshot(newest_prices(before, batch), root, batch_id)
+    def step(before: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
+        changes_in_batch(before, batch).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+        return newest_prices(before, batch)
 
-    return run
+    run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
+
+
+def maintain_cache(stream: DataFrame, root: str, checkpoint: str, lag: str = "1 day") -> None:
+    """Keep the result cache from a stream of entries: newest entry per query, long expired ones dropped.
+
+    Time is the newest creation time seen, not the clock, so a replay gives the same cache.
+    """
+
+    def step(before: DataFrame | None, batch: DataFrame, _: int) -> DataFrame:
+        newest = latest_per_key(batch, "query_hash", ["created_at"])
+        merged = newest if before is None else latest_per_key(before.unionByName(newest), "query_hash", ["created_at"])
+        now = merged.agg(F.max("created_at").alias("now"))
+        return merged.join(F.broadcast(now), F.col("expires_at") >= F.col("now") - F.expr(f"INTERVAL {lag}")).drop("now")
+
+    run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
