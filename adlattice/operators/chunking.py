@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,6 +69,12 @@ def blanks_plus_one(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1
 
 
+def length_in_words(chunk: str) -> Column:
+    """Word count of a chunk; only the chunk of a very short text can hold loose blanks."""
+    loose = F.col(chunk).contains("  ") | F.col(chunk).startswith(" ") | F.col(chunk).endswith(" ")
+    return F.when(loose, F.size(words_of(chunk))).otherwise(blanks_plus_one(F.col(chunk)))
+
+
 def sentences_of(spaced: Column | str) -> Column:
     """Sentences of a single-spaced text: a sentence ends with a word ending in ``.!?``."""
     return F.split(as_column(spaced), "(?<=[.!?]) ")
@@ -135,7 +142,7 @@ def text_chunks(df: DataFrame, key: str, text: str, rule: ChunkRule = ChunkRule(
         F.lit(source).alias("chunk_source"),
         "chunk_order",
         "chunk_text",
-        F.size(words_of("chunk_text")).alias("chunk_length"),
+        length_in_words("chunk_text").alias("chunk_length"),
     ).withColumn(
         "overlap_words",
         F.when(F.col("chunk_order") > 0, F.least(F.lit(rule.overlap), F.col("chunk_length"))).otherwise(F.lit(0)),
@@ -174,28 +181,26 @@ def chunk_spans(df: DataFrame, key: str, text: str, rule: ChunkRule = ChunkRule(
     ).where(F.col("to_word") - F.col("from_word") >= least)
 
 
-def keyword_groups(groups: dict[str, list[str]]) -> Column:
-    """Keyword groups as a literal array, for use inside row-level lambdas."""
-    return F.array(*[F.lit(word) for words in groups.values() for word in words])
+def any_keyword(groups: dict[str, list[str]]) -> str:
+    """Pattern that finds any keyword of any group."""
+    return "|".join(re.escape(word) for words in groups.values() for word in words)
 
 
 def section_breaks(df: DataFrame, key: str, text: str, groups: dict[str, list[str]] = SECTION_KEYWORDS) -> DataFrame:
     """Positions of words (except the first) that contain any section keyword."""
-    keywords = keyword_groups(groups)
-    found = df.select(key, words_of(clean_text(text)).alias("__words")).select(
-        key,
-        F.array_compact(
-            F.transform(
-                "__words",
-                lambda w, i: F.when(
-                    (i > 0) & F.exists(keywords, lambda k: F.contains(w, k)),
-                    F.struct(i.alias("i"), w.alias("w")),
-                ),
-            )
-        ).alias("__hits"),
+    pattern = any_keyword(groups)
+    hits = F.array_compact(
+        F.transform(
+            "__words",
+            lambda w, i: F.when((i > 0) & w.rlike(pattern), F.struct(i.alias("word_index"), w.alias("word"))),
+        )
     )
-    return found.select(key, F.explode("__hits").alias("__hit")).select(
-        key, F.col("__hit.i").alias("word_index"), F.col("__hit.w").alias("word")
+    # Most texts hold no keyword at all; they are dismissed before their words are looked at.
+    words = F.when(F.col("__clean").rlike(pattern), words_of("__clean"))
+    return (
+        df.select(key, clean_text(text).alias("__clean"))
+        .select(key, words.alias("__words"))
+        .select(key, F.inline(F.when(F.col("__words").isNotNull(), hits)))
     )
 
 

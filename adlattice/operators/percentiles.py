@@ -16,7 +16,7 @@ def percentile_by_position(scores: DataFrame, group: str, score: str, key: str,
     by key like any others. A group's first number is the row count of the groups before it.
     """
     numbered = running_position(scores, [group, score, key], "__place")
-    sizes = scores.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = numbered.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
     # One row per group: the ordered window below runs over the group table, not over the scores.
     before = sizes.select(group, "__n", (F.sum("__n").over(Window.orderBy(group)) - F.col("__n")).alias("__first"))
     position = F.col("__place") - F.col("__first")

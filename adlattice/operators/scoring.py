@@ -272,7 +272,7 @@ def score_texts(df: DataFrame, key: str, text: str, make_encoder: Callable[[], E
         df.where(F.length(strip(text)) >= rule.min_chars)
         .select(key, clean_text(text).alias("__clean"))
         .select(key, "__clean", spaced.alias("__spaced"))
-        .select(key, chunks.alias("__chunks"))
+        .select(key, "__spaced", chunks.alias("__chunks"))
     )
     compared = cut.withColumn("__cos", chunk_cosines(make_encoder, references)(F.col("__chunks")))
     rows = F.array(*[
@@ -295,26 +295,12 @@ def score_texts(df: DataFrame, key: str, text: str, make_encoder: Callable[[], E
 
 def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, str, int]],
                   has_lexicon: bool, cosines: Column | None) -> Column:
-    """Keyword and similarity parts of one aspect over the ``__chunks`` array of a row."""
+    """Keyword and similarity parts of one aspect over the ``__chunks`` array of a row.
+
+    Chunks are runs of words of ``__spaced``, so it contains every phrase that any of them does.
+    """
     ids = lambda positions: F.transform(positions, lambda i: F.xxhash64(F.col(key), F.lit(source), i))
-    no_ids = F.array().cast("array<bigint>")
-    if phrases:
-        entries = F.array(*[
-            F.struct(F.lit(p).alias("phrase"), F.lit(t).alias("tag"), F.lit(w).alias("weight")) for p, t, w in phrases
-        ])
-        per_chunk = F.transform("__chunks", lambda c: F.filter(entries, lambda e: F.contains(c, e["phrase"])))
-        # One-element array: binds the hits once for the four values taken from them.
-        values = F.transform(F.array(per_chunk), lambda found: F.struct(
-            F.aggregate(F.flatten(found), F.lit(0), lambda s, e: s + e["weight"]).alias("total"),
-            F.transform(F.flatten(found), lambda e: e["tag"]).alias("keywords"),
-            F.array_compact(F.transform(found, lambda f, i: F.when(F.size(f) > 0, i))).alias("at"),
-        ))
-        hits = F.get(values, F.lit(0))
-        keyword = keyword_score(hits["total"] / float(WEIGHT_UNIT), F.size(hits["keywords"]), F.size("__chunks"))
-        keywords, keyword_chunks = hits["keywords"], ids(hits["at"])
-    else:
-        keyword = F.lit(NEUTRAL if has_lexicon else 0.0)
-        keywords, keyword_chunks = F.array().cast("array<string>"), no_ids
+    no_ids, no_words = F.array().cast("array<bigint>"), F.array().cast("array<string>")
     if cosines is None:
         similarity, similar_chunks = F.lit(NEUTRAL), no_ids
     else:
@@ -322,11 +308,37 @@ def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, s
         mean = F.aggregate(known, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(known), F.lit(0))
         similarity = similarity_score(F.array_max(known), mean)
         similar_chunks = ids(F.array_compact(F.transform(cosines, lambda x, i: F.when(x > SUPPORT_THRESHOLD, i))))
-    return F.struct(
-        F.lit(aspect).alias("aspect"),
-        keyword.alias("keyword_score"),
-        keywords.alias("keywords"),
-        keyword_chunks.alias("keyword_chunks"),
-        similarity.alias("similarity_score"),
-        similar_chunks.alias("similar_chunks"),
-    )
+
+    def parts(keyword: Column, keywords: Column, keyword_chunks: Column) -> Column:
+        return F.struct(
+            F.lit(aspect).alias("aspect"),
+            keyword.alias("keyword_score"),
+            keywords.alias("keywords"),
+            keyword_chunks.alias("keyword_chunks"),
+            similarity.alias("similarity_score"),
+            similar_chunks.alias("similar_chunks"),
+        )
+
+    neutral = parts(F.lit(NEUTRAL if has_lexicon else 0.0), no_words, no_ids)
+    if not phrases:
+        return neutral
+    entries = F.array(*[
+        F.struct(F.lit(p).alias("phrase"), F.lit(t).alias("tag"), F.lit(w).alias("weight")) for p, t, w in phrases
+    ])
+
+    def of_hits(found: Column) -> Column:
+        """From the phrases found in each chunk."""
+        total = F.aggregate(F.flatten(found), F.lit(0), lambda s, e: s + e["weight"])
+        tags = F.transform(F.flatten(found), lambda e: e["tag"])
+        at = F.array_compact(F.transform(found, lambda f, i: F.when(F.size(f) > 0, i)))
+        score = keyword_score(total / float(WEIGHT_UNIT), F.size(F.flatten(found)), F.size("__chunks"))
+        return parts(score, tags, ids(at))
+
+    def of_phrases(present: Column) -> Column:
+        """From the phrases the whole text contains; a text without any skips its chunks."""
+        per_chunk = F.transform("__chunks", lambda c: F.filter(present, lambda e: F.contains(c, e["phrase"])))
+        # One-element arrays bind a value once for all its uses.
+        return F.when(F.size(present) == 0, neutral).otherwise(F.get(F.transform(F.array(per_chunk), of_hits), F.lit(0)))
+
+    in_text = F.filter(entries, lambda e: F.contains("__spaced", e["phrase"]))
+    return F.get(F.transform(F.array(in_text), of_phrases), F.lit(0))

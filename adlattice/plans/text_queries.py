@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from adlattice.functions.scalars import any_contains, shortened
 from adlattice.operators import chunking, percentiles, queues, scoring, search
-from adlattice.operators.embedding import HashingEncoder, embed_missing, attach_embeddings
+from adlattice.operators.embedding import HashingEncoder, attach_embeddings, embed_missing, embed_texts
 from adlattice.plans.standins import DESCRIPTIONS, descriptions, documents
+from adlattice.session import materialise, scratch_path
 from adlattice.sources.tables import read_table, spread_scan
 
 DIMS = 384
@@ -211,8 +212,9 @@ def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     chunks = chunking.text_chunks(texts, "ad_id", "text").withColumn(
         "chunk_id", F.col("ad_id") * 100_000 + F.col("chunk_order")
     )
-    store = embed_missing(chunks, "chunk_text", make_encoder, f"token-hash-{DIMS}")
-    embedded = attach_embeddings(chunks, "chunk_text", f"token-hash-{DIMS}", store)
+    path = scratch_path(spark, "text-chunks")
+    embed_texts(chunks, "chunk_text", make_encoder, 1024).drop("error").write.parquet(path)
+    embedded = spark.read.parquet(path)
     queries = read_table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), "text", F.lit(5).alias("limit"), F.lit(0.55).alias("min_score")
     )
@@ -239,10 +241,10 @@ def short_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _word_score_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored score table, as the operators below read their input more than once."""
     chunks = chunking.text_chunks(documents(spark, sf), "doc_id", "text")
-    return scoring.keyword_scores(chunks, "doc_id", lexicon=WORD_LEXICON).select(
-        "doc_id", "aspect", F.round("keyword_score", 6).alias("raw_score")
-    )
+    scored = scoring.keyword_scores(chunks, "doc_id", lexicon=WORD_LEXICON)
+    return materialise(scored.select("doc_id", "aspect", F.round("keyword_score", 6).alias("raw_score")))
 
 
 def percentile_by_position(spark: SparkSession, sf: str) -> DataFrame:
