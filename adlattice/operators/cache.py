@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlattice.operators.embedding import Encoder
 from adlattice.operators.lifecycle import merge_by_policy
+from adlattice.operators.search import query_fingerprint, search, usable_queries, with_query_defaults
+from adlattice.session import materialise
 
 
 def cache_rows(queries: DataFrame, results: DataFrame, now: Column, ttl: str = "1 hour") -> DataFrame:
@@ -60,3 +65,26 @@ def purge_count(cache: DataFrame, now: Column, lag: str = "1 day") -> DataFrame:
     """How many entries a purge removes and keeps."""
     old = F.col("expires_at") < now - F.expr(f"INTERVAL {lag}")
     return cache.agg(F.count_if(old).alias("purged"), F.count_if(~old).alias("kept"))
+
+
+def search_with_cache(queries: DataFrame, cache: DataFrame, chunks: DataFrame, ads: DataFrame,
+                      make_encoder: Callable[[], Encoder], now: Column, ttl: str = "1 hour") -> tuple[DataFrame, DataFrame]:
+    """Results of a batch of queries and the next cache.
+
+    Queries with a live entry are answered from it (no chunk texts are kept there), cut to the
+    query's limit; the others are searched once, stored and added to the cache.
+    """
+    asked = with_query_defaults(usable_queries(queries))
+    asked = asked.withColumn("query_hash", query_fingerprint(asked))
+    live = cache.where(is_live(now))
+    kept = cached_results(live, ads, now, asked).join(asked.select("query_id", "query_hash", "limit"), "query_hash")
+    in_order = Window.partitionBy("query_id").orderBy("position")
+    hits = kept.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= F.col("limit"))
+    misses = asked.join(live.select("query_hash"), "query_hash", "left_anti")
+    fresh = materialise(search(misses, chunks, ads, make_encoder))
+    columns = ["query_id", "rank", "ad_id", "title", "description", "similarity_score"]
+    results = hits.select(*columns, F.lit(None).cast("array<string>").alias("matching_chunks")).unionByName(
+        fresh.select(*columns, "matching_chunks")
+    )
+    once = misses.dropDuplicates(["query_hash"])
+    return results, merge_cache(cache, cache_rows(once, fresh, now, ttl))

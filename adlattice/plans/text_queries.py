@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adlattice.functions.scalars import any_contains, shortened
 from adlattice.operators import chunking, percentiles, queues, scoring, search
 from adlattice.operators.embedding import HashingEncoder, attach_embeddings, embed_missing, embed_texts
+from adlattice.plans import nightly
 from adlattice.plans.standins import DESCRIPTIONS, descriptions, documents
 from adlattice.session import materialise, scratch_path
 from adlattice.sources.tables import read_table, spread_scan
@@ -240,6 +241,22 @@ def short_queries(spark: SparkSession, sf: str) -> DataFrame:
     return search.usable_queries(turns)
 
 
+def nightly_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole nightly run from an empty chunk and score table: vectors, scores, positions."""
+    now = F.lit("2024-02-01").cast("timestamp_ntz")
+    ads = descriptions(spark, sf).withColumn("semantic_processed_at", F.lit(None).cast("timestamp_ntz"))
+    path = scratch_path(spark, "nightly-chunks")
+    nightly.embedded_chunks(ads, make_encoder).write.parquet(path)
+    new = spark.read.parquet(path)
+    chunks = new.where("false").withColumns({"created_at": now, "updated_at": now})
+    _, marked = nightly.store_chunks(ads, chunks, new, now)
+    empty = spark.createDataFrame([], "ad_id bigint, aspect string, raw_score double, supporting_chunks array<bigint>, "
+                                      "score_method string, created_at timestamp_ntz, normalized_score double")
+    scores = nightly.score_listings(marked, empty, make_encoder, now, lexicon=WORD_LEXICON)
+    normalised = nightly.normalise_scores(scores.withColumn("raw_score", F.round("raw_score", 6)))
+    return normalised.select("ad_id", "aspect", "raw_score", F.round("normalized_score", 6).alias("normalized_score"))
+
+
 def _word_score_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored score table, as the operators below read their input more than once."""
     chunks = chunking.text_chunks(documents(spark, sf), "doc_id", "text")
@@ -294,7 +311,7 @@ QUERIES = {
         shortened_texts, embed_queue, embed_queue_next, score_queue, backfill_queue, backfill_decision,
         overwritten_descriptions, processed_listings, replaced_chunks, keyword_scores, keyword_scores_words,
         aspect_scores, aspect_scores_words, aspect_scores_stored, distinct_chunk_texts, supporting_chunk_ids,
-        search_texts, search_texts_listing_first, query_fingerprint, short_queries, percentile_by_position,
+        search_texts, search_texts_listing_first, query_fingerprint, short_queries, nightly_scores, percentile_by_position,
         percentile_by_share, share_in_dataset, top_per_aspect, score_upsert,
     ]
 }
@@ -519,6 +536,11 @@ ORACLE = {
         UNION ALL SELECT item_id, 'aspect', md5('motor: ' || text || '|[''motor'']|0.5|10|True') FROM benchmark""",
     "short_queries": f"""WITH turns AS (SELECT conv_id, turn, split_part(text, ' ', 1) AS text FROM conversations)
         SELECT * FROM turns WHERE length({_strip('text')}) >= 3""",
+    "nightly_scores": f"""WITH {DESCRIPTIONS}, s AS ({_score_sql(WORD_LEXICON)}),
+        kept AS (SELECT doc_id AS ad_id, aspect, raw_score FROM s JOIN listings l ON l.ad_id = s.doc_id
+          WHERE l.active AND (coalesce(l.has_embeddings, FALSE) OR length(trim(l.description)) > 50))
+        SELECT ad_id, aspect, raw_score, round((row_number() OVER (PARTITION BY aspect ORDER BY raw_score, ad_id) - 1)
+          / (count(*) OVER (PARTITION BY aspect) - 1), 6) AS normalized_score FROM kept""",
     "percentile_by_position": f"""WITH {_SCORE_TABLE} SELECT doc_id, aspect, raw_score, CASE WHEN count(*) OVER g >= 2 THEN
         round((row_number() OVER (PARTITION BY aspect ORDER BY raw_score, doc_id) - 1) / (count(*) OVER g - 1), 6) END
         AS normalized_score FROM scores WINDOW g AS (PARTITION BY aspect)""",

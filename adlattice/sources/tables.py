@@ -43,3 +43,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, hig
 def read_html_files(spark: SparkSession, path: str) -> DataFrame:
     """Local or shared HTML files, one row per file: (url, html)."""
     return spark.read.text(path, wholetext=True).selectExpr("_metadata.file_path AS url", "value AS html")
+
+
+def publish_view(df: DataFrame, name: str) -> None:
+    """Publish a table under a name for SQL users of the session, as the cleaned view is."""
+    df.createOrReplaceTempView(name)
