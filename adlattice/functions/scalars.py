@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -164,6 +162,3 @@ def similarity_of_distance(distance: Column | str) -> Column:
     """Cosine distance (0 to 2) as a similarity between 0 and 1."""
     return F.greatest(F.lit(0.0), F.lit(1.0) - as_column(distance) / F.lit(2.0))
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -6,8 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adlattice.functions.scalars import all_of
 from adlattice.session import materialise
 
 
@@ -92,12 +92,15 @@ def join_spread(
     """Left join of ``rows`` to a unique-key ``lookup`` when some keys hold a large part of ``rows``.
 
     ``hot`` is the (small, bounded) part of ``lookup`` for those keys. It is broadcast; rows matched
-    by it are spread over ``spread`` salts in the shuffle join, where nothing matches them again.
+    by it are spread over ``spread`` salts in the shuffle join, where nothing matches them again. The
+    salt is a hash of the row, so a task that is run again sends its rows the same way.
     """
     values = [c for c in lookup.columns if c not in keys]
     hot = hot.select(*keys, F.struct(*values).alias("__hot"))
+    hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.lit(1) + F.pmod(F.xxhash64(*hashable), F.lit(spread)).cast("int")
     first = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.floor(F.rand(7) * spread).cast("int"))
+        "__salt", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(salt)
     )
     cold = lookup.select(*keys, F.struct(*values).alias("__cold"), F.lit(0).alias("__salt"))
     both = first.join(cold, [*keys, "__salt"], "left")
@@ -133,8 +136,3 @@ def materialise_sorted(df: DataFrame, order: list[str]) -> DataFrame:
 
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return materialise(ordered.withColumn("__at", F.monotonically_increasing_id()))
-
-
-def same_key(left: str, right: str, keys: list[str]) -> Column:
-    """Join condition over equally named keys of two aliased tables."""
-    return all_of([F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])

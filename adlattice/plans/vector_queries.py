@@ -62,11 +62,11 @@ def vector_topk_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ads_of(chunks: DataFrame) -> DataFrame:
-    """A listing is active when its labels do not sum to a multiple of four, embedded when it has all five chunks."""
-    return chunks.groupBy("ad_id").agg((F.sum("label") % 4 != 0).alias("active"), (F.count(F.lit(1)) == 5).alias("has_embeddings"))
+    """A listing is active unless a chunk of it has label 9, embedded when it has all five chunks."""
+    return chunks.groupBy("ad_id").agg((F.max("label") < 9).alias("active"), (F.count(F.lit(1)) == 5).alias("has_embeddings"))
 
 
-ADS_OF = """ads AS (SELECT ad_id, sum(label) % 4 <> 0 AS active, count(*) = 5 AS has_embeddings FROM chunks GROUP BY ad_id)"""
+ADS_OF = """ads AS (SELECT ad_id, max(label) < 9 AS active, count(*) = 5 AS has_embeddings FROM chunks GROUP BY ad_id)"""
 
 
 def vector_topk_active(spark: SparkSession, sf: str) -> DataFrame:

@@ -128,3 +128,14 @@ def test_changed_texts(spark):
     ads = spark.createDataFrame([(1, "a", True), (2, "b", True), (3, "c", True), (4, None, True)], "ad_id bigint, description string, active boolean")
     done = ads.where("ad_id < 3").select("ad_id", F.md5(F.lit("a")).alias("text_hash"))
     assert {r["ad_id"] for r in queues.changed_texts(ads, done).collect()} == {2, 3}
+
+
+def test_backfill_queue_and_overwrite(spark):
+    rows = [(1, "/1", None, True, "r1"), (2, "/2", "two", False, "r2"), (3, "/3", "three", True, "r3")]
+    ads = spark.createDataFrame(rows, "ad_id bigint, ad_url string, description string, active boolean, source_raw string")
+    assert [(r["ad_id"], r["current_desc"]) for r in queues.backfill_queue(ads, limit=5).collect()] == [(1, ""), (3, "three")]
+    ids = spark.createDataFrame([(2,), (9,), (2,)], "ad_id bigint")
+    assert [r["ad_id"] for r in queues.backfill_queue(ads, ids).collect()] == [2]
+    fetched = spark.createDataFrame([(1, "  new one ", None), (3, "new three", "r3b"), (9, "x", None)], "ad_id bigint, description string, source_raw string")
+    after = table(queues.overwrite_descriptions(ads, fetched), "description", "source_raw")
+    assert after == {1: ("new one", "r1"), 2: ("two", "r2"), 3: ("new three", "r3b")}
