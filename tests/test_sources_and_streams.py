@@ -129,13 +129,32 @@ def test_spread_scan_leaves_large_tables_alone(spark):
     assert spread_scan(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() > 8
 
 
-def test_shared_folder_setting_is_used(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_dir(spark) == str(tmp_path)
-        assert scratch_path(spark, "x").startswith(str(tmp_path))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class Session:
+    """Just the parts of a session that the folder choice looks at."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = Context(master)
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: conf.get("folder", default))})
+
+
+def test_shared_folder_setting_is_used():
+    cluster = Session("spark://host:7077", folder="hdfs:///shared")
+    assert shared_dir(cluster) == "hdfs:///shared" == cluster.sparkContext.folder
+    assert scratch_path(cluster, "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(RuntimeError):
+        shared_dir(Session("spark://host:7077"))
+    assert os.path.isdir(shared_dir(Session("local[2]")))
 
 
 SNAPSHOTS = "ad_id bigint, price double, scraped_at timestamp_ntz, snapshot_id bigint"
