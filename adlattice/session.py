@@ -40,7 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        # "local-cluster" has executors of its own, so it needs a shared folder like any cluster.
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="adlattice-"))
     return sc.getCheckpointDir()
