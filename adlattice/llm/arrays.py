@@ -68,12 +68,13 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_bounds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of texts that lie one after the other in ``data``.
+def word_bounds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of texts that lie one after the other in ``data``; ``space`` marks other separators.
 
     Returns start and end of every word, and where each text's words begin (with the total at the end).
     """
-    word = ~_SPACE[data]
+    word = ~space[data]
     before = np.concatenate(([False], word[:-1]))
     after = np.concatenate((word[1:], [False]))
     full = ends > starts
@@ -90,19 +91,33 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: boo
     sums[0] = 0
     np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * powers(len(data)), dtype=np.uint64, out=sums[1:])
     # The span's own polynomial is moved to power 0, so that equal spans agree wherever they stand.
-    return mix((sums[end] - sums[begin]) * _shift(begin, len(data)))
+    return mix((sums[end] - sums[begin]) * _inverses(len(data))[begin] if len(data) else sums[end])
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hash of every ``width`` bytes in a row; equal to ``span_hashes`` of the same bytes."""
+    if len(data) < width:
+        return np.zeros(0, np.uint64)
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_BYTE[data] * powers(len(data)), dtype=np.uint64, out=sums[1:])
+    n = len(data) - width + 1
+    out = sums[width:] - sums[:-width]
+    out *= _inverses(n)
+    return mix(out)
 
 
 _inverse = np.ones(1, np.uint64)
 
 
-def _shift(begin: np.ndarray, n: int) -> np.ndarray:
+def _inverses(n: int) -> np.ndarray:
+    """INVERSE ** 0 .. n-1 modulo 2 ** 64."""
     global _inverse
     if len(_inverse) < n:
         steps = np.full(max(n, BLOCK + 1), INVERSE, np.uint64)
         steps[0] = 1
         _inverse = np.cumprod(steps, dtype=np.uint64)
-    return _inverse[begin]
+    return _inverse[:n]
 
 
 def block_words(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from adlattice.session import materialise
 
 
+def _rows(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """One row (a, b) for each of the column pairs of every row."""
+    both = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in pairs])
+    return df.select(F.explode(both).alias("__e")).select("__e.a", "__e.b")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link the larger (or the smaller and own) neighbours of every node to the smallest node around it."""
     if large:
-        around = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        around = _rows(edges, ("a", "b"), ("b", "a"))
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = around.join(least, "a")
-    if large:
-        linked = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+    least = around.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("m", "a").alias("m"))
+    joined = around.join(least, F.col("a") == F.col("n")).select("a", "b", "m")
+    linked = _rows(joined.where(F.col("b") > F.col("a")), ("b", "m")) if large else _rows(joined, ("b", "m"), ("a", "m"))
     return linked.where(F.col("a") != F.col("b")).distinct()
 
 
@@ -41,6 +44,4 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-    )
+    return _rows(edges, ("a", "b"), ("b", "b")).distinct().toDF("node", "label")

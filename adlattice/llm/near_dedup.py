@@ -7,7 +7,8 @@ combining every band of the one with every band of the other, ``COLLECTION ** 2`
 
 Equal sets are one node from the start. Only nodes that share a band of *both* collections with another node can share
 a table, so only those are written out under all keys. Each table entry is first verified against one hub, which joins
-a group of copies without its pairs; after that only entries of different components remain to be compared.
+a group of copies without its pairs. Nodes that still share a table with another component are then compared within the
+bands of the first collection, in blocks, by matrix products over their full sets.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from adlattice.session import materialise
 
 WIDTH, PERCENT = 5, 75
 COLLECTION, BAND = 16, 3
+#: Bounds of a block of nodes that are compared with each other in one place.
+BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
 
 
 def node_of(own: np.ndarray) -> bytes:
@@ -85,20 +88,109 @@ def shingle_sets(df: DataFrame, id_col: str, text: str, width: int = WIDTH) -> D
     return narrow.mapInArrow(run, "doc_id long, node binary, shingles array<long>").where(F.size("shingles") > 0)
 
 
-def _shared(entries: DataFrame, low: Column, high: Column) -> DataFrame:
-    """Keys under which ``low`` and ``high`` differ, that is, whose entries are not all alike."""
-    return entries.groupBy("key").agg(low.alias("__low"), high.alias("__high")).where("__low < __high")
+def _differing(entries: DataFrame, column: str) -> DataFrame:
+    """Keys whose entries do not all agree in ``column``, with its smallest value."""
+    return entries.groupBy("key").agg(F.min(column).alias("least"), F.max(column).alias("__most")).where("least < __most").drop("__most")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough. Sets are unique by node."""
-    one = sets.select(F.col("node").alias("b"), F.col("shingles").alias("__sb"))
-    two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("__sa"))
+    """The pairs (a, b) whose full sets are alike enough. Sets are unique by number."""
+    one = sets.select(F.col("num").alias("b"), F.col("shingles").alias("__sb"))
+    two = sets.select(F.col("num").alias("a"), F.col("shingles").alias("__sa"))
     joined = pairs.join(one, "b").join(two, "a")
     both = F.size(F.array_intersect("__sa", "__sb"))
     return joined.where(100 * both >= percent * (F.size("__sa") + F.size("__sb") - both)).select("a", "b")
 
 
+def links_among(sets: list[np.ndarray], labels: np.ndarray, blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of positions that are alike enough and join different labels; pairs that join nothing new are left out.
+
+    Intersections of all pairs come from products of 0/1 matrices, a thousand shingles at a time. With two blocks only
+    pairs across them are looked at.
+    """
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    often = counts[column] > 1
+    owner, column = owner[often], (np.cumsum(counts > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n), np.float64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        part = slice(*np.searchsorted(column, (low, low + 1024)))
+        has = np.zeros((n, 1024), np.float32)
+        has[owner[part], column[part] - low] = 1
+        both += has @ has.T
+    alike = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    alike &= np.triu(labels[:, None] != labels[None, :])
+    if blocks.min() != blocks.max():
+        alike &= blocks[:, None] != blocks[None, :]
+    root = {x: x for x in labels.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for i, j in np.argwhere(alike).tolist():
+        x, y = find(labels[i].item()), find(labels[j].item())
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
+
+
+def _open_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of one key and different labels; ``entries`` has (key, num, n, label).
+
+    A key's nodes are dealt into blocks of a bounded number of nodes and shingles, and every pair of blocks is compared in one
+    place, so no task holds a whole group and no pair is written out that is not a link.
+    """
+    keys_ = entries.groupBy("key").agg(
+        F.min("label").alias("__low"), F.max("label").alias("__high"),
+        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_NODES)).cast("int").alias("blocks"),
+    ).where("__low < __high").drop("__low", "__high")
+    dealt = (
+        entries.join(keys_, "key")
+        .withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "num", "label")
+        .join(sets, "num")
+        .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+        .select("key", "lo", "hi", "block", "num", "label", "shingles")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+
+        def compare() -> list[tuple[int, int]]:
+            if len({r[1] for r in rows}) < 2:
+                return []
+            found = links_among([r[3] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), percent)
+            return [(rows[i][0], rows[j][0]) for i, j in found]
+
+        for batch in batches:
+            out = []
+            shingles_ = batch.column("shingles")
+            values, at = shingles_.values.to_numpy(), shingles_.offsets.to_numpy()
+            fields = zip(*(batch.column(c).to_pylist() for c in ("key", "lo", "hi", "num", "label", "block")))
+            for i, (key, lo, hi, num, label, block) in enumerate(fields):
+                if group != (key, lo, hi):
+                    out += compare()
+                    group, rows = (key, lo, hi), []
+                rows.append((num, label, block, values[at[i] : at[i + 1]].copy()))
+            yield _pairs_batch(out)
+        yield _pairs_batch(compare())
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
@@ -114,50 +206,42 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         signed.where("n_shingles > 0").groupBy("node").agg(
             F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("u").alias("u"), F.first("v").alias("v"),
             F.count(F.lit(1)).alias("copies"))
+        .withColumn("num", F.monotonically_increasing_id())
     )
 
-    def entries(side: str) -> DataFrame:
-        return nodes.select("node", F.explode(side).alias("key"))
-
     def active(side: str) -> DataFrame:
-        rows = entries(side)
-        hit = _shared(rows, F.min("node"), F.max("node"))
-        return rows.join(hit, "key", "left_semi").select("node").distinct()
-
-    # Share a band of each collection with some node: only these can share a table.
-    live = nodes.join(active("u"), "node", "left_semi").join(active("v"), "node", "left_semi").select("node", "n", "u", "v")
-    tables = live.select("node", "n", F.explode(F.flatten(F.transform(
-        "u", lambda x: F.transform("v", lambda y: F.xxhash64(x, y))))).alias("key"))
-    shared = _shared(tables, F.min("node"), F.max("node"))
-    table = materialise(tables.join(shared.select("key", F.col("__low").alias("hub")), "key"))
-    sets = materialise(_sets_of(df, id_col, text, width, signed, table.select("node").distinct()))
-
-    sizes = nodes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
+        # One exchange serves the count and the join.
+        rows = nodes.select("num", F.explode(side).alias("key")).repartition("key")
+        return rows.join(_differing(rows, "num"), "key", "left_semi").select("num").distinct()
+
+    # Nodes that share a band of each collection with some node: only these can share a table.
+    live = nodes.join(active("u"), "num", "left_semi").join(active("v"), "num", "left_semi").select("num", "u", "v")
+    tables = live.select("num", F.explode(F.flatten(F.transform(
+        "u", lambda x: F.transform("v", lambda y: F.xxhash64(x, y))))).alias("key")).repartition("key")
+    table = materialise(tables.join(_differing(tables, "num"), "key").select("key", "num", F.col("least").alias("hub")))
+    sets = materialise(_sets_of(df, id_col, text, width, nodes.join(table.select("num").distinct(), "num", "left_semi")))
+
+    # Star around each table entry's hub: joins a group of copies without looking at its pairs.
+    sizes = nodes.select(F.col("num").alias("hub"), F.col("n").alias("hub_n"))
     close = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    star = materialise(
-        table.where("node != hub").select("node", "n", "hub").distinct().join(sizes, "hub").where(close)
-        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    star = (
+        table.where("num != hub").select("num", "hub").distinct().join(nodes.select("num", "n"), "num").join(sizes, "hub")
+        .where(close).select(F.col("hub").alias("a"), F.col("num").alias("b"))
     )
     links = materialise(_verified(star, sets, percent))
-    found = components(links)
-
-    # What is left: entries of one key in different components. Pairs within a component need no comparison.
-    labelled = table.join(found, "node", "left").select(
-        "key", "node", "n", F.coalesce("label", "node").alias("label"))
-    open_keys = _shared(labelled, F.min("label"), F.max("label"))
-    rest = materialise(labelled.join(open_keys, "key", "left_semi"))
-    other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    pairs = (
-        rest.join(other, "key")
-        .where((F.col("node") < F.col("b")) & (F.col("label") != F.col("bl"))
-               & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn")))
-        .select(F.col("node").alias("a"), "b").distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    links = links.union(_verified(pairs, sets, percent))
-    found = materialise(components(links))
-
-    labelled = nodes.select("node", "low", "copies").join(found, "node", "left")
+    found = components(links).select(F.col("node").alias("num"), "label")
+
+    # Table entries still in different components: their nodes are compared within the bands they share.
+    label = F.coalesce("label", "num").alias("label")
+    labelled = table.join(found, "num", "left").select("key", "num", label)
+    open_nodes = labelled.join(_differing(labelled, "label"), "key", "left_semi").select("num", "label").distinct()
+    entries = nodes.select("num", "n", "u").join(open_nodes, "num").select("num", "n", "label", F.explode("u").alias("key"))
+    more = _open_links(materialise(entries), sets, percent)
+    # Renamed: a union takes over constraints of a checkpoint's plan on columns that the checkpoint no longer has.
+    links = links.select(F.col("a").alias("x"), F.col("b").alias("y")).union(more).toDF("a", "b")
+    found = materialise(components(links)).select(F.col("node").alias("num"), "label")
+
+    labelled = nodes.select("node", "num", "low", "copies").join(found, "num", "left")
     least = labelled.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("low").alias("component"))
     classes = labelled.join(least, "label", "left").where("copies > 1 OR label IS NOT NULL").select(
         "node", F.coalesce("component", "low").alias("component"))
@@ -166,10 +250,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _sets_of(df: DataFrame, id_col: str, text: str, width: int, signed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes. One document of each is hashed again, which moves less than keeping all sets."""
-    ids = signed.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
+def _sets_of(df: DataFrame, id_col: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
+    """(num, shingles) of the wanted nodes. One document of each is hashed again, which moves less than keeping all sets."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    ids = wanted.select(F.col("low").alias("__id")).distinct()
     texts = rows.join(ids, rows["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
-    again = shingle_sets(texts, "doc_id", "text", width).join(wanted, "node", "left_semi")
-    return again.dropDuplicates(["node"]).select("node", "shingles")
+    again = shingle_sets(texts, "doc_id", "text", width).select("node", "shingles")
+    return again.join(wanted.select("node", "num"), "node").dropDuplicates(["num"]).select("num", "shingles")

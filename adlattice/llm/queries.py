@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlattice.llm import chat, mixing, near_dedup, packing, quality, secrets, sharding
+from adlattice.llm import chat, fingerprints, mixing, near_dedup, packing, quality, repeats, secrets, sharding, toxicity
 from adlattice.sources.tables import read_table
 
 SHARDS = 40
@@ -45,6 +46,10 @@ def op2_secret_automaton(spark: SparkSession, folder: str) -> DataFrame:
                         _joined(F.col("spans")).alias("spans"))
 
 
+def op3_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(documents(spark, folder))
+
+
 def op4_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, folder))
 
@@ -73,8 +78,26 @@ def op8_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
                        base.alias("base_failed"), quality.keeps().alias("kept"), "failed")
 
 
+def op9_gated_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder)
+    network = toxicity.fit(rows, read_table(spark, folder, "labels"))
+    return toxicity.score_toxicity(rows, network).select(
+        "doc_id", (~toxicity.learnable("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(documents(spark, folder))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_feistel_shards, op2_secret_automaton, op4_minhash_groups, op5_chat_format, op6_bin_slack_packing, op7_pfair_mix,
-    op8_rule_ledger,
+    op1_feistel_shards, op2_secret_automaton, op3_weighted_fingerprints, op4_minhash_groups, op5_chat_format,
+    op6_bin_slack_packing, op7_pfair_mix, op8_rule_ledger, op9_gated_toxicity, op10_suffix_repeats, pipeline,
 )}
 ORACLE: dict[str, str] = {}
