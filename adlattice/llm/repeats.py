@@ -4,18 +4,23 @@ A byte goes if a string of ``LENGTH`` bytes around it also starts in a document
 
 Suffixes are sampled by content: of the ``LENGTH - GRAM + 1`` short byte strings within a window of ``LENGTH`` bytes the
 one with the smallest hash is the window's anchor, so equal windows have equal anchors wherever they stand. Every window
-belongs to exactly one anchor. Suffixes are dealt by their anchor; anchors of a single document are dropped at once.
-
-What is left is indexed where it was dealt to. Documents come in batches in the order of their ids. The windows of a
-batch form a suffix array (ordered by the hash of their ``LENGTH`` bytes; only equality is asked of the order). It is scanned
-against the arrays of all levels for strings of an earlier document, then enters the family as the lowest level, and levels of
-about equal size are merged, so a family of n suffixes has at most log2(n) levels and each suffix is merged log2(n)
-times.
+belongs to exactly one anchor. Three steps narrow down what has to be indexed:
+
+1. Of equal texts only the first is looked at; the others go as a whole.
+2. Anchors are dealt by their hash; those of a single document are dropped.
+3. Shared anchors are dealt with a hash of all bytes that their windows cover. Where an earlier document has the same
+   bytes, all of the anchor's windows are repeats. Where all of a hash's anchors have the same bytes, nothing is left to
+   do; else the first holder of each variant goes on.
+
+What is left are edges of repeated passages. They are indexed where they are dealt to: documents come in batches in the
+order of their ids. The windows of a batch form a suffix array (ordered by the hash of their ``LENGTH`` bytes; only equality
+is asked of the order). It is scanned against the arrays of all levels for strings of an earlier document, then enters the
+family as the lowest level, and levels of about equal size are merged, so a family of n suffixes has at most log2(n)
+levels and each suffix is merged log2(n) times.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlattice.llm.arrays import blocks, text_buffers, window_hashes
+from adlattice.llm.arrays import blocks, mix, span_hashes, text_buffers, window_hashes
 
-LENGTH, GRAM = 50, 20
-BATCH_WINDOWS = 1 << 17
+LENGTH, GRAM = 50, 16
+BATCH_SUFFIXES = 8192
 #: Ids of this value stand for null.
 NO_ID = -(1 << 63)
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int):
@@ -104,184 +110,254 @@ class SuffixFamily:
         return out
 
 
-def _keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc_id, text, tag) without nulls, so that both uses of the dealt texts have the same plan and share one exchange."""
+def _home(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(doc_id, text, tag) without nulls, dealt by id. All uses have the same plan, so they share one exchange of texts."""
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
                      F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.withColumn("tag", F.xxhash64("text")).repartition("doc_id", "tag")
+    return rows.withColumn("tag", F.xxhash64("text")).repartition("doc_id")
+
+
+class Block:
+    """Some whole texts of a batch with their anchors."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: int, length: int, gram: int) -> None:
+        self.data, self.starts, self.at, self.rows = data, starts, at, len(starts)
+        self.key, place, self.first, self.last, self.owner = anchors(data, starts, ends, length, gram)
+        self.cover = np.zeros(0, np.int64)
+        if len(self.key):
+            covered = span_hashes(data, self.first, self.last + length)
+            self.cover = mix(covered ^ mix((place - self.first).astype(np.uint64))).view(np.int64)
 
+    def among(self, values: np.ndarray, lists: pa.ListArray) -> np.ndarray:
+        """Which anchors' values are in the list of their text; ``lists`` is the batch's column, a null list is empty."""
+        part = lists.slice(self.at, self.rows)
+        sizes = part.value_lengths().fill_null(0).to_numpy()
+        wanted = part.flatten().to_numpy().view(np.uint64) ^ mix(np.repeat(np.arange(self.rows, dtype=np.uint64), sizes))
+        return np.isin(values.view(np.uint64) ^ mix(self.owner.astype(np.uint64)), wanted)
 
-def _blocks(batch: pa.RecordBatch):
+
+def _blocks(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[Block]:
     data, offsets = text_buffers(batch.column("text"))
     for at, end in blocks(offsets, 1 << 18):
         low, high = int(offsets[at]), int(offsets[end])
-        yield at, end, data[low:high], offsets[at:end] - low, offsets[at + 1 : end + 1] - low
+        yield Block(data[low:high], offsets[at:end] - low, offsets[at + 1 : end + 1] - low, at, length, gram)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
+
+
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id) rows of keys with two documents or more, from rows sorted by both. A document's own repeat may count."""
+    held: tuple[int, int] | None = None  # a key's only row so far
+    shared: int | None = None  # the last key, if it has shown two
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
+        if held is not None:
+            key, doc = np.append(held[0], key), np.append(held[1], doc)
+        same = key[1:] == key[:-1]
+        keep = np.zeros(len(key), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        if shared is not None and key[0] == shared:
+            keep[key == shared] = True
+        held = None if keep[-1] else (int(key[-1]), int(doc[-1]))
+        shared = int(key[-1]) if keep[-1] else None
+        yield _batch(key=key[keep], doc_id=doc[keep])
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, cover, open) from (key, cover, doc_id) rows sorted by all three.
+
+    Rows behind the first of a (key, cover) are settled (not open): an earlier document has their bytes. First rows are
+    open where the key has several covers, and left out where it has one.
+    """
+    last: tuple[int, int, int] | None = None  # the last row
+    lone: tuple[int, int] | None = None  # first (cover, doc_id) of the last key, while that has one cover
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, cover, doc = (batch.column(c).to_numpy() for c in ("key", "cover", "doc_id"))
+        again = (key[1:] == key[:-1]) & (cover[1:] == cover[:-1]) & (doc[1:] == doc[:-1])
+        fresh = ~np.concatenate(([last == (key[0], cover[0], doc[0])], again))
+        if not fresh.any():
+            continue
+        key, cover, doc = key[fresh], cover[fresh], doc[fresh]
+        new_key = np.concatenate(([last is None or key[0] != last[0]], key[1:] != key[:-1]))
+        first = new_key | np.concatenate(([last is None or cover[0] != last[1]], cover[1:] != cover[:-1]))
+        run = np.cumsum(new_key)  # 0: still the key of the batch before
+        covers = np.bincount(run, first, minlength=run[-1] + 1)
+        carried = bool(run[0] == 0)
+        several = covers > 1
+        if carried:
+            several[0] = covers[0] > 0 or lone is None
+        yield _batch(doc_id=doc[~first], cover=cover[~first], open=np.zeros(int((~first).sum()), bool))
+        asked = first & several[run]
+        yield _batch(doc_id=doc[asked], cover=cover[asked], open=np.ones(int(asked.sum()), bool))
+        if carried and several[0] and lone is not None:
+            yield _batch(doc_id=[lone[1]], cover=[lone[0]], open=[True])
+        if several[run[-1]]:
+            lone = None
+        elif not (carried and run[-1] == 0):
+            at = int(np.flatnonzero(new_key)[-1])
+            lone = (int(cover[at]), int(doc[at]))
+        last = (int(key[-1]), int(cover[-1]), int(doc[-1]))
+
+
+def _index(length: int):
+    """Scan of (doc_id, first, bytes) rows in id order against a growing family: (doc_id, first, last) of repeated windows."""
+    def flush(held: list[pa.RecordBatch], family: SuffixFamily) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        column = batch.column("bytes").cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        counts = np.diff(offsets) - length + 1
+        row = np.repeat(np.arange(len(counts)), counts)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        hashes = window_hashes(data, length)[offsets[:-1][row] + step]
+        docs, first = batch.column("doc_id").to_numpy(), batch.column("first").to_numpy()
+        hit = np.flatnonzero(family.scan(hashes, docs[row]))
+        row, start = row[hit], first[row[hit]] + step[hit]
+        new = np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)))[: len(row)]
+        begin = np.flatnonzero(new)
+        stop = np.append(begin[1:], len(row))[: len(begin)] - 1
+        return _batch(doc_id=docs[row[begin]], tag=batch.column("tag").to_numpy()[row[begin]], first=start[begin], last=start[stop])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, held, rows = SuffixFamily(), [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_SUFFIXES):
+                held.append(batch.slice(at, BATCH_SUFFIXES))
+                rows += held[-1].num_rows
+                if rows >= BATCH_SUFFIXES:
+                    yield flush(held, family)
+                    held, rows = [], 0
+        if rows:
+            yield flush(held, family)
 
+    return run
 
-def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, tag, first, last): runs of windows, by their start bytes, that stand in a document with a smaller id.
 
-    ``tag`` is xxhash64 of the text. Rows with a null id or fewer than ``length`` bytes have none.
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, n_bytes, removed, kept): UTF-8 bytes of every text without those that earlier documents hold.
+
+    ``removed`` lists maximal runs (start, end) in bytes, end exclusive, ``kept`` is the remaining bytes as binary. Strings
+    are judged on the input. Null texts count as empty. Rows with a null id are left whole and remove nothing; rows with
+    the same id do not remove from each other, and equal ones stay repeated. Other columns are left out. ``length`` less
+    ``gram`` must be below 64.
     """
-    scanned = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where(
-        F.col("doc_id").isNotNull() & (F.col("doc_id") != NO_ID) & F.col("text").isNotNull()
-    ).withColumn("tag", F.xxhash64("text"))
+    identity = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    firsts = (
+        identity.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != NO_ID))
+        .groupBy(F.xxhash64("text").alias("tag"), F.crc32(F.col("text").cast("binary")).alias("c"), F.octet_length("text").alias("n"))
+        .agg(F.min("doc_id").alias("doc_id"))
+        .groupBy("doc_id").agg(F.collect_set("tag").alias("own_tags"))
+    )
+
+    def home() -> DataFrame:
+        return _home(df, id_col, text)
+
+    def first_texts() -> DataFrame:
+        return home().join(firsts, "doc_id").where(F.array_contains("own_tags", F.col("tag"))).drop("own_tags")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tags = batch.column("doc_id"), batch.column("tag")
-            for at, _, data, starts, ends in _blocks(batch):
-                key, place, _, _, owner = anchors(data, starts, ends, length, gram)
-                own = pa.array(owner + at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), ids.take(own), tags.take(own), pa.array((place - starts[owner]).astype(np.int32))]
-                    if len(owner) else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())],
-                    ["key", "doc_id", "tag", "place"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of keys with more than one document, from rows sorted by key and document."""
-        held: pa.RecordBatch | None = None  # first row of a key that has shown one document so far
-        last_key = last_doc = None
-        open_key = None  # key known to be shared
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
-            change = np.concatenate(([True], (key[1:] != key[:-1])))
-            run = np.cumsum(change) - 1
-            begin = np.flatnonzero(change)
-            end = np.append(begin[1:], len(key)) - 1
-            many = doc[begin] != doc[end]
-            carried = held is not None and key[0] == last_key
-            if open_key is not None and key[0] == open_key:
-                many[0] = True
-            elif carried:
-                if many[0] or doc[0] != last_doc:
-                    many[0] = True
-                    yield held
-                    held = None
-            keep = many[run]
-            if keep.any():
-                yield batch.filter(pa.array(keep))
-            tail = len(begin) - 1
-            open_key = int(key[-1]) if many[tail] else None
-            if many[tail]:
-                held = None
-            else:
-                part = batch.slice(int(begin[tail]))
-                if carried and tail == 0 and held is not None:
-                    part = pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
-                held = part
-            last_key, last_doc = int(key[-1]), int(doc[-1])
-
-    found = scanned.mapInArrow(find, "key long, doc_id long, tag long, place int")
-    # Equal rows have equal anchors; a document's own repeats never count, so one document's run may be held as it is.
-    places = (
-        found.repartition("key").sortWithinPartitions("key", "doc_id")
-        .mapInArrow(shared, "key long, doc_id long, tag long, place int")
-        .groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+            ids = batch.column("doc_id").to_numpy()
+            for b in _blocks(batch, length, gram):
+                order = np.lexsort((b.key, b.owner))
+                key, owner = b.key[order], b.owner[order]
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])))[: len(key)]
+                yield _batch(key=key[new], doc_id=ids[owner[new] + b.at])
+
+    shared = (
+        first_texts().select("doc_id", "text").mapInArrow(find, "key long, doc_id long")
+        .repartition("key").sortWithinPartitions("key", "doc_id")
+        .mapInArrow(_shared_keys, "key long, doc_id long")
+        .groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     )
-    at_home = _keyed(df, id_col, text).join(places, ["doc_id", "tag"])
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bytes around each shared anchor that its windows cover."""
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column("places")
-            ids, tags = batch.column("doc_id"), batch.column("tag")
-            for at, end, data, starts, ends in _blocks(batch):
-                key, place, first, last, owner = anchors(data, starts, ends, length, gram)
-                chosen = []
-                for i in range(end - at):
-                    low, high = np.searchsorted(owner, (i, i + 1))
-                    hit = np.isin(place[low:high] - starts[i], wanted[at + i].values.to_numpy())
-                    chosen.append(low + np.flatnonzero(hit))
-                chosen = np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
-                own = owner[chosen]
-                raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key[chosen]) if len(key) else pa.array([], pa.int64()),
-                    ids.take(pa.array(own + at, pa.int64())), tags.take(pa.array(own + at, pa.int64())),
-                    pa.array((first[chosen] - starts[own]).astype(np.int32)),
-                    pa.array([raw[a : b + length] for a, b in zip(first[chosen].tolist(), last[chosen].tolist())], pa.binary()),
-                ], ["key", "doc_id", "tag", "first", "bytes"])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = SuffixFamily()
-        held: list[pa.RecordBatch] = []
-        windows = 0
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            column = batch.column("bytes").cast(pa.large_binary())
-            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-            offsets = offsets - offsets[0]
-            counts = np.diff(offsets) - length + 1
-            row = np.repeat(np.arange(len(counts)), counts)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            hashes = window_hashes(data, length)[offsets[:-1][row] + step]
-            docs, first = batch.column("doc_id").to_numpy(), batch.column("first").to_numpy().astype(np.int64)
-            hit = np.flatnonzero(family.scan(hashes, docs[row]))
-            row, start = row[hit], first[row[hit]] + step[hit]
-            new = np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))) if len(row) else np.zeros(0, bool)
-            begin = np.flatnonzero(new)
-            stop = np.append(begin[1:], len(row))[: len(begin)] - 1
-            own = pa.array(row[begin], pa.int64())
-            held.clear()
-            return pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(own), batch.column("tag").take(own),
-                pa.array(start[begin], pa.int64()), pa.array(start[stop], pa.int64()),
-            ], ["doc_id", "tag", "first", "last"])
+            ids, lists = batch.column("doc_id").to_numpy(), batch.column("keys")
+            for b in _blocks(batch, length, gram):
+                hit = b.among(b.key, lists)
+                yield _batch(key=b.key[hit], cover=b.cover[hit], doc_id=ids[b.owner[hit] + b.at])
+
+    settled = (
+        first_texts().join(shared, "doc_id").select("doc_id", "text", "keys")
+        .mapInArrow(cover, "key long, cover long, doc_id long")
+        .repartition("key").sortWithinPartitions("key", "cover", "doc_id")
+        .mapInArrow(_settled, "doc_id long, cover long, open boolean")
+        # One column, so that both uses below keep it whole and share its exchange, as they share that of the texts.
+        .groupBy("doc_id").agg(F.collect_set(F.struct("open", "cover")).alias("states"))
+    )
+
+    def covers(opened: bool):
+        return F.transform(F.filter("states", lambda s: s["open"] == F.lit(opened)), lambda s: s["cover"])
 
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                held.append(part)
-                windows += part.num_rows
-                if windows * 16 > BATCH_WINDOWS:
-                    yield flush()
-                    windows = 0
-        if held and windows:
-            yield flush()
-
-    return (
-        at_home.select("doc_id", "tag", "text", "places").mapInArrow(
-            contexts, "key long, doc_id long, tag long, first int, bytes binary")
+            ids, tags, lists = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy(), batch.column("open")
+            for b in _blocks(batch, length, gram):
+                hit = np.flatnonzero(b.among(b.cover, lists))
+                raw, own = b.data.tobytes(), b.owner[hit]
+                pieces = [raw[x : y + length] for x, y in zip(b.first[hit].tolist(), b.last[hit].tolist())]
+                yield _batch(key=b.key[hit], doc_id=ids[own + b.at], tag=tags[own + b.at], first=b.first[hit] - b.starts[own],
+                             bytes=pa.array(pieces, pa.binary()))
+
+    runs = (
+        first_texts().join(settled.where(F.exists("states", lambda s: s["open"])), "doc_id")
+        .select("doc_id", "text", "tag", covers(True).alias("open"))
+        .mapInArrow(edges, "key long, doc_id long, tag long, first long, bytes binary")
         .repartition("key").sortWithinPartitions("doc_id").select("doc_id", "tag", "first", "bytes")
-        .mapInArrow(scan, "doc_id long, tag long, first long, last long")
+        .mapInArrow(_index(length), "doc_id long, tag long, first long, last long")
+        .groupBy("doc_id").agg(F.collect_set(F.struct("tag", "first", "last")).alias("runs"))
+    )
+    joined = (
+        home().join(firsts, "doc_id", "left").join(settled, "doc_id", "left").join(runs, "doc_id", "left")
+        .select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", covers(False).alias("covered"),
+                (F.col("own_tags").isNotNull() & ~F.array_contains("own_tags", F.col("tag"))
+                 | F.col("own_tags").isNull() & (F.col("doc_id") != NO_ID)).alias("copy"),
+                F.filter("runs", lambda r: r["tag"] == F.col("tag")).alias("runs"))
     )
-
-
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, n_bytes, removed, kept): UTF-8 bytes of every text without those that earlier documents hold.
-
-    ``removed`` lists maximal runs (start, end) in bytes, end exclusive, ``kept`` is the remaining bytes as binary. Strings
-    are judged on the input. Null texts count as empty. Rows with a null id are left whole and remove nothing; rows with
-    the same id do not remove from each other, and equal ones stay repeated. Other columns are left out.
-    """
-    ranges = repeated_ranges(df, id_col, text, length, gram)
-    spans = ranges.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    joined = _keyed(df, id_col, text).join(spans, ["doc_id", "tag"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, kept = [], [], []
-            for value, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
-                raw = value.encode()
-                merged: list[list[int]] = []
-                for first, last in sorted((r["first"], r["last"] + length) for r in runs or []):
-                    if merged and first <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], last)
+            copies, lists, more = batch.column("copy").to_pylist(), batch.column("covered"), batch.column("runs").to_pylist()
+            for b in _blocks(batch, length, gram):
+                hit = np.flatnonzero(b.among(b.cover, lists))
+                ranges: list[list[tuple[int, int]]] = [[] for _ in range(b.rows)]
+                for own, first, last in zip(b.owner[hit].tolist(), b.first[hit].tolist(), b.last[hit].tolist()):
+                    low = int(b.starts[own])
+                    ranges[own].append((first - low, last - low + length))
+                ends = [*b.starts[1:].tolist(), len(b.data)]
+                sizes, removed, kept = [], [], []
+                for i, (low, high) in enumerate(zip(b.starts.tolist(), ends)):
+                    raw = b.data[low:high].tobytes()
+                    if copies[b.at + i]:
+                        found = [(0, len(raw))] if len(raw) >= length else []
                     else:
-                        merged.append([first, last])
-                bounds = [0, *(p for m in merged for p in m), len(raw)]
-                sizes.append(len(raw))
-                removed.append([{"start": a, "end": b} for a, b in merged])
-                kept.append(b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2])) if merged else raw)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes, pa.int64()),
-                pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()),
-            ], ["doc_id", "n_bytes", "removed", "kept"])
-
-    return joined.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", "runs").mapInArrow(
-        cut, "doc_id long, n_bytes long, removed array<struct<start long, end long>>, kept binary")
+                        found = ranges[i] + [(r["first"], r["last"] + length) for r in more[b.at + i] or []]
+                    merged = join_ranges(found)
+                    bounds = [0, *(p for m in merged for p in m), len(raw)]
+                    sizes.append(len(raw))
+                    removed.append([{"start": x, "end": y} for x, y in merged])
+                    kept.append(b"".join(raw[x:y] for x, y in zip(bounds[::2], bounds[1::2])))
+                yield _batch(doc_id=batch.column("doc_id").slice(b.at, b.rows), n_bytes=pa.array(sizes, pa.int64()),
+                             removed=pa.array(removed, _SPANS), kept=pa.array(kept, pa.binary()))
+
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, removed array<struct<start long, end long>>, kept binary")
+
+
+def join_ranges(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of overlapping or touching ranges."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(found):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
