@@ -23,7 +23,7 @@ WINDOW, STRIDE = 48, 24
 WORD_DIMS, CHAR_DIMS, HIDDEN, ATTENTION = 12, 8, 8, 8
 TRIGRAMS = 1 << 12
 #: Bounds of the training sample: labelled rows per class, characters of a text that may be chosen, known words.
-TRAIN_ROWS, TRAIN_CHARS, TRAIN_WORDS = 2000, 20_000, 20_000
+TRAIN_ROWS, TRAIN_CHARS, TRAIN_WORDS = 1200, 20_000, 20_000
 #: Words are runs of ASCII letters and digits and of anything beyond ASCII.
 _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -248,9 +248,9 @@ def train(texts: list[str], toxic: np.ndarray, toxic_share: float, epochs: int =
     words = words_of(texts)
     toxic = np.asarray(toxic, bool)
     owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
-    pairs = np.unique(np.stack((words.place, owner)), axis=1)
-    holds = np.bincount(pairs[0], minlength=len(words.distinct))
-    bad = np.bincount(pairs[0], toxic[pairs[1]], len(words.distinct))
+    word, text = np.divmod(np.unique(words.place * len(texts) + owner), len(texts))
+    holds = np.bincount(word, minlength=len(words.distinct))
+    bad = np.bincount(word, toxic[text], len(words.distinct))
     # How far a word's texts are off the share of toxic ones, as a signed root of the likelihood ratio, less what chance
     # brings about among thousands of words.
     rate, share = bad / holds, min(max(toxic.mean(), 1e-6), 1 - 1e-6)
@@ -328,24 +328,20 @@ def _calibrate(net: Network, x: np.ndarray, toxic: np.ndarray, share: float) ->
 def training_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[list[str], np.ndarray, float]:
     """Texts, labels and the share of toxic rows: the bounded sample that the network is fitted to.
 
-    Only labelled rows whose crc32(id as text) is not divisible by 5 are read. Of each class the ``TRAIN_ROWS`` rows with
-    the smallest id hash are taken, among texts of at most ``TRAIN_CHARS`` characters, so the driver holds a bounded
-    amount.
+    Only labelled rows whose crc32(id as text) is not divisible by 5 are read. Of each class the ``TRAIN_ROWS`` ids with
+    the smallest hash are chosen from the labels alone; their number bounds what is broadcast to the scan of the texts.
+    Texts of more than ``TRAIN_CHARS`` characters are left out, so the driver holds a bounded amount.
     """
     known = labels.select(F.col(id_col).cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic")).where(
         "__id IS NOT NULL AND toxic IS NOT NULL").where(learnable("__id")).groupBy("__id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    texts, marks = [], []
+    chosen = [known.where(F.col("toxic") == mark).orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS) for mark in (0, 1)]
     rows = df.select(F.col(id_col).cast("long").alias("__id"), F.col(text).cast("string").alias("text")).where(
-        (F.length("text") <= TRAIN_CHARS))
-    for mark in (0, 1):
-        some = known.where(F.col("toxic") == mark).select("__id")
-        picked = rows.join(some, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id", "text").limit(TRAIN_ROWS)
-        found = [r["text"] for r in picked.select("text").collect()]
-        texts += found
-        marks += [mark] * len(found)
-    return texts, np.array(marks, bool), share
+        F.length("text") <= TRAIN_CHARS)
+    found = rows.join(F.broadcast(chosen[0].union(chosen[1])), "__id").select("__id", "toxic", "text").collect()
+    found.sort(key=lambda r: (r["toxic"], r["__id"], r["text"]))
+    return [r["text"] for r in found], np.array([r["toxic"] for r in found], bool), share
 
 
 def learnable(column: str):
