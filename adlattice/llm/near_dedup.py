@@ -256,4 +256,4 @@ def _sets_of(df: DataFrame, id_col: str, text: str, width: int, wanted: DataFram
     ids = wanted.select(F.col("low").alias("__id")).distinct()
     texts = rows.join(ids, rows["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
     again = shingle_sets(texts, "doc_id", "text", width).select("node", "shingles")
-    return again.join(wanted.select("node", "num"), "node").dropDuplicates(["num"]).select("num", "shingles")
+    return again.join(wanted.select("node", "num"), "node").dropDuplicates(["node"]).select("num", "shingles")

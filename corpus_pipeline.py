@@ -28,10 +28,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near duplicates the document with the smallest id; of equal rows with that id, one.
 
-    Documents without words are linked with nothing and stay.
+    Documents without words are linked with nothing and stay, as do rows without an id. Where rows with different texts
+    share an id, they go only if all of them would.
     """
-    removed = near_dedup.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(removed, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").dropDuplicates()
+    groups = near_dedup.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    # The join deals texts by id, which also brings equal rows together.
+    return docs.join(groups.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns).dropDuplicates()
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
