@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from adlattice.operators.embedding import Encoder
 from adlattice.operators.lifecycle import merge_by_policy
@@ -52,8 +53,12 @@ def cached_results(cache: DataFrame, ads: DataFrame, now: Column, hashes: DataFr
     hits = live.select("query_hash", F.posexplode(pairs).alias("position", "__hit")).select(
         "query_hash", "position", "__hit.ad_id", "__hit.similarity_score"
     )
-    kept = hits if limit is None else hits.where(F.col("position") < limit)
-    return kept.join(ads.where("active").select("ad_id", "title", "description"), "ad_id")
+    shown = hits.join(ads.where("active").select("ad_id", "title", "description"), "ad_id")
+    if limit is None:
+        return shown
+    # Cut after inactive listings are gone, else later live results would be lost.
+    order = Window.partitionBy("query_hash").orderBy("position")
+    return shown.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= limit).drop("__rank")
 
 
 def purge_expired(cache: DataFrame, now: Column, lag: str = "1 day") -> DataFrame:

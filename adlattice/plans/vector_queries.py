@@ -268,7 +268,8 @@ ORACLE = {
     "cache_live": f"""WITH {CACHE} SELECT c.query_hash, c.position, c.ad_id, round(c.similarity_score, 6) AS similarity_score,
           o.o_orderpriority AS title, o.o_orderstatus AS description
         FROM cache c JOIN orders o ON o.o_orderkey = c.ad_id
-        WHERE expires_at > TIMESTAMP '{NOW}' AND position < 5 AND o.o_orderstatus <> 'F'""",
+        WHERE expires_at > TIMESTAMP '{NOW}' AND o.o_orderstatus <> 'F'
+        QUALIFY row_number() OVER (PARTITION BY c.query_hash ORDER BY c.position) <= 5""",
     "cache_purge": f"""WITH {CACHE} SELECT query_hash, any_value(expires_at) AS expires_at, count(*) AS results FROM cache
         WHERE NOT expires_at < TIMESTAMP '{NOW}' - INTERVAL 30 DAY GROUP BY query_hash""",
     "cache_purge_count": f"""WITH {CACHE} SELECT count(*) FILTER (WHERE expires_at < TIMESTAMP '{NOW}' - INTERVAL 30 DAY) AS purged,
