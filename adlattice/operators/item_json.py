@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -113,34 +114,46 @@ def strict_integer(text: str) -> str:
     return f"coalesce(try_cast({inside} AS int), try_cast(try_cast({text} AS double) AS int))"
 
 
-def strings_in(value) -> Iterator[str]:
-    """Item texts inside a JSON value: nested lists first, a name-like key otherwise."""
-    match value:
-        case str():
-            if text := value.strip():
-                yield text
-        case list():
-            for part in value:
-                yield from strings_in(part)
-        case dict():
-            nested = [text for key in NESTED_KEYS for text in strings_in(value.get(key))]
-            names = (value[key].strip() for key in NAME_KEYS if isinstance(value.get(key), str))
-            yield from nested or [name for name in names if name][:1]
-
-
-def items_under(root, label: str) -> Iterator[str]:
-    """Item texts of every object, at any depth, whose heading reads ``label``."""
-    waiting = [root]
-    while waiting:
-        node = waiting.pop()
-        if isinstance(node, dict):
-            heading = next((node[key] for key in HEADING_KEYS if isinstance(node.get(key), str)), "")
-            if heading.strip().lower() == label:
-                for key in NESTED_KEYS:
-                    yield from strings_in(node.get(key))
-            waiting.extend(reversed(list(node.values())))
-        elif isinstance(node, list):
-            waiting.extend(reversed(node))
+class Summary(NamedTuple):
+    """What is kept of an object once it has been parsed."""
+
+    items: list[str]  # its own item texts
+    labelled: list[str]  # the items of all objects in it, itself included, under the heading asked for
+
+
+def opened(value) -> Iterator:
+    """Texts and object summaries of a value, with lists of any depth opened."""
+    pending = [value]
+    while pending:
+        one = pending.pop()
+        if isinstance(one, list):
+            pending += one[::-1]
+        elif isinstance(one, str | Summary):
+            yield one
+
+
+def item_texts(value) -> list[str]:
+    """Item texts of a parsed value: trimmed texts, and those of its objects."""
+    texts = []
+    for one in opened(value):
+        texts += one.items if isinstance(one, Summary) else filter(None, [one.strip()])
+    return texts
+
+
+def summariser(label: str) -> Callable[[dict], Summary]:
+    """Decoder hook: objects are reduced from the innermost outwards, so no tree is kept or walked."""
+
+    def first_text(fields: dict, keys: list[str]) -> str:
+        return next((fields[k] for k in keys if isinstance(fields.get(k), str)), "")
+
+    def summary(fields: dict) -> Summary:
+        nested = item_texts([fields.get(k) for k in NESTED_KEYS])
+        labelled = nested.copy() if first_text(fields, HEADING_KEYS).strip().lower() == label else []
+        for one in opened(list(fields.values())):
+            labelled += one.labelled if isinstance(one, Summary) else []
+        return Summary(nested or item_texts([v for k in NAME_KEYS if isinstance(v := fields.get(k), str)])[:1], labelled)
+
+    return summary
 
 
 def labelled_items(label: str):
@@ -152,14 +165,16 @@ def labelled_items(label: str):
 
     @F.arrow_udf("array<array<string>>")
     def read(column: pa.Array) -> pa.Array:
-        out = []
-        for texts in column.to_pylist():
-            found = []
-            for position, text in enumerate(texts or []):
-                value = None if text is None else json.loads(text)
-                found.append([] if value is None else list(items_under(value, label) if position == 0 else strings_in(value)))
-            out.append(found)
-        return pa.array(out, pa.list_(pa.list_(pa.string())))
+        decode = json.JSONDecoder(object_hook=summariser(label)).decode
+
+        def found(place: int, text: str | None) -> list[str]:
+            value = None if text is None else decode(text)
+            if place > 0:
+                return item_texts(value)
+            return [t for one in opened(value) if isinstance(one, Summary) for t in one.labelled]
+
+        rows = ([found(i, t) for i, t in enumerate(texts or [])] for texts in column.to_pylist())
+        return pa.array(list(rows), pa.list_(pa.list_(pa.string())))
 
     return read
 

@@ -8,6 +8,7 @@ from urllib.parse import quote
 import pytest
 from pyspark.sql import functions as F
 
+from adlattice.operators.item_json import labelled_items
 from adlattice.operators.items import parse_items
 from adlattice.operators.quality import informative_rows
 
@@ -146,3 +147,16 @@ def test_informative_gate_and_provenance(parsed):
     assert kept == set(range(1, 9))
     packs = json.loads(rows[6]["source_json"])
     assert packs["dom"]["postal_code"] == "4610" and "jsonld" in packs
+
+
+def test_labelled_items_at_any_depth(spark):
+    inner = {"heading": " Utstyr ", "items": ["GPS", " ", {"label": "VHF"}, {"title": "x", "children": [["AIS"]]}]}
+    outer = {"title": "utstyr", "list": [inner], "other": 7}
+    deep = outer
+    for _ in range(400):
+        deep = {"a": [deep]}
+    texts = [json.dumps(deep), json.dumps(["A", [{"name": " ", "text": "B"}], {"value": "C", "text": "D"}]), None]
+    df = spark.createDataFrame([(texts,), (None,)], "texts array<string>")
+    rows = [r[0] for r in df.select(labelled_items("utstyr")("texts")).collect()]
+    # The outer object is headed too: its own items come before those of the headed object inside it.
+    assert rows == [[["GPS", "VHF", "AIS"] * 2, ["A", "B", "C"], []], []]
