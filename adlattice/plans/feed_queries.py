@@ -12,54 +12,47 @@ from adlattice.sources import archive, snapshots
 from adlattice.sources.tables import read_table
 from adlattice.streaming import feeds
 
+_BATCHES = 5
 _SNAPSHOT_COLUMNS = ["ad_id", "price", "scraped_at", "snapshot_id"]
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """``events`` as a stream of snapshots."""
-    schema = read_table(spark, sf, "events").schema
-    return feeds.stream_files(spark, f"{sf}/events*.parquet", schema).select(
-        F.col("user_id").alias("ad_id"),
-        F.col("ts").alias("scraped_at"),
-        F.col("event_id").alias("snapshot_id"),
-        F.col("value").alias("price"),
-    )
+def _in_batches(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` as a stream of about ``_BATCHES`` batches, each with rows from all over the table.
 
+    Every task writes its rows by hash into a few files, so nothing is shuffled, and a batch takes its share of the files.
+    """
+    path = scratch_path(spark, "stream-input")
+    rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(_BATCHES))).write.partitionBy("part").parquet(path)
+    written = spark.read.parquet(path)
+    files = -(-len(written.inputFiles()) // _BATCHES)
+    return feeds.stream_files(spark, path, written.schema, files).drop("part")
 
-def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event offered twice to the idempotent append; each is stored once."""
-    twice = _event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    stamped = twice.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
-    target = scratch_path(spark, "stream-dedupe")
-    feeds.append_deduplicated(stamped, ["ad_id", "scraped_at"], "scraped_at", target, scratch_path(spark, "checkpoint"), "40 days")
-    stored = spark.read.parquet(target)
-    return stored.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
 
+def _snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The snapshot log as a stream in which most rows come late."""
+    return _in_batches(spark, event_snapshots(spark, sf).select(*_SNAPSHOT_COLUMNS), "snapshot_id")
 
-def _events_by_week(spark: SparkSession, sf: str) -> str:
-    """The snapshot log as files of one week each, which a stream reads as several batches."""
-    path = scratch_path(spark, "weeks")
-    week = F.floor(F.dayofmonth("scraped_at") / F.lit(7)).cast("int")
-    log = event_snapshots(spark, sf).select(*_SNAPSHOT_COLUMNS).withColumn("week", week)
-    log.repartition("week").write.parquet(path)
-    return path
+
+def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event offered twice, out of order, to the idempotent append; each is stored once."""
+    target = scratch_path(spark, "stream-dedupe")
+    twice = _snapshot_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    feeds.append_deduplicated(twice, ["ad_id", "scraped_at"], ["snapshot_id"], target, scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(target).drop("batch")
 
 
 def stream_master(spark: SparkSession, sf: str) -> DataFrame:
     """Newest snapshot of every listing, merged batch by batch from a stream of files."""
-    path, root = _events_by_week(spark, sf), scratch_path(spark, "master")
-    log = spark.read.parquet(path)
-    stream = feeds.stream_files(spark, path, log.schema, 1).drop("week")
-    feeds.maintain_master(stream, root, scratch_path(spark, "checkpoint"))
+    root = scratch_path(spark, "master")
+    feeds.maintain_master(_snapshot_stream(spark, sf), root, scratch_path(spark, "checkpoint"))
     return snapshots.read_snapshot(spark, root)
 
 
 def stream_price_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Price changes found batch by batch over the whole log."""
-    path, history = _events_by_week(spark, sf), scratch_path(spark, "changes")
-    stream = feeds.stream_files(spark, path, spark.read.parquet(path).schema, 1).drop("week")
-    feeds.watch_prices(stream, scratch_path(spark, "prices"), history, scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(history).drop("batch")
+    """Price changes found batch by batch over the whole log, which comes out of order."""
+    history = scratch_path(spark, "changes")
+    feeds.watch_prices(_snapshot_stream(spark, sf), scratch_path(spark, "prices"), history, scratch_path(spark, "checkpoint"))
+    return feeds.price_changes(spark.read.parquet(f"{history}/changes").drop("batch"))
 
 
 def stream_cache(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,9 +63,8 @@ def stream_cache(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("expires_at"),
         (F.col("o_orderdate") + F.make_interval(secs=F.col("o_orderkey") / 1000000)).alias("created_at"),
     )
-    path, root = scratch_path(spark, "entries"), scratch_path(spark, "cache")
-    entries.repartition(3).write.parquet(path)
-    feeds.maintain_cache(feeds.stream_files(spark, path, entries.schema, 1), root, scratch_path(spark, "checkpoint"), "30 days")
+    root = scratch_path(spark, "cache")
+    feeds.maintain_cache(_in_batches(spark, entries, "created_at"), root, scratch_path(spark, "checkpoint"), "30 days")
     return snapshots.read_snapshot(spark, root).select("query_hash", F.get("result_ad_ids", F.lit(0)).alias("ad_id"), "expires_at")
 
 

@@ -121,15 +121,16 @@ def processed_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def replaced_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunk table after the texts were cut to their first 500 characters and chunked again."""
+    """Chunk table after every English text was replaced by the next document's and chunked again."""
     texts = documents(spark, sf)
     old_time, now = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-01", "2024-02-01"))
     columns = ["ad_id", "chunk_source", "chunk_order", "chunk_length"]
     old = chunking.text_chunks(texts.withColumnRenamed("doc_id", "ad_id"), "ad_id", "text").select(
         *columns, old_time.alias("created_at"), old_time.alias("updated_at")
     )
-    shorter = texts.where(F.col("lang") == "en").select(F.col("doc_id").alias("ad_id"), F.substring("text", 1, 500).alias("text"))
-    new = chunking.text_chunks(shorter, "ad_id", "text").select(*columns)
+    following = texts.select((F.col("doc_id") - 1).alias("ad_id"), "text")
+    swapped = following.join(texts.where(F.col("lang") == "en").select(F.col("doc_id").alias("ad_id")), "ad_id")
+    new = chunking.text_chunks(swapped, "ad_id", "text").select(*columns)
     return queues.replace_chunks(old, new, now).drop("chunk_source")
 
 
@@ -234,11 +235,8 @@ def query_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def short_queries(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversation turns usable as queries, cut to their first word."""
-    turns = read_table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.split_part("text", F.lit(" "), F.lit(1)).alias("text")
-    )
-    return search.usable_queries(turns)
+    """Conversation turns usable as queries."""
+    return search.usable_queries(read_table(spark, sf, "conversations").select("conv_id", "turn", "text"))
 
 
 def nightly_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -510,8 +508,8 @@ ORACLE = {
           AND NOT coalesce(has_embeddings, FALSE) AS done FROM listings)
         SELECT ad_id, active, CASE WHEN done THEN TRUE ELSE has_embeddings END AS has_embeddings,
           CASE WHEN done THEN TIMESTAMP '2024-02-01' END AS semantic_processed_at FROM due""",
-    "replaced_chunks": f"""WITH short AS (SELECT doc_id, substr(text, 1, 500) AS text FROM documents WHERE lang = 'en'),
-        {chunks_sql('documents')}, {chunks_sql('short', p='s_')}
+    "replaced_chunks": f"""WITH swapped AS (SELECT d.doc_id, n.text FROM documents d JOIN documents n ON n.doc_id = d.doc_id + 1 WHERE d.lang = 'en'),
+        {chunks_sql('documents')}, {chunks_sql('swapped', p='s_')}
         SELECT doc_id AS ad_id, chunk_order, chunk_length, TIMESTAMP '2024-01-01' AS created_at, TIMESTAMP '2024-01-01' AS updated_at
         FROM chunks WHERE doc_id NOT IN (SELECT doc_id FROM s_chunks)
         UNION ALL SELECT s.doc_id, s.chunk_order, s.chunk_length,
@@ -534,8 +532,7 @@ ORACLE = {
     "search_texts_listing_first": _search_sql(True),
     "query_fingerprint": """SELECT item_id AS query_id, 'plain' AS kind, md5(text || '|None|0.6|10|False') AS query_hash FROM benchmark
         UNION ALL SELECT item_id, 'aspect', md5('motor: ' || text || '|[''motor'']|0.5|10|True') FROM benchmark""",
-    "short_queries": f"""WITH turns AS (SELECT conv_id, turn, split_part(text, ' ', 1) AS text FROM conversations)
-        SELECT * FROM turns WHERE length({_strip('text')}) >= 3""",
+    "short_queries": f"""SELECT conv_id, turn, text FROM conversations WHERE length({_strip('text')}) >= 3""",
     "nightly_scores": f"""WITH {DESCRIPTIONS}, s AS ({_score_sql(WORD_LEXICON)}),
         kept AS (SELECT doc_id AS ad_id, aspect, raw_score FROM s JOIN listings l ON l.ad_id = s.doc_id
           WHERE l.active AND (coalesce(l.has_embeddings, FALSE) OR length(trim(l.description)) > 50))

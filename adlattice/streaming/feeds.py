@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from adlattice.operators.keyed import latest_per_key, previous_per_key
+from adlattice.operators.keyed import first_per_key, latest_per_key, previous_per_key
 from adlattice.operators.lifecycle import price_differs
+from adlattice.sources.archive import path_exists
 from adlattice.sources.snapshots import read_snapshot, versions, write_snapshot
 
 
@@ -22,11 +23,6 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, files_per
     return reader.parquet(path)
 
 
-def deduplicated(stream: DataFrame, keys: list[str], time: str, delay: str = "1 day") -> DataFrame:
-    """First row per key; repeats that arrive within ``delay`` are dropped and old keys forgotten."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
-
-
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Process everything there is and stop; a later run goes on where this one ended."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -34,11 +30,31 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def append_deduplicated(stream: DataFrame, keys: list[str], time: str, target: str, checkpoint: str,
-                        delay: str = "1 day") -> None:
-    """Idempotent append as a stream into a parquet folder."""
-    rows = deduplicated(stream, keys, time, delay)
-    run_available(rows.writeStream.format("parquet").outputMode("append").option("path", target), checkpoint)
+def earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What the batches before ``batch_id`` have written to ``path``; None if nothing yet.
+
+    One scan of the whole folder, where the batch number is a partition column.
+    """
+    if not path_exists(spark, path):
+        return None
+    return spark.read.parquet(path).where(F.col("batch") < batch_id).drop("batch")
+
+
+def append_deduplicated(stream: DataFrame, keys: list[str], order: list[str], target: str, checkpoint: str) -> None:
+    """Idempotent append as a stream into a parquet folder: the first row of every key, in arrival order.
+
+    Only keys that are stored already are left out, however late a row comes. A batch has its own
+    folder, so a repeated batch replaces its rows.
+    """
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        stored = earlier_batches(batch.sparkSession, target, batch_id)
+        rows = first_per_key(batch, keys, order)
+        if stored is not None:
+            rows = rows.join(stored.select(*keys), keys, "left_anti").select(batch.columns)
+        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    run_available(stream.writeStream.foreachBatch(insert), checkpoint)
 
 
 def newest_prices(ads: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -74,40 +90,76 @@ def maintain_master(stream: DataFrame, root: str, checkpoint: str) -> None:
     run_available(stream.writeStream.foreachBatch(merge), checkpoint)
 
 
-def changes_in_batch(before: DataFrame | None, batch: DataFrame, rows_per_slice: int = 4_000_000) -> DataFrame:
-    """Price changes a micro-batch adds to the known state, in scrape-time order.
+SNAPSHOT = ["ad_id", "scraped_at", "snapshot_id", "price"]
+CHANGE = ["ad_id", "snapshot_id", "changed_at", "old_price", "new_price"]
 
-    The last known snapshot of each listing joins its new ones as their predecessor. Snapshots that
-    are not newer than the state are late and report nothing. A missing price is remembered but not
-    reported. A listing with very many snapshots in one batch is cut into slices like in the batch form.
-    """
-    columns = ["ad_id", "scraped_at", "snapshot_id", "price"]
-    rows = batch.select(*columns, F.lit(True).alias("new"))
-    if before is not None:
-        known = before.select("ad_id", F.col("scraped_at").alias("known_time"))
-        rows = rows.join(known, "ad_id", "left").where(
-            F.col("known_time").isNull() | (F.col("scraped_at") > F.col("known_time"))
-        ).drop("known_time")
-        seed = before.select(*columns, F.lit(False).alias("new"))
-        rows = rows.unionByName(seed.join(batch.select("ad_id"), "ad_id", "left_semi"))
+
+def price_pairs(rows: DataFrame) -> DataFrame:
+    """Price changes between neighbouring snapshots of each listing; a missing price is remembered but not reported."""
     seen = rows.withColumn("seen", F.struct("price"))
-    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before", rows_per_slice)
+    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before")
     return in_order.where(
-        F.col("new") & F.col("before").isNotNull() & F.col("price").isNotNull()
-        & price_differs(F.col("before.price"), F.col("price"))
-    ).select("ad_id", F.col("before.price").alias("old_price"), F.col("price").alias("new_price"),
-             F.col("scraped_at").alias("changed_at"))
+        F.col("before").isNotNull() & F.col("price").isNotNull() & price_differs(F.col("before.price"), F.col("price"))
+    )
+
+
+def as_changes(pairs: DataFrame, sign: int) -> DataFrame:
+    return pairs.select(
+        "ad_id", "snapshot_id", F.col("scraped_at").alias("changed_at"), F.col("before.price").alias("old_price"),
+        F.col("price").alias("new_price"), F.lit(sign).alias("sign"),
+    )
+
+
+def late_listings(before: DataFrame, batch: DataFrame) -> DataFrame:
+    """Listings of which the batch has a snapshot that is not newer than the known state."""
+    known = before.select("ad_id", F.struct("scraped_at", "snapshot_id").alias("known"))
+    late = batch.join(known, "ad_id").where(F.struct("scraped_at", "snapshot_id") <= F.col("known"))
+    return late.select("ad_id").distinct()
+
+
+def changes_in_batch(before: DataFrame | None, batch: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    """Price changes a micro-batch adds to the known ones, as rows with ``sign`` 1, or -1 for one taken back.
+
+    Where all snapshots of a listing are newer than its state, the state joins them as their
+    predecessor. A late snapshot comes between two others: of such listings the pairs over the
+    whole ``log`` (all earlier batches) are taken back, and those with the batch in it reported.
+    Snapshots equal in listing, time and number are one.
+    """
+    new = batch.select(*SNAPSHOT).dropDuplicates(SNAPSHOT[:3]).withColumn("new", F.lit(True))
+    if before is None:
+        return as_changes(price_pairs(new), 1)
+    late = late_listings(before, new)
+    seed = before.join(new.select("ad_id"), "ad_id", "left_semi").select(*SNAPSHOT, F.lit(False).alias("new"))
+    on_time = as_changes(price_pairs(new.unionByName(seed).join(late, "ad_id", "left_anti")).where("new"), 1)
+    if log is None:
+        return on_time
+    known = log.select(*SNAPSHOT).join(late, "ad_id", "left_semi").dropDuplicates(SNAPSHOT[:3])
+    fresh = new.drop("new").join(late, "ad_id", "left_semi").join(known, SNAPSHOT[:3], "left_anti").select(*SNAPSHOT)
+    was, now = as_changes(price_pairs(known), -1), as_changes(price_pairs(known.unionByName(fresh)), 1)
+    corrections = was.unionByName(now).groupBy(*CHANGE).agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
+    return on_time.unionByName(corrections.select(on_time.columns))
+
+
+def price_changes(history: DataFrame) -> DataFrame:
+    """The changes that hold after all batches of :func:`watch_prices`."""
+    standing = history.groupBy(*CHANGE).agg(F.sum("sign").alias("sign")).where("sign > 0")
+    return standing.select("ad_id", "old_price", "new_price", "changed_at")
 
 
 def watch_prices(stream: DataFrame, root: str, history: str, checkpoint: str) -> None:
     """Append every price change of a snapshot stream to ``history`` and keep the newest state in ``root``.
 
-    A batch's changes go to their own folder before the new state is written, so a repeated batch
-    replaces its changes instead of adding them twice.
+    Snapshots may come in any order. A batch's snapshots (``history/log``) and changes
+    (``history/changes``) go to their own folders before the new state is written, so a repeated
+    batch replaces them instead of adding them twice. The log is read only for late listings.
     """
 
     def step(before: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
-        changes_in_batch(before, batch).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+        spark = batch.sparkSession
+        batch.select(*SNAPSHOT).write.mode("overwrite").parquet(f"{history}/log/batch={batch_id}")
+        earlier = earlier_batches(spark, f"{history}/log", batch_id)
+        rows = spark.read.parquet(f"{history}/log/batch={batch_id}")
+        changes_in_batch(before, rows, earlier).write.mode("overwrite").parquet(f"{history}/changes/batch={batch_id}")
         return newest_prices(before, batch)
 
     run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)

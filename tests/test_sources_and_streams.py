@@ -165,19 +165,35 @@ def write_batch(spark, path, rows):
     spark.createDataFrame(data, SNAPSHOTS).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_streams_go_on_and_ignore_late_rows(spark):
+def changes_of(spark, history):
+    rows = feeds.price_changes(spark.read.parquet(f"{history}/changes").drop("batch")).collect()
+    return sorted(((r["ad_id"], r["old_price"], r["new_price"]) for r in rows), key=str)
+
+
+def test_late_and_equal_time_rows_change_the_pairs(spark):
     path, root, history, check = (scratch_path(spark, n) for n in ("in", "state", "changes", "check"))
-    write_batch(spark, path, [(1, 5.0, 0), (1, 6.0, 2), (1, 6.0, 3), (2, 1.0, 0)])
+    write_batch(spark, path, [(1, 5.0, 0), (1, 6.0, 2), (1, 6.0, 3), (2, 1.0, 0), (4, 10.0, 0)])
     stream = lambda: feeds.stream_files(spark, path, spark.read.parquet(path).schema, 1)
     feeds.watch_prices(stream(), root, history, check)
-    write_batch(spark, path, [(1, 9.0, 1), (1, None, 4), (1, 7.0, 5), (2, 1.0, 6), (3, 2.0, 6)])
+    assert changes_of(spark, history) == [(1, 5.0, 6.0)]
+    write_batch(spark, path, [(1, 9.0, 1), (1, None, 4), (1, 7.0, 5), (2, 1.0, 6), (3, 2.0, 6), (4, 20.0, 0)])
     feeds.watch_prices(stream(), root, history, check)
-    changes = sorted((r["ad_id"], r["old_price"], r["new_price"]) for r in spark.read.parquet(history).collect() if r["old_price"])
-    assert changes == [(1, 5.0, 6.0)]  # the late 9.0 is ignored, NULL is not reported
-    after_null = [(r["ad_id"], r["new_price"]) for r in spark.read.parquet(history).collect() if r["old_price"] is None]
-    assert after_null == [(1, 7.0)]  # the way back from NULL is a change
+    # The late 9.0 splits a pair; NULL is not reported, the way back from it is; snapshot 5 of listing 4 has the time of 4.
+    assert changes_of(spark, history) == [(1, 5.0, 9.0), (1, 9.0, 6.0), (1, None, 7.0), (4, 10.0, 20.0)]
     state = {r["ad_id"]: r["price"] for r in snapshots.read_snapshot(spark, root).collect()}
-    assert state == {1: 7.0, 2: 1.0, 3: 2.0}
+    assert state == {1: 7.0, 2: 1.0, 3: 2.0, 4: 20.0}
+    write_batch(spark, path, [(1, 5.0, 0)])  # a snapshot that is known already
+    feeds.watch_prices(stream(), root, history, check)
+    assert len(changes_of(spark, history)) == 4
+
+
+def test_append_keeps_late_rows(spark):
+    path, target, check = (scratch_path(spark, n) for n in ("in", "stored", "check"))
+    for rows in ([(1, 5.0, 900), (1, 5.5, 900)], [(1, 4.0, 0), (1, 6.0, 900)]):
+        write_batch(spark, path, rows)
+        stream = feeds.stream_files(spark, path, spark.read.parquet(path).schema, 1)
+        feeds.append_deduplicated(stream, ["ad_id", "scraped_at"], ["snapshot_id"], target, check)
+    assert sorted(r["price"] for r in spark.read.parquet(target).collect()) == [4.0, 5.0]
 
 
 def test_repeated_batch_changes_nothing(spark):
