@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from adlattice.operators.keyed import first_per_key, latest_per_key, previous_per_key
 from adlattice.operators.lifecycle import price_differs
+from adlattice.session import materialise
 from adlattice.sources.archive import path_exists
 from adlattice.sources.snapshots import read_snapshot, versions, write_snapshot
 
@@ -94,50 +95,41 @@ SNAPSHOT = ["ad_id", "scraped_at", "snapshot_id", "price"]
 CHANGE = ["ad_id", "snapshot_id", "changed_at", "old_price", "new_price"]
 
 
-def price_pairs(rows: DataFrame) -> DataFrame:
-    """Price changes between neighbouring snapshots of each listing; a missing price is remembered but not reported."""
-    seen = rows.withColumn("seen", F.struct("price"))
-    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before")
-    return in_order.where(
-        F.col("before").isNotNull() & F.col("price").isNotNull() & price_differs(F.col("before.price"), F.col("price"))
-    )
-
-
-def as_changes(pairs: DataFrame, sign: int) -> DataFrame:
-    return pairs.select(
-        "ad_id", "snapshot_id", F.col("scraped_at").alias("changed_at"), F.col("before.price").alias("old_price"),
-        F.col("price").alias("new_price"), F.lit(sign).alias("sign"),
-    )
-
-
-def late_listings(before: DataFrame, batch: DataFrame) -> DataFrame:
-    """Listings of which the batch has a snapshot that is not newer than the known state."""
-    known = before.select("ad_id", F.struct("scraped_at", "snapshot_id").alias("known"))
-    late = batch.join(known, "ad_id").where(F.struct("scraped_at", "snapshot_id") <= F.col("known"))
-    return late.select("ad_id").distinct()
-
-
-def changes_in_batch(before: DataFrame | None, batch: DataFrame, log: DataFrame | None = None) -> DataFrame:
+def changes_in_batch(before: DataFrame | None, batch: DataFrame, log: DataFrame | None = None,
+                     history: DataFrame | None = None) -> DataFrame:
     """Price changes a micro-batch adds to the known ones, as rows with ``sign`` 1, or -1 for one taken back.
 
     Where all snapshots of a listing are newer than its state, the state joins them as their
-    predecessor. A late snapshot comes between two others: of such listings the pairs over the
-    whole ``log`` (all earlier batches) are taken back, and those with the batch in it reported.
-    Snapshots equal in listing, time and number are one.
+    predecessor. A late snapshot comes between two others: such listings are compared again over
+    the whole ``log`` of earlier batches, and what differs from their ``history`` is corrected.
+    A missing price is remembered but not reported. Snapshots equal in listing, time and number are
+    one, with the lowest price.
     """
-    new = batch.select(*SNAPSHOT).dropDuplicates(SNAPSHOT[:3]).withColumn("new", F.lit(True))
+    key = SNAPSHOT[:3]
+    new = batch.select(*SNAPSHOT, F.lit(True).alias("new"), F.lit(False).alias("late"))
+    if before is not None:
+        known = before.select("ad_id", F.struct(*key[1:]).alias("known"))
+        touched = batch.groupBy("ad_id").agg(F.min(F.struct(*key[1:])).alias("first")).join(known, "ad_id").select(
+            "ad_id", (F.col("first") <= F.col("known")).alias("late"))
+        late = touched.where("late")
+        new = new.drop("late").join(touched, "ad_id", "left").withColumn("late", F.coalesce("late", F.lit(False)))
+        new = new.unionByName(before.join(touched, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
+        new = new.unionByName(log.join(late, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
+    once = new.groupBy(*key).agg(F.min("price").alias("price"), F.max("new").alias("new"), F.max("late").alias("late"))
+    # Written once, as the comparison counts its rows before it orders them.
+    seen = materialise(once.withColumn("seen", F.struct("price")))
+    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before")
+    pairs = in_order.where(
+        (F.col("new") | F.col("late")) & F.col("before").isNotNull() & F.col("price").isNotNull()
+        & price_differs(F.col("before.price"), F.col("price"))
+    )
+    found = pairs.select("ad_id", "snapshot_id", F.col("scraped_at").alias("changed_at"),
+                         F.col("before.price").alias("old_price"), F.col("price").alias("new_price"), F.lit(1).alias("sign"))
     if before is None:
-        return as_changes(price_pairs(new), 1)
-    late = late_listings(before, new)
-    seed = before.join(new.select("ad_id"), "ad_id", "left_semi").select(*SNAPSHOT, F.lit(False).alias("new"))
-    on_time = as_changes(price_pairs(new.unionByName(seed).join(late, "ad_id", "left_anti")).where("new"), 1)
-    if log is None:
-        return on_time
-    known = log.select(*SNAPSHOT).join(late, "ad_id", "left_semi").dropDuplicates(SNAPSHOT[:3])
-    fresh = new.drop("new").join(late, "ad_id", "left_semi").join(known, SNAPSHOT[:3], "left_anti").select(*SNAPSHOT)
-    was, now = as_changes(price_pairs(known), -1), as_changes(price_pairs(known.unionByName(fresh)), 1)
-    corrections = was.unionByName(now).groupBy(*CHANGE).agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
-    return on_time.unionByName(corrections.select(on_time.columns))
+        return found
+    standing = history.join(late, "ad_id", "left_semi").select(*CHANGE, (-F.col("sign")).alias("sign"))
+    both = found.unionByName(standing).groupBy(*CHANGE).agg(F.sum("sign").cast("int").alias("sign"))
+    return both.where("sign <> 0")
 
 
 def price_changes(history: DataFrame) -> DataFrame:
@@ -151,16 +143,16 @@ def watch_prices(stream: DataFrame, root: str, history: str, checkpoint: str) ->
 
     Snapshots may come in any order. A batch's snapshots (``history/log``) and changes
     (``history/changes``) go to their own folders before the new state is written, so a repeated
-    batch replaces them instead of adding them twice. The log is read only for late listings.
+    batch replaces them instead of adding them twice. Of the log only late listings are compared again.
     """
 
     def step(before: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
         batch.select(*SNAPSHOT).write.mode("overwrite").parquet(f"{history}/log/batch={batch_id}")
-        earlier = earlier_batches(spark, f"{history}/log", batch_id)
         rows = spark.read.parquet(f"{history}/log/batch={batch_id}")
-        changes_in_batch(before, rows, earlier).write.mode("overwrite").parquet(f"{history}/changes/batch={batch_id}")
-        return newest_prices(before, batch)
+        earlier = [earlier_batches(spark, f"{history}/{part}", batch_id) for part in ("log", "changes")]
+        changes_in_batch(before, rows, *earlier).write.mode("overwrite").parquet(f"{history}/changes/batch={batch_id}")
+        return newest_prices(before, rows)
 
     run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
 
