@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from adlattice.functions.scalars import as_column, strip
 from adlattice.functions.vectors import cosine_to, unit_rows
 from adlattice.operators.chunking import ChunkRule, blanks_plus_one, chunk_texts, clean_text, single_spaced
-from adlattice.operators.embedding import Encoder
+from adlattice.operators.embedding import Encoder, encode_safely
 
 ASPECTS = ["sails", "motor", "condition", "equipment", "interior", "exterior"]
 
@@ -117,9 +117,13 @@ def tagged_phrases(aspect: str, lexicon: dict) -> list[tuple[str, str, int]]:
 
 
 def reference_matrix(encode: Encoder, texts: dict[str, list[str]] = REFERENCE_TEXTS) -> tuple[list[str], np.ndarray]:
-    """Mean vector of each aspect's reference texts."""
-    names = list(texts)
-    return names, np.stack([np.mean(encode(texts[name]), axis=0) for name in names])
+    """Mean vector of each aspect's reference texts; an aspect whose texts the model cannot read is left out."""
+    means = {}
+    for name, examples in texts.items():
+        vectors = [v for v, error in encode_safely(encode, examples) if error is None]
+        if len(vectors) == len(examples):
+            means[name] = np.mean(np.asarray(vectors, dtype=np.float64), axis=0)
+    return list(means), np.stack(list(means.values())) if means else np.zeros((0, 0))
 
 
 # -- formulas ------------------------------------------------------------------------------------
@@ -214,40 +218,46 @@ def similarity_scores(chunks: DataFrame, key: str, names: list[str], vectors: np
                            ["similarity_score", "similar_chunks"])
 
 
-def blend(keyword: DataFrame, similarity: DataFrame, key: str) -> DataFrame:
-    """Raw score, confidence and method per (listing, aspect) from the two partial scores."""
-    both = keyword.join(similarity, [key, "aspect"])
-    kw, sim, hits = F.col("keyword_score"), F.col("similarity_score"), F.col("hits")
-    return both.select(
-        key,
-        "aspect",
-        blended_score(kw, sim, hits).alias("raw_score"),
-        score_confidence(kw, sim, hits, F.col("keyword_chunks")).alias("confidence"),
-        F.lit("hybrid").alias("score_method"),
-    )
+# -- straight from texts ---------------------------------------------------------------------------
 
 
-# -- straight from texts ---------------------------------------------------------------------------
+def cosines_of(encode: Encoder, texts: list[str], unit: np.ndarray, batch_size: int) -> np.ndarray:
+    """Cosine of every text to every row of ``unit``, a batch of texts at a time; NaN where the model failed."""
+    values = np.full((len(texts), len(unit)), np.nan)
+    for start in range(0, len(texts), batch_size):
+        part = texts[start : start + batch_size]
+        try:
+            read, good = np.asarray(encode(part), dtype=np.float64), list(range(len(part)))
+        except Exception:  # a model may raise anything
+            one_by_one = [v for v, _ in encode_safely(encode, part)]
+            good = [i for i, v in enumerate(one_by_one) if v is not None]
+            read = np.asarray([one_by_one[i] for i in good], dtype=np.float64)
+        if good and len(unit):
+            values[[start + i for i in good]] = unit_rows(read) @ unit.T
+    return values
 
 
-def chunk_cosines(make_encoder: Callable[[], Encoder], references: dict[str, list[str]]):
+def chunk_cosines(make_encoder: Callable[[], Encoder], references: dict[str, list[str]], batch_size: int = 256):
     """Arrow UDF: array of chunk texts to one array of cosines (chunk by chunk) per row and reference."""
 
     @F.arrow_udf("array<array<double>>")
     def cosines(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = make_encoder()
-        unit = unit_rows(reference_matrix(encode, references)[1])
+        names, means = reference_matrix(encode, references)
+        unit = unit_rows(means)
+        places = [list(references).index(n) for n in names]
         for batch in batches:
             texts = batch.flatten().to_pylist()
-            values = unit_rows(np.asarray(encode(texts), dtype=np.float64)) @ unit.T if texts else np.zeros((0, len(unit)))
+            values = np.full((len(texts), len(references)), np.nan)
+            values[:, places] = cosines_of(encode, texts, unit, batch_size)
             # One list of chunk cosines per row and reference: rows keep their chunk counts.
             counts = np.asarray(batch.value_lengths().fill_null(0), dtype=np.int64)
             starts = np.concatenate([[0], np.cumsum(counts)])
             parts = [values[a:z].T.ravel() for a, z in zip(starts[:-1], starts[1:], strict=True)]
-            inner = np.concatenate([[0], np.cumsum(np.repeat(counts, len(unit)))])
+            inner = np.concatenate([[0], np.cumsum(np.repeat(counts, len(references)))])
             flat = pa.array(np.concatenate(parts) if parts else np.zeros(0))
             lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), flat)
-            yield pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * len(unit), pa.int32()), lists)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * len(references), pa.int32()), lists)
 
     return cosines
 
@@ -263,7 +273,6 @@ def score_texts(df: DataFrame, key: str, text: str, make_encoder: Callable[[], E
     chunks give no rows; an aspect without phrases and references gives raw 0.35, confidence 0.30.
     """
     aspects = known_aspects(aspects)
-    names = list(references)
     spaced = single_spaced("__clean")
     chunks = F.when(
         (F.col("__spaced") == "") | (blanks_plus_one(F.col("__spaced")) < rule.minimum), F.array("__clean")
@@ -275,6 +284,40 @@ def score_texts(df: DataFrame, key: str, text: str, make_encoder: Callable[[], E
         .select(key, "__spaced", chunks.alias("__chunks"))
     )
     compared = cut.withColumn("__cos", chunk_cosines(make_encoder, references)(F.col("__chunks")))
+    return scores_of_rows(compared, key, source, aspects, lexicon, list(references))
+
+
+def score_chunks(chunks: DataFrame, key: str, make_encoder: Callable[[], Encoder], lexicon: dict = LEXICON,
+                 references: dict[str, list[str]] = REFERENCE_TEXTS, aspects: list[str] | None = None,
+                 source: str = "description") -> DataFrame:
+    """As :func:`score_texts`, from a chunk table with stored vectors: only the references are encoded.
+
+    Vectors become cosines before the shuffle that brings the chunks of a listing, one text, together.
+    """
+    aspects = known_aspects(aspects)
+    names, means = reference_matrix(make_encoder(), references)
+    sims = cosine_to(means)(F.col("embedding")) if names else F.array().cast("array<double>")
+    parts = F.struct("chunk_order", F.col("chunk_text").alias("text"), F.col("__sims").alias("sims"))
+    gathered = chunks.where(F.col("chunk_source") == source).withColumn("__sims", sims).groupBy(key).agg(
+        F.sort_array(F.collect_list(parts)).alias("__parts"))
+
+    def cosines_to(reference: int) -> Column:
+        return F.transform("__parts", lambda p: F.get(p["sims"], F.lit(reference)))
+
+    cosines = [cosines_to(i) for i in range(len(names))]
+    compared = gathered.select(
+        key, F.transform("__parts", lambda p: p["text"]).alias("__chunks"),
+        (F.array(*cosines) if names else F.array().cast("array<array<double>>")).alias("__cos"),
+    ).withColumn("__spaced", F.array_join("__chunks", "\n"))
+    return scores_of_rows(compared, key, source, aspects, lexicon, names)
+
+
+def scores_of_rows(compared: DataFrame, key: str, source: str, aspects: list[str], lexicon: dict, names: list[str]) -> DataFrame:
+    """Scores of rows with ``__chunks``, their cosines ``__cos`` to the references ``names``, and ``__spaced``.
+
+    A chunk that the model could not read has no cosine; without any the similarity part is neutral, so a failing
+    text or aspect never ends the job.
+    """
     rows = F.array(*[
         aspect_struct(key, source, a, tagged_phrases(a, lexicon), a in lexicon,
                       F.get("__cos", F.lit(names.index(a))) if a in names else None)
@@ -307,7 +350,7 @@ def aspect_struct(key: str, source: str, aspect: str, phrases: list[tuple[str, s
         known = F.filter(cosines, lambda x: ~F.isnan(x))
         mean = F.aggregate(known, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(known), F.lit(0))
         similarity = similarity_score(F.array_max(known), mean)
-        similar_chunks = ids(F.array_compact(F.transform(cosines, lambda x, i: F.when(x > SUPPORT_THRESHOLD, i))))
+        similar_chunks = ids(F.array_compact(F.transform(cosines, lambda x, i: F.when(~F.isnan(x) & (x > SUPPORT_THRESHOLD), i))))
 
     def parts(keyword: Column, keywords: Column, keyword_chunks: Column) -> Column:
         return F.struct(

@@ -8,24 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.operators.chunking import text_chunks, with_equipment
-from adlattice.operators.embedding import Encoder, embed_texts
+from adlattice.operators.embedding import Encoder, attach_embeddings, embed_missing
 from adlattice.operators.percentiles import percentile_by_position
 from adlattice.operators.queues import embed_queue, mark_processed, replace_chunks, score_queue, upsert_scores
-from adlattice.operators.scoring import LEXICON, score_texts
+from adlattice.operators.scoring import LEXICON, score_chunks
+from adlattice.session import materialise
 
 CHUNK_COLUMNS = ["chunk_id", "ad_id", "chunk_source", "chunk_text", "chunk_order", "chunk_length", "overlap_words", "embedding"]
 
 
-def embedded_chunks(ads: DataFrame, make_encoder: Callable[[], Encoder], limit: int | None = None) -> DataFrame:
-    """Chunks with vectors of all listings that need them.
+def due_texts(ads: DataFrame, limit: int | None = None) -> DataFrame:
+    """(ad_id, text) of all listings that need vectors."""
+    text = with_equipment("description", "equipment") if "equipment" in ads.columns else F.col("description")
+    return embed_queue(ads, limit).select("ad_id", text.alias("text"))
+
 
-    A listing of which any chunk could not be embedded is left out as a whole and stays in the queue.
+def embedded_chunks(texts: DataFrame, make_encoder: Callable[[], Encoder], model: str,
+                    store: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Chunks of ``texts`` with vectors, and the next vector store.
+
+    The model sees every distinct text the store lacks once; its vectors are written before they are
+    used. A listing of which any chunk could not be embedded is left out as a whole and stays in the queue.
     """
-    text = with_equipment("description", "equipment") if "equipment" in ads.columns else F.col("description")
-    due = embed_queue(ads, limit).select("ad_id", text.alias("text"))
-    done = embed_texts(text_chunks(due, "ad_id", "text"), "chunk_text", make_encoder)
-    failed = done.where(F.col("error").isNotNull()).select("ad_id")
-    return done.join(failed, "ad_id", "left_anti").select(*CHUNK_COLUMNS)
+    chunks = text_chunks(texts, "ad_id", "text")
+    fresh = materialise(embed_missing(chunks, "chunk_text", make_encoder, model, store)).where("error IS NULL")
+    known = fresh if store is None else store.unionByName(fresh)
+    done = attach_embeddings(chunks, "chunk_text", model, known)
+    failed = done.where("embedding IS NULL").select("ad_id").distinct()
+    return done.join(failed, "ad_id", "left_anti").select(*CHUNK_COLUMNS), known
 
 
 def store_chunks(ads: DataFrame, chunks: DataFrame, new: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
@@ -33,11 +43,11 @@ def store_chunks(ads: DataFrame, chunks: DataFrame, new: DataFrame, now: Column)
     return replace_chunks(chunks, new, now), mark_processed(ads, new, now)
 
 
-def score_listings(ads: DataFrame, scores: DataFrame, make_encoder: Callable[[], Encoder], now: Column,
+def score_listings(ads: DataFrame, scores: DataFrame, chunks: DataFrame, make_encoder: Callable[[], Encoder], now: Column,
                    limit: int | None = None, lexicon: dict = LEXICON) -> DataFrame:
-    """Next score table: all aspects of every embedded listing that has no scores yet."""
-    due = score_queue(ads, scores, limit).select("ad_id", "description")
-    scored = score_texts(due, "ad_id", "description", make_encoder, lexicon)
+    """Next score table: all aspects of every embedded listing that has no scores yet, from its stored chunks."""
+    due = score_queue(ads, scores, limit).select("ad_id")
+    scored = score_chunks(chunks.join(due, "ad_id", "left_semi"), "ad_id", make_encoder, lexicon)
     return upsert_scores(scores, scored.select("ad_id", "aspect", "raw_score", "supporting_chunks", "score_method"), now)
 
 

@@ -168,15 +168,11 @@ def _score_columns(scored: DataFrame) -> DataFrame:
 def aspect_scores_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The same scores from a chunk table with stored vectors, as the nightly job reads it."""
     chunks = chunking.text_chunks(documents(spark, sf), "doc_id", "text")
-    store = embed_missing(chunks, "chunk_text", make_encoder, f"token-hash-{DIMS}")
+    # The model's vectors are written once; joining them reads the store twice.
+    store = materialise(embed_missing(chunks, "chunk_text", make_encoder, f"token-hash-{DIMS}"))
     embedded = attach_embeddings(chunks, "chunk_text", f"token-hash-{DIMS}", store)
-    names, vectors = scoring.reference_matrix(make_encoder())
-    similar = scoring.similarity_scores(embedded, "doc_id", names, vectors, aspects=scoring.ASPECTS)
-    blended = scoring.blend(scoring.keyword_scores(chunks, "doc_id", lexicon=WORD_LEXICON), similar, "doc_id")
-    return blended.select(
-        "doc_id", "aspect", F.round("raw_score", 6).alias("raw_score"), F.round("confidence", 6).alias("confidence"),
-        "score_method",
-    )
+    scored = scoring.score_chunks(embedded, "doc_id", make_encoder, WORD_LEXICON)
+    return _score_columns(scored).drop("keywords", "supporting")
 
 
 def distinct_chunk_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -240,17 +236,19 @@ def short_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nightly_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole nightly run from an empty chunk and score table: vectors, scores, positions."""
-    now = F.lit("2024-02-01").cast("timestamp_ntz")
+    """The whole nightly run without scores yet, where listings marked as embedded have their chunks and vectors stored."""
+    now, model = F.lit("2024-02-01").cast("timestamp_ntz"), f"token-hash-{DIMS}"
     ads = descriptions(spark, sf).withColumn("semantic_processed_at", F.lit(None).cast("timestamp_ntz"))
+    stored = ads.where("active AND has_embeddings").select("ad_id", F.col("description").alias("text"))
+    old, vectors = nightly.embedded_chunks(stored, make_encoder, model)
+    new, _ = nightly.embedded_chunks(nightly.due_texts(ads), make_encoder, model, vectors)
     path = scratch_path(spark, "nightly-chunks")
-    nightly.embedded_chunks(ads, make_encoder).write.parquet(path)
-    new = spark.read.parquet(path)
-    chunks = new.where("false").withColumns({"created_at": now, "updated_at": now})
-    _, marked = nightly.store_chunks(ads, chunks, new, now)
+    new.write.parquet(path)
+    chunks, marked = nightly.store_chunks(
+        ads, old.withColumns({"created_at": now, "updated_at": now}), spark.read.parquet(path), now)
     empty = spark.createDataFrame([], "ad_id bigint, aspect string, raw_score double, supporting_chunks array<bigint>, "
                                       "score_method string, created_at timestamp_ntz, normalized_score double")
-    scores = nightly.score_listings(marked, empty, make_encoder, now, lexicon=WORD_LEXICON)
+    scores = nightly.score_listings(marked, empty, chunks, make_encoder, now, lexicon=WORD_LEXICON)
     normalised = nightly.normalise_scores(scores.withColumn("raw_score", F.round("raw_score", 6)))
     return normalised.select("ad_id", "aspect", "raw_score", F.round("normalized_score", 6).alias("normalized_score"))
 

@@ -118,3 +118,31 @@ def test_cosine_of_zero_vector(spark):
     first, zero, unequal = (r[0] for r in df.select(cosine("a", "b")).collect())
     assert first == pytest.approx(1 / math.sqrt(2)) and math.isnan(zero) and unequal == 0.0
     assert df.select(F.size("a")).count() == 3
+
+
+class Picky(HashingEncoder):
+    """Fails on every batch with a text that names a motor."""
+
+    def __call__(self, texts):
+        if any("motor" in t for t in texts):
+            raise RuntimeError("no")
+        return super().__call__(texts)
+
+
+def test_failing_texts_leave_neutral_parts(spark):
+    df = spark.createDataFrame([(1, TEXT), (2, "Fin motor motor motor uten kjente ord ellers her")], "id bigint, text string")
+    rows = {(r["id"], r["aspect"]): r for r in scoring.score_texts(df, "id", "text", lambda: Picky(384)).collect()}
+    assert len(rows) == 2 * len(scoring.ASPECTS)
+    # No chunk of the second text could be read: keywords neutral or found, similarity neutral.
+    assert rows[2, "sails"]["raw_score"] == pytest.approx(0.5) and rows[2, "sails"]["supporting_chunks"] == []
+
+
+def test_scores_from_stored_chunks_equal_those_from_texts(spark):
+    df = spark.createDataFrame([(1, TEXT), (2, TEXT.upper()), (3, "for kort")], "id bigint, text string")
+    chunks = embed_texts(text_chunks(df, "id", "text"), "chunk_text", lambda: HashingEncoder(384))
+    direct = scoring.score_texts(df, "id", "text", lambda: HashingEncoder(384)).orderBy("id", "aspect").collect()
+    stored = scoring.score_chunks(chunks, "id", lambda: HashingEncoder(384)).orderBy("id", "aspect").collect()
+    assert len(direct) == len(stored) == 2 * len(scoring.ASPECTS)
+    for a, b in zip(direct, stored):
+        assert (a["aspect"], a["supporting_chunks"], a["keywords"]) == (b["aspect"], b["supporting_chunks"], b["keywords"])
+        assert a["raw_score"] == pytest.approx(b["raw_score"], abs=1e-9) and a["confidence"] == pytest.approx(b["confidence"], abs=1e-9)
