@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,11 +141,10 @@ def wrong_dimension(df: DataFrame, dims: int, vector: str = "embedding") -> Data
 
 
 def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
-    """Element-wise mean vector per group, as array<double>; partial sums keep large groups cheap."""
-    means = (
-        vectors.select(group, F.posexplode(vector).alias("__i", "__x"))
-        .groupBy(group, "__i")
-        .agg(F.avg(F.col("__x").cast("double")).alias("__mean"))
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("__i", "__mean")))
-    return means.groupBy(group).agg(F.transform(ordered, lambda p: p["__mean"]).alias("centroid"))
+    """Element-wise mean vector per group, as array<double>; every task forwards one partial vector per group.
+
+    Missing vectors count nowhere, and a group without any has no row; the others are equally long.
+    """
+    known = vectors.where(F.col(vector).isNotNull()).select(group, F.col(vector).cast("array<double>").alias("__v"))
+    mean = Summarizer.mean(array_to_vector(F.col("__v")))
+    return known.groupBy(group).agg(vector_to_array(mean).alias("centroid"))

@@ -206,9 +206,11 @@ def search_texts_listing_first(spark: SparkSession, sf: str) -> DataFrame:
 
 def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     ads = descriptions(spark, sf).withColumn("has_embeddings", F.lit(True))
-    texts = spread_scan(read_table(spark, sf, "documents"), "doc_id").withColumnRenamed("doc_id", "ad_id")
+    # Only what can be found is embedded; a chunk's number within its listing is an int, so ids cannot meet.
+    texts = spread_scan(read_table(spark, sf, "documents"), "doc_id").withColumnRenamed("doc_id", "ad_id").join(
+        ads.where("active").select("ad_id"), "ad_id", "left_semi")
     chunks = chunking.text_chunks(texts, "ad_id", "text").withColumn(
-        "chunk_id", F.col("ad_id") * 100_000 + F.col("chunk_order")
+        "chunk_id", F.shiftleft("ad_id", 32) + F.col("chunk_order")
     )
     path = scratch_path(spark, "text-chunks")
     embed_texts(chunks, "chunk_text", make_encoder, 1024).drop("error").write.parquet(path)

@@ -22,6 +22,7 @@ HEADLINE = [
     "keyword_scores", "aspect_scores", "percentile_by_position", "percentile_by_share", "top_per_aspect",
     "vector_topk", "search_ranked", "embedding_scores", "ann_topk", "search_texts", "cache_live",
     "page_fields", "marker_counts", "result_cards", "item_details", "stream_dedupe", "stream_price_changes",
+    "nightly_scores", "aspect_scores_stored", "similar_listings", "staged_load", "stream_master",
 ]
 
 
