@@ -12,7 +12,7 @@ from adlattice.functions.scalars import (
 from adlattice.operators import items, pages as page_ops
 from adlattice.operators.item_json import tolerant_json
 from adlattice.operators.quality import informative_rows
-from adlattice.plans.rendered import SITE, item_pages, result_pages
+from adlattice.plans.rendered import SITE, conflicting_pages, item_pages, result_pages
 from adlattice.plans.standins import pages
 from adlattice.sources.tables import read_table
 
@@ -109,6 +109,22 @@ def item_details(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select(*ITEM_COLUMNS, F.array_join("equipment", "|").alias("equipment"))
 
 
+def item_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field of pages whose sources contradict each other, and what each source said of the title and a few more."""
+    parsed = items.parse_items(conflicting_pages(spark, sf), F.lit("2025-01-01").cast("timestamp"))
+    said = lambda path: F.get_json_object("source_json", f"$.{path}")
+    shown = [c for c in parsed.columns if c not in ("url", "source_json", "equipment", "images", "last_edited_at", "scraped_at")]
+    return parsed.select(
+        *shown,
+        F.array_join("equipment", "|").alias("equipment"),
+        F.array_join("images", "|").alias("images"),
+        F.date_format("last_edited_at", "yyyy-MM-dd HH:mm:ss").alias("last_edited_at"),
+        said("data_props.title").alias("props_title"), said("jsonld.title").alias("linked_title"), said("dom.title").alias("visible_title"),
+        said("contact.title").alias("contact_title"), said("advertising.county").alias("advertised_county"),
+        said("dom.postal_code").alias("visible_code"), said("jsonld.currency").alias("linked_currency"),
+    )
+
+
 def article_details(spark: SparkSession, sf: str) -> DataFrame:
     """The given article pages through the item parser: only title and id can be found there."""
     parsed = items.parse_items(pages(spark, sf), F.lit("2025-01-01").cast("timestamp"))
@@ -119,10 +135,62 @@ QUERIES = {
     f.__name__: f
     for f in [
         page_fields, page_gate, marker_counts, keyword_contexts, page_urls, price_texts, date_texts, decoded_props,
-        result_cards, next_pages, item_details, article_details,
+        result_cards, next_pages, item_details, item_conflicts, article_details,
     ]
 }
 
+
+
+def _first(**values: str) -> str:
+    """SQL for the first present source's value: p props, l linked data, d visible, c contact, a advertising."""
+    return f"coalesce({', '.join(f'CASE WHEN {source} THEN {value} END' for source, value in values.items())}, NULL)"
+
+
+_CONFLICT_FIELDS = {
+    "title": _first(p="CASE WHEN f THEN n || ' props' END", l="n || ' linked'", d="n || ' visible'", c="n || ' contact'"),
+    "year": _first(p="s + 1900", d="CASE WHEN f THEN s + 1850 ELSE s + 1800 END", a="s + 1700"),
+    "make": _first(p="CASE WHEN f THEN b || ' props' END", l="b || ' linked'", d="b || ' spec'", a="'boat_make ' || s"),
+    "model": _first(p="t || ' props'", l="t || ' linked'", d="t || ' spec'", a="'boat_model ' || s"),
+    "engine_make": _first(p="b || ' motor'", d="'Spec & Co'", a="'engine_make ' || s"),
+    "engine_type": _first(p="t || ' motor'", d="CASE WHEN f THEN 'Innenbords' ELSE 'grid motor' END", a="'engine_type ' || s"),
+    "engine_effect_hp": _first(p="s", d="s + 10", a="s + 1704"),
+    "width_cm": _first(p="s + 100", d="s + 300", a="s + 1701"),
+    "depth_cm": _first(p="s + 50", d="s + 80", a="s + 1702"),
+    "sleepers": _first(p="s", d="s + 5", a="s + 1703"),
+    "seats": _first(p="s + 1", d="s + 6"),
+    "weight_kg": _first(p="s + 1000"),
+    "material": _first(p="'Tre'", d="'Glassfiber'", a="'material ' || s"),
+    "boat_max_speed_knots": _first(p="s + 2", d="s + 7", a="s + 1705"),
+    "registration_number": _first(p="'P' || k", d="'D' || k", a="'registration_number ' || s"),
+    "lat": _first(p="s * 0.5 + 50", d="s * 0.5 + 60"),
+    "lng": _first(p="s * 0.25", d="s * 0.25 + 5"),
+    "postal_code": _first(p="CAST(s + 2000 AS VARCHAR)", l="CAST(s + 3000 AS VARCHAR)", d="CAST(s + 4000 AS VARCHAR)"),
+    "municipality": _first(p="'Vik'", l="'Lier'", d="'Kristiansand S'", a="'municipality ' || s"),
+    "county": _first(p="'Agder'", l="'Viken'", a="'county ' || s"),
+    "description": "coalesce(CASE WHEN p AND f THEN n || ' as the props describe it' END, CASE WHEN d THEN n || "
+                   "' is described in the visible page, in more than fifty characters' ELSE 'Meta text of ' || n || ' in short' END)",
+    "price": _first(p="m", l="m + 1", d="m + 2"),
+    "currency": _first(p="'EUR'", l="'SEK'", d="'NOK'"),
+    "ad_id": "CAST(CASE WHEN d THEN k + 500000 WHEN c THEN k + 1000000 WHEN k % 3 = 1 THEN k + 7000000 WHEN k % 3 = 2 THEN k + 8000000 "
+             "ELSE k END AS VARCHAR)",
+    "length_text": _first(d="s || ' fot'"),
+    "length_ft": _first(d="s + 20"),
+    "fuel_type": _first(d="'Diesel'"),
+    "boat_type": _first(d="t || ' boat'"),
+    "color": _first(d="'Hvit'"),
+    "country_name": _first(d="'Norge'"),
+    "equipment": "CASE WHEN p THEN b || '|' || t WHEN d THEN 'GPS|' || b ELSE '' END",
+    "images": _first(p="'a.jpg|b.jpg'"),
+    "last_edited_at": _first(p="'2024-05-01 10:00:00'", d="'2025-08-10 21:23:00'"),
+    "props_title": _first(p="CASE WHEN f THEN n || ' props' END"),
+    "linked_title": _first(l="n || ' linked'"),
+    "visible_title": _first(d="n || ' visible'"),
+    "contact_title": _first(c="n || ' contact'"),
+    "advertised_county": _first(a="'county ' || s"),
+    "visible_code": _first(d="CAST(s + 4000 AS VARCHAR)"),
+    "linked_currency": _first(l="'SEK'"),
+}
+
 _TEXT = (r"replace(replace(replace(replace(trim(regexp_extract(html, '(?s)<{t}>(.*?)</{t}>', 1)), "
          r"'&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')").replace('\\"', '"')
 _COUNT = "len(regexp_extract_all(html, '{p}'))"
@@ -170,6 +238,10 @@ ORACLE = {
         CASE WHEN p_partkey % 5 IN (0, 1) THEN lpad(CAST(p_size AS VARCHAR), 4, '0') END AS postal_code,
         CASE WHEN p_partkey % 5 IN (0, 1) AND p_size BETWEEN 1 AND 1299 THEN 'Oslo' END AS municipality,
         CASE WHEN p_partkey % 5 IN (0, 3) THEN p_brand || '|' || p_type ELSE '' END AS equipment FROM part""",
+    "item_conflicts": f"""WITH told AS (SELECT p_partkey AS k, p_size AS s, p_name AS n, p_brand AS b, p_type AS t,
+          CAST(floor(p_retailprice) AS INTEGER) AS m, p_partkey % 3 <> 0 AS f, p_partkey & 1 = 1 AS p, (p_partkey >> 1) & 1 = 1 AS l,
+          (p_partkey >> 2) & 1 = 1 AS d, (p_partkey >> 3) & 1 = 1 AS c, (p_partkey >> 4) & 1 = 1 AS a FROM part)
+        SELECT k AS page_id, {", ".join(f"{value} AS {name}" for name, value in _CONFLICT_FIELDS.items())} FROM told""",
     "article_details": rf"""SELECT page_id, nullif({_TEXT.format(t='h1')}, '') AS title, nullif(regexp_extract(url, '/([0-9]+)/*$', 1), '') AS ad_id,
         CAST(NULL AS INTEGER) AS price, CAST(NULL AS INTEGER) AS year FROM pages WHERE {_TEXT.format(t='h1')} <> ''""",
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlattice.operators.items import ADVERTISING_ID, CONTACT_ID, ROOT_ID
+from adlattice.operators.items import ADVERTISING_ID, ADVERTISING_NUMBERS, ADVERTISING_TEXTS, CONTACT_ID, ROOT_ID
 from adlattice.sources.tables import read_table, spread_scan
 
 CARDS_PER_PAGE = 20
@@ -87,6 +87,95 @@ def item_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def has_source(bit: int) -> Column:
+    """Whether a part's conflicting page carries source number ``bit``: 0 props, 1 linked data, 2 visible, 3 contact, 4 advertising."""
+    return F.expr(f"(p_partkey >> {bit}) & 1 = 1")
+
+
+def conflicting_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One item page per part in which up to five sources tell different values for the same fields.
+
+    Parts with a key divisible by 3 have an empty title and no make in their props, so that the next source must step in.
+    """
+    part = spread_scan(read_table(spark, sf, "part"), "p_partkey")
+    key, size, price = F.col("p_partkey"), F.col("p_size"), F.floor("p_retailprice").cast("int")
+    told = lambda column, source: F.concat(F.col(column), F.lit(f" {source}"))
+    number = lambda more: (size + more).cast("string")
+    full = key % 3 != 0
+    props = F.to_json(F.struct(F.struct(
+        F.when(full, told("p_name", "props")).otherwise("").alias("title"),
+        (size + 1900).alias("year"),
+        F.struct(F.when(full, told("p_brand", "props")).alias("value")).alias("make"),
+        told("p_type", "props").alias("boat_model"),
+        F.struct(told("p_brand", "motor").alias("make"), F.struct(told("p_type", "motor").alias("value")).alias("type"),
+                 F.concat(number(0), F.lit(" hk")).alias("size")).alias("motor"),
+        F.concat(number(100), F.lit(" cm")).alias("width"), (size + 50).alias("depth_cm"), size.alias("sleepers"),
+        number(1).alias("seats"), (size + 1000).alias("weight"), F.struct(F.lit("Tre").alias("value")).alias("material"),
+        number(2).alias("boat_max_speed"), F.concat(F.lit("P"), key.cast("string")).alias("registration_number"),
+        F.struct(F.struct((size * 0.5 + 50).alias("lat"), (size * 0.25).cast("string").alias("lng")).alias("position"),
+                 number(2000).alias("postalCode"), F.lit("Vik").alias("postName"), F.lit("Agder").alias("county")).alias("location"),
+        F.when(full, told("p_name", "as the props describe it")).alias("description"),
+        F.lit("2024-05-01T10:00:00Z").alias("edited"),
+        F.struct(price.alias("amount"), F.lit("EUR").alias("currency")).alias("price"),
+        F.array(F.lit("a.jpg"), F.lit("b.jpg")).alias("images"),
+        F.array(F.struct(F.lit("Utstyr").alias("heading"), F.array("p_brand", "p_type").alias("items"))).alias("groups"),
+    ).alias("adData")))
+    linked = F.to_json(F.struct(
+        told("p_name", "linked").alias("name"), F.struct(told("p_brand", "linked").alias("name")).alias("brand"),
+        told("p_type", "linked").alias("model"), F.struct((price + 1).alias("price"), F.lit("SEK").alias("priceCurrency")).alias("offers"),
+        F.struct(number(3000).alias("postalCode"), F.lit("Lier").alias("addressLocality"), F.lit("Viken").alias("addressRegion")).alias("address"),
+    ))
+    grid = [
+        ("modellår", number(1800)), ("Type motor", F.lit("grid motor")), ("Seter", number(60)), ("Lengde", F.concat(number(0), F.lit(" fot"))),
+    ]
+    specs = [
+        ("Modellår", F.when(full, number(1850)).otherwise("ukjent")), ("Merke", told("p_brand", "spec")), ("Modell", told("p_type", "spec")),
+        ("Type motor", F.when(full, F.lit("1"))), ("Motorfabrikant", F.lit("Spec & Co")), ("Motorstørrelse", F.concat(number(10), F.lit(" hk"))),
+        ("Byggemateriale", F.lit("2")), ("Bredde", F.concat(number(300), F.lit(" cm"))), ("Dybde", F.concat(number(80), F.lit(" cm"))),
+        ("Soveplasser", number(5)), ("Sitteplasser", number(6)), ("Topphastighet", F.concat(number(7), F.lit(" knop"))),
+        ("Registreringsnummer", F.concat(F.lit("D"), key.cast("string"))), ("Lengde i fot", F.concat(number(20), F.lit(" fot"))),
+        ("Drivstoff", F.lit("Diesel")), ("Type", told("p_type", "boat")), ("Farge", F.lit("Hvit")), ("Båtens beliggenhet", F.lit("Norge")),
+    ]
+    info = [("Portal-kode", (key + 500_000).cast("string")), ("Sist endret", F.lit("10. august 2025, 21:23"))]
+    pair = lambda label, value: F.concat(
+        F.lit(f'<div><p class="s-text-subtle">{label}</p><p class="font-bold">'), escaped(value), F.lit("</p></div>"))
+    row = lambda label, value: F.coalesce(F.concat(F.lit(f"<div><dt>{label}</dt><dd>"), escaped(value), F.lit("</dd></div>")), F.lit(""))
+    visible = F.concat(
+        F.lit("<h1>"), escaped(told("p_name", "visible")), F.lit("</h1><div><p>Pris</p><h2>"), F.format_number(price + 2, 0),
+        F.lit(" kr</h2></div><section><h2>Nøkkelinfo</h2>"), *[pair(*entry) for entry in grid], F.lit("</section><dl>"),
+        *[row(*entry) for entry in specs], F.lit("</dl><section><h2>Annonseinformasjon</h2>"), *[pair(*entry) for entry in info],
+        F.lit('</section><section><h2>Sted</h2><a href="/map?lat='), (size * 0.5 + 60).cast("string"), F.lit("&amp;lon="),
+        (size * 0.25 + 5).cast("string"), F.lit("&amp;postalCode="), number(4000), F.lit('"><span>'), number(4000),
+        F.lit(" Kristiansand S</span></a></section><section><h2>Beskrivelse</h2><div data-testid=\"expandable-section\"><p>"),
+        escaped(told("p_name", "is described in the visible page, in more than fifty characters")),
+        F.lit("</p><button>Vis mer</button></div></section><section><h2>Utstyr</h2><ul><li>GPS</li><li>"), escaped(F.col("p_brand")),
+        F.lit("</li></ul></section>"),
+    )
+    contact = F.to_json(F.struct((key + 1_000_000).alias("adId"), told("p_name", "contact").alias("title")))
+    targets = [(name, number(1700 + i)) for i, name in enumerate(ADVERTISING_NUMBERS.values())]
+    targets += [(name, F.concat(F.lit(f"{name} "), number(0))) for name in ADVERTISING_TEXTS.values()]
+    advertising = F.to_json(F.struct(F.struct(F.struct(F.struct(F.array(
+        *[F.struct(F.lit(name).alias("key"), F.array(value).alias("value")) for name, value in targets]
+    ).alias("targeting")).alias("gam")).alias("adServer")).alias("config")))
+    present = lambda bit, *parts: F.when(has_source(bit), F.concat(*parts)).otherwise("")
+    head = F.concat(
+        F.when(key % 3 == 1, F.concat(F.lit(f'<link rel="canonical" href="{SITE}/item/'), (key + 7_000_000).cast("string"), F.lit('">')))
+        .when(key % 3 == 2, F.concat(F.lit(f'<meta property="og:url" content="{SITE}/item/'), (key + 8_000_000).cast("string"), F.lit('">')))
+        .otherwise(""),
+        F.lit('<meta name="description" content="Meta text of '), escaped(F.col("p_name")), F.lit(' in short">'),
+        present(1, F.lit('<script type="application/ld+json">'), linked, F.lit("</script>")),
+    )
+    body = F.concat(
+        present(0, F.lit(f'<main id="{ROOT_ID}" data-props="'), escaped(props), F.lit('"></main>')),
+        present(2, visible),
+        present(3, F.lit(f'<script id="{CONTACT_ID}" type="application/json">'), contact, F.lit("</script>")),
+        present(4, F.lit(f'<script id="{ADVERTISING_ID}" type="application/json">'), advertising, F.lit("</script>")),
+    )
+    return part.select(
+        key.alias("page_id"), F.concat(F.lit(f"{SITE}/item/"), key.cast("string")).alias("url"), wrapped(head, body).alias("html")
+    )
+
+
 def result_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Result pages with 20 order cards each (fewer on the last): page_id, url and html."""
     orders = read_table(spark, sf, "orders")
