@@ -6,13 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlattice.functions.vectors import cosine
+from adlattice.functions.vectors import cosine, unit_rows
 from adlattice.operators import cache, cell_index, search
 from adlattice.operators.embedding import centroids, with_dimension, wrong_dimension
 from adlattice.operators.keyed import top_per_key
 from adlattice.operators.scoring import similarity_scores
 from adlattice.plans.standins import CENTROIDS, VECTOR_CHUNKS, vector_chunks
-from adlattice.session import scratch_path
 from adlattice.sources.tables import read_table
 
 NOW = "2001-06-01"
@@ -105,12 +104,19 @@ def top_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return top_per_key(near, "ad_id", [F.col("distance").asc(), F.col("chunk_id").asc()], 3)
 
 
+def _label_cells(chunks: DataFrame) -> np.ndarray:
+    """Unit vectors of the label centroids in label order, as fixed cells: one row per label, ten in all."""
+    means = centroids(chunks, "label").orderBy("label").collect()
+    return unit_rows(np.asarray([r["centroid"] for r in means]))
+
+
 def similar_listings(spark: SparkSession, sf: str) -> DataFrame:
-    """Five listings similar to the first chunk of each label's first listing."""
+    """Five listings similar to the first chunk of every listing, found in the two nearest of ten cells."""
     chunks = vector_chunks(spark, sf)
-    first = chunks.where("chunk_order = 0").groupBy("label").agg(F.min_by(F.struct("ad_id", "embedding"), "ad_id").alias("r"))
-    references = first.select("r.ad_id", "r.embedding")
-    found = search.similar_listings(references, chunks, 5, 0.55)
+    cells = _label_cells(chunks)
+    references = chunks.where("chunk_order = 0").select("ad_id", "embedding")
+    nearest = lambda rows, queries, k: cell_index.nearest_in_cells(rows, queries, cells, k, nprobe=2)
+    found = search.similar_listings(references, chunks, nearest, 5, 0.55)
     return found.select("query_id", "rank", "ad_id", F.round("similarity_score", 6).alias("similarity_score"))
 
 
@@ -123,23 +129,19 @@ def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("ad_id", "aspect", F.round("similarity_score", 6).alias("similarity_score"), "similar_chunks")
 
 
-def _index(spark: SparkSession, sf: str, cells: int) -> tuple[DataFrame, str]:
-    chunks = vector_chunks(spark, sf)
-    path = scratch_path(spark, "cells")
-    cell_index.write_index(chunks, cell_index.train_centroids(chunks, cells), path, rows_per_file=5_000)
-    return chunks, path
-
-
 def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Approximate nearest 20 chunks: 4 of 16 cells read per query."""
-    chunks, path = _index(spark, sf, 16)
-    return _hit_columns(cell_index.search_index(spark, path, _label_queries(chunks), 20, nprobe=4))
+    """Approximate nearest 20 chunks of every label centroid and every first chunk: three of ten cells are probed."""
+    chunks = vector_chunks(spark, sf)
+    first = chunks.where("chunk_order = 0").select((F.col("ad_id") + 1000).alias("query_id"), F.col("embedding").cast("array<double>"))
+    queries = _label_queries(chunks).select("query_id", "embedding").unionByName(first)
+    return _hit_columns(cell_index.nearest_in_cells(chunks, queries, _label_cells(chunks), 20, nprobe=3))
 
 
 def ann_topk_exact(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact nearest 20 chunks through the index: further cells are read as far as their radius demands."""
-    chunks, path = _index(spark, sf, 16)
-    return _hit_columns(cell_index.search_index(spark, path, _label_queries(chunks), 20, nprobe=2, exact=True))
+    """Exact nearest 20 chunks of every label centroid through 16 fitted cells, all of which are probed."""
+    chunks = vector_chunks(spark, sf)
+    cells = cell_index.fit_cells(chunks, 16)
+    return _hit_columns(cell_index.nearest_in_cells(chunks, _label_queries(chunks), cells, 20, nprobe=len(cells)))
 
 
 def _cache(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,6 +229,18 @@ def _top(k: int, source: str = "distances", rank: str = "rank") -> str:
   QUALIFY {rank} <= {k})"""
 
 
+def _probed(queries: str, nprobe: int) -> str:
+    """CTEs ending in ``distances`` of queries to the chunks of their nearest cells, the cells being the label centroids."""
+    cosine = "round(list_cosine_similarity({}, centroid), 9)"
+    return f"""queries AS ({queries}),
+placed AS (SELECT c.*, z.label AS cell FROM chunks c CROSS JOIN centroids z
+  QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY {cosine.format('c.embedding')} DESC, z.label) = 1),
+probes AS (SELECT query_id, q, label AS cell FROM queries CROSS JOIN centroids
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY {cosine.format('q')} DESC, label) <= {nprobe}),
+distances AS (SELECT query_id, chunk_id, ad_id, round(1.0 - list_cosine_similarity(embedding, q), 9) AS distance
+  FROM probes JOIN placed USING (cell))"""
+
+
 _HITS = "query_id, rank, chunk_id, ad_id, round(distance, 6) AS distance"
 
 ORACLE = {
@@ -252,9 +266,8 @@ ORACLE = {
     "top_chunks": f"""{_BASE}, near AS (SELECT ad_id, chunk_id, round(1.0 - list_cosine_similarity(embedding, centroid), 6) AS distance
           FROM chunks c JOIN centroids z ON z.label = c.label)
         SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY distance, chunk_id) AS rank FROM near QUALIFY rank <= 3""",
-    "similar_listings": f"""WITH {VECTOR_CHUNKS}, firsts AS (SELECT * FROM chunks WHERE chunk_order = 0
-          QUALIFY row_number() OVER (PARTITION BY label ORDER BY ad_id) = 1),
-        {_distances(queries='SELECT ad_id AS query_id, embedding AS q FROM firsts')}, hits AS {_top(12, rank='hit')},
+    "similar_listings": f"""{_BASE}, {_probed('SELECT ad_id AS query_id, embedding AS q FROM chunks WHERE chunk_order = 0', 2)},
+        hits AS {_top(12, rank='hit')},
         grouped AS (SELECT query_id, ad_id, greatest(0.0, 1.0 - min(distance) / 2.0) AS s FROM hits GROUP BY ALL),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ad_id) AS r FROM grouped WHERE s >= 0.55)
         SELECT query_id, ad_id, round(s, 6) AS similarity_score, row_number() OVER (PARTITION BY query_id ORDER BY r) AS rank
@@ -264,6 +277,8 @@ ORACLE = {
         SELECT ad_id, aspect, round((max(cos) * 0.7 + avg(cos) * 0.3 + 1.0) / 2.0, 6) AS similarity_score,
           count(*) FILTER (WHERE cos > 0.6) AS similar_chunks FROM cosines GROUP BY ALL
         UNION ALL SELECT DISTINCT ad_id, 'unknown', 0.5, 0 FROM chunks""",
+    "ann_topk": f"""{_BASE}, {_probed("""SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids
+        UNION ALL SELECT ad_id + 1000, embedding FROM chunks WHERE chunk_order = 0""", 3)} SELECT {_HITS} FROM {_top(20)}""",
     "ann_topk_exact": f"{_BASE}, {_distances()} SELECT {_HITS} FROM {_top(20)}",
     "cache_live": f"""WITH {CACHE} SELECT c.query_hash, c.position, c.ad_id, round(c.similarity_score, 6) AS similarity_score,
           o.o_orderpriority AS title, o.o_orderstatus AS description
