@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlattice.operators import lifecycle as life
-from adlattice.plans.standins import EVENT_SNAPSHOTS, LIFECYCLE, STAGING, event_snapshots, prior_ads, staging
+from adlattice.plans.standins import (
+    CUTOFF, DETAILS, DETAILS_CUTOFF, EVENT_SNAPSHOTS, LIFECYCLE, STAGING, details, event_snapshots, moment, prior_ads, staging,
+)
 from adlattice.session import scratch_path
 from adlattice.sources import archive, snapshots
-from adlattice.sources.tables import read_table
+from adlattice.sources.tables import publish_view, read_html_files, read_table, read_warehouse, spread_scan
 from adlattice.streaming import feeds
 
 _BATCHES = 5
@@ -108,6 +110,62 @@ def snapshot_export(spark: SparkSession, sf: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def appended_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail table after the rows since the cutoff were appended to those before it; no key may occur twice."""
+    rows = details(spark, sf)
+    old, new = rows.where(F.col("scraped_at") < moment(DETAILS_CUTOFF)), rows.where(F.col("scraped_at") >= moment(DETAILS_CUTOFF))
+    stored = scratch_path(spark, "details")
+    old.write.parquet(stored)
+    archive.append_details(new, spark.read.parquet(stored)).write.mode("append").parquet(stored)
+    return spark.read.parquet(stored).select("ad_id", "scraped_at", "title", "year", F.md5("description").alias("text_md5"))
+
+
+def detail_clashes(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that would fail an append in which times are cut to days: twice in the load, or stored already."""
+    rows = details(spark, sf).withColumn("scraped_at", F.date_trunc("day", "scraped_at").cast("timestamp_ntz"))
+    early = F.col("snapshot_id") % 2 == 0
+    return archive.clashing_keys(rows.where(~early), rows.where(early))
+
+
+def html_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written as an HTML file of its own and read back whole."""
+    path = scratch_path(spark, "html")
+    spread_scan(read_table(spark, sf, "pages"), "page_id").select("page_id", "html").write.partitionBy("page_id").text(path)
+    back = read_html_files(spark, f"{path}/*/*")
+    # Spark ends a written text with a line break.
+    return back.select(F.regexp_extract("url", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"),
+                       F.md5(F.regexp_replace("html", r"\n\z", "")).alias("html_md5"))
+
+
+def cleaned_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned listings as a view for SQL users: listings and mean price per year of their specs."""
+    publish_view(life.cleaned_listings(staging(spark, sf)), "listings_cleaned")
+    return spark.sql("""SELECT extracted_year, count(*) AS listings, round(avg(price), 4) AS mean_price
+        FROM listings_cleaned GROUP BY extracted_year""")
+
+
+def warehouse_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two generations of the staging table, the older without prices, read as one table of the declared layout."""
+    root = scratch_path(spark, "warehouse")
+    rows = staging(spark, sf)
+    early = F.col("scraped_at") < moment(CUTOFF)
+    rows.where(early).drop("price").write.parquet(f"{root}/staging_ads/part=1")
+    rows.where(~early).withColumn("price", F.col("price").cast("bigint")).write.parquet(f"{root}/staging_ads/part=2")
+    back = read_warehouse(spark, root, "staging_ads")
+    return back.select("ad_id", F.col("scraped_at").cast("timestamp_ntz").alias("scraped_at"), "price", "specs_text")
+
+
+def archived_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive files of two runs read as one table, counted per listing."""
+    listings = staging(spark, sf).drop("snapshot_id").withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+    root = scratch_path(spark, "runs")
+    late = F.col("scraped_at") >= moment(CUTOFF).cast("timestamp")
+    paths = [archive.archive_listings(part, root, time) for part, time in
+             ((listings.where(~late), "2025-01-01T07:00:00"), (listings.where(late), "2025-01-02T07:00:00"))]
+    rows = archive.typed_listings(archive.read_json_line_files(spark, paths))
+    return rows.groupBy("ad_id").agg(F.count(F.lit(1)).alias("rows"), F.max("price").alias("highest"))
+
+
 def json_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every order's snapshot as one JSON text, compared by its MD5."""
     row = archive.as_json([F.col("ad_id"), F.col("price"), F.col("specs_text")])
@@ -118,7 +176,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         stream_dedupe, stream_master, stream_price_changes, stream_cache, archive_roundtrip, staged_load, master_versions,
-        snapshot_export, json_rows,
+        snapshot_export, appended_details, detail_clashes, html_files, cleaned_view, warehouse_table, archived_runs, json_rows,
     ]
 }
 
@@ -144,6 +202,15 @@ ORACLE = {
           WHERE s.ad_id = a.ad_id AND s.scraped_at >= (SELECT max(scraped_at) - INTERVAL 30 DAY FROM staging)) AS active FROM ads a""",
     "snapshot_export": f"""WITH {LIFECYCLE} SELECT 'ads' AS table_name, count(*) AS rows FROM ads
         UNION ALL SELECT 'staging_ads', count(*) FROM staging""",
+    "appended_details": f"""WITH {DETAILS} SELECT ad_id, scraped_at, title, year, md5(description) AS text_md5 FROM details""",
+    "detail_clashes": f"""WITH {DETAILS} SELECT ad_id, date_trunc('day', scraped_at) AS scraped_at, count(*) AS rows FROM details
+        GROUP BY ALL HAVING count(*) > 1 AND bool_or(snapshot_id % 2 <> 0)""",
+    "html_files": "SELECT page_id, md5(html) AS html_md5 FROM pages",
+    "cleaned_view": rf"""WITH {STAGING} SELECT regexp_extract(specs_text, '(\d{{4}})', 1) AS extracted_year, count(*) AS listings,
+        round(avg(price), 4) AS mean_price FROM staging WHERE price IS NOT NULL AND ad_id IS NOT NULL GROUP BY ALL""",
+    "warehouse_table": f"""WITH {STAGING} SELECT ad_id, scraped_at, specs_text,
+        CASE WHEN scraped_at >= TIMESTAMP '{CUTOFF}' THEN price END AS price FROM staging""",
+    "archived_runs": f"WITH {STAGING} SELECT ad_id, count(*) AS rows, max(price) AS highest FROM staging GROUP BY ad_id",
     "json_rows": f"""WITH {STAGING} SELECT snapshot_id, md5('{{"ad_id":' || ad_id || ',"price":' || coalesce(CAST(price AS VARCHAR), 'null')
         || ',"specs_text":"' || specs_text || '"}}') AS json_md5 FROM staging""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlattice.functions.scalars import any_contains, shortened
-from adlattice.operators import chunking, percentiles, queues, scoring, search
+from adlattice.operators import cache, chunking, percentiles, queues, scoring, search
 from adlattice.operators.embedding import HashingEncoder, attach_embeddings, embed_missing, embed_texts
 from adlattice.plans import nightly
 from adlattice.plans.standins import DESCRIPTIONS, descriptions, documents
@@ -204,7 +204,8 @@ def search_texts_listing_first(spark: SparkSession, sf: str) -> DataFrame:
     return _search(spark, sf, "listing_first")
 
 
-def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+def _live_chunks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Listings, and the stored vectors of the chunks of all active ones."""
     ads = descriptions(spark, sf).withColumn("has_embeddings", F.lit(True))
     # Only what can be found is embedded; a chunk's number within its listing is an int, so ids cannot meet.
     texts = spread_scan(read_table(spark, sf, "documents"), "doc_id").withColumnRenamed("doc_id", "ad_id").join(
@@ -214,7 +215,11 @@ def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     )
     path = scratch_path(spark, "text-chunks")
     embed_texts(chunks, "chunk_text", make_encoder, 1024).drop("error").write.parquet(path)
-    embedded = spark.read.parquet(path)
+    return ads, spark.read.parquet(path)
+
+
+def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    ads, embedded = _live_chunks(spark, sf)
     queries = read_table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), "text", F.lit(5).alias("limit"), F.lit(0.55).alias("min_score")
     )
@@ -223,6 +228,47 @@ def _search(spark: SparkSession, sf: str, mode: str) -> DataFrame:
                         F.size("matching_chunks").alias("chunks"))
 
 
+def _stored_scores(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = chunking.text_chunks(documents(spark, sf).withColumnRenamed("doc_id", "ad_id"), "ad_id", "text")
+    return scoring.keyword_scores(chunks, "ad_id", lexicon=WORD_LEXICON).withColumnRenamed("keyword_score", "raw_score")
+
+
+def search_by_aspect(spark: SparkSession, sf: str) -> DataFrame:
+    """Every benchmark text searched inside an aspect, with that aspect's stored scores, as rows for display."""
+    ads, embedded = _live_chunks(spark, sf)
+    aspect = F.when(F.col("item_id") % 2 == 0, "sails").otherwise("motor")
+    queries = search.queries_by_aspect(read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text", aspect.alias("aspect")))
+    shown = search.result_rows(search.search(queries, embedded, ads, make_encoder, scores=_stored_scores(spark, sf)))
+    return shown.select(
+        "query_id", "rank", "ad_id", "title", "description", "similarity_score", F.size("matching_chunks").alias("chunks"),
+        F.array_join(F.map_keys("aspect_scores"), ",").alias("aspects"), F.round(F.get(F.map_values("aspect_scores"), F.lit(0)), 6).alias("aspect_score"),
+    )
+
+
+def similar_by_description(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings similar to every listing whose id is divisible by 100, by its own description, with all aspect scores."""
+    ads, embedded = _live_chunks(spark, sf)
+    asked = ads.where("ad_id % 100 = 0").select("ad_id")
+    found = search.find_similar(asked, embedded, ads, make_encoder, _stored_scores(spark, sf), 5, 0.6)
+    return found.select("query_id", "rank", "ad_id", F.round("similarity_score", 6).alias("similarity_score"),
+                        F.size("aspect_scores").alias("aspects"), F.round(F.col("aspect_scores")["motor"], 6).alias("motor"))
+
+
+def search_cached(spark: SparkSession, sf: str) -> DataFrame:
+    """All benchmark texts after those with an even id were searched before: these come from the cache, the others are searched."""
+    ads, embedded = _live_chunks(spark, sf)
+    now = F.lit("2024-02-01 12:00:00").cast("timestamp_ntz")
+    queries = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    empty = cache.cache_rows(
+        spark.createDataFrame([], "query_id bigint, query_hash string, text string"),
+        spark.createDataFrame([], "query_id bigint, rank int, ad_id bigint, similarity_score double"), now,
+    )
+    _, stored = cache.search_with_cache(queries.where("query_id % 2 = 0"), empty, embedded, ads, make_encoder, now)
+    results, _ = cache.search_with_cache(queries, materialise(stored), embedded, ads, make_encoder, now)
+    return results.select("query_id", "rank", "ad_id", F.round("similarity_score", 6).alias("similarity_score"),
+                          F.col("matching_chunks").isNull().alias("from_cache"))
+
+
 def query_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     queries = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     plain = search.with_query_defaults(queries)
@@ -309,7 +355,7 @@ QUERIES = {
         shortened_texts, embed_queue, embed_queue_next, score_queue, backfill_queue, backfill_decision,
         overwritten_descriptions, processed_listings, replaced_chunks, keyword_scores, keyword_scores_words,
         aspect_scores, aspect_scores_words, aspect_scores_stored, distinct_chunk_texts, supporting_chunk_ids,
-        search_texts, search_texts_listing_first, query_fingerprint, short_queries, nightly_scores, percentile_by_position,
+        search_texts, search_texts_listing_first, search_by_aspect, similar_by_description, search_cached, query_fingerprint, short_queries, nightly_scores, percentile_by_position,
         percentile_by_share, share_in_dataset, top_per_aspect, score_upsert,
     ]
 }
@@ -440,15 +486,16 @@ scores AS (SELECT doc_id, aspect, round(keyword_score, 6) AS raw_score FROM kw)"
 _KEYWORD_COLUMNS = "doc_id, aspect, round(keyword_score, 6) AS keyword_score, hits, keyword_chunks"
 
 
-def _search_sql(listing_first: bool) -> str:
+def _found_sql(asked: str, limit: int, least: float, listing_first: bool = False) -> str:
+    """CTEs ending in ``found`` (query_id, ad_id, s, chunks, rank): the search of ``asked`` (query_id, text) over active listings."""
     nearest = f"""hits AS (SELECT * FROM distances
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) <= 10)"""
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) <= {2 * limit})"""
     if listing_first:
-        nearest = """best AS (SELECT * FROM distances
+        nearest = f"""best AS (SELECT * FROM distances
   QUALIFY row_number() OVER (PARTITION BY query_id, ad_id ORDER BY distance, chunk_id) = 1),
-hits AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) <= 10)"""
-    return f"""WITH {DESCRIPTIONS}, {chunks_sql('documents')},
-usable AS (SELECT item_id AS query_id, text FROM benchmark WHERE length({_strip('text')}) >= 3),
+hits AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) <= {2 * limit})"""
+    return f"""{DESCRIPTIONS}, {chunks_sql('documents')},
+usable AS (SELECT query_id, text FROM ({asked}) WHERE length({_strip('text')}) >= 3),
 {_sparse_sql('q', 'usable', 'query_id', 'text')},
 live AS (SELECT c.* FROM chunks c JOIN listings l ON l.ad_id = c.doc_id WHERE l.active),
 {_sparse_sql('vec', 'live', 'doc_id, chunk_order', 'chunk_text')},
@@ -460,10 +507,17 @@ distances AS (SELECT r.query_id, n.doc_id AS ad_id, n.doc_id * 100000 + n.chunk_
   WHERE n.norm * r.norm > 0),
 {nearest},
 grouped AS (SELECT query_id, ad_id, min(distance) AS d, count(*) AS n FROM hits GROUP BY ALL),
-ranked AS (SELECT query_id, ad_id, greatest(0.0, 1.0 - d / 2.0) AS s, least(n, 3) AS chunks FROM grouped)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ad_id) AS rank, ad_id,
-  round(s, 6) AS similarity_score, chunks FROM ranked WHERE s >= 0.55
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ad_id) <= 5"""
+ranked AS (SELECT query_id, ad_id, greatest(0.0, 1.0 - d / 2.0) AS s, least(n, 3) AS chunks FROM grouped),
+found AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ad_id) AS rank FROM ranked WHERE s >= {least}
+  QUALIFY rank <= {limit})"""
+
+
+_BENCHMARK = "SELECT item_id AS query_id, text FROM benchmark"
+
+
+def _search_sql(listing_first: bool) -> str:
+    return f"""WITH {_found_sql(_BENCHMARK, 5, 0.55, listing_first)}
+SELECT query_id, rank, ad_id, round(s, 6) AS similarity_score, chunks FROM found"""
 
 
 ORACLE = {
@@ -530,6 +584,19 @@ ORACLE = {
         FROM wanted w JOIN chunks c ON c.doc_id = w.doc_id AND c.chunk_text = w.chunk_text GROUP BY ALL""",
     "search_texts": _search_sql(False),
     "search_texts_listing_first": _search_sql(True),
+    "search_by_aspect": f"""WITH {_found_sql("SELECT item_id AS query_id, CASE WHEN item_id % 2 = 0 THEN 'sails: ' ELSE 'motor: ' END || text AS text FROM benchmark", 10, 0.5)},
+        {_keyword_sql(WORD_LEXICON)}
+        SELECT query_id, rank, f.ad_id, title, CASE WHEN length(description) > 200 THEN substr(description, 1, 200) || '...' ELSE description END
+          AS description, round(s, 3) AS similarity_score, chunks, k.aspect AS aspects, round(k.keyword_score, 6) AS aspect_score
+        FROM found f JOIN listings l ON l.ad_id = f.ad_id
+        LEFT JOIN kw k ON k.doc_id = f.ad_id AND k.aspect = CASE WHEN query_id % 2 = 0 THEN 'sails' ELSE 'motor' END""",
+    "similar_by_description": f"""WITH {_found_sql("SELECT ad_id AS query_id, description AS text FROM listings WHERE active AND ad_id % 100 = 0", 6, 0.6)},
+        {_keyword_sql(WORD_LEXICON)}
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS rank, ad_id, round(s, 6) AS similarity_score,
+          (SELECT CAST(count(*) AS INTEGER) FROM aspects) AS aspects, round(k.keyword_score, 6) AS motor
+        FROM found f LEFT JOIN kw k ON k.doc_id = f.ad_id AND k.aspect = 'motor' WHERE ad_id <> query_id QUALIFY rank <= 5""",
+    "search_cached": f"""WITH {_found_sql(_BENCHMARK, 10, 0.6)}
+        SELECT query_id, rank, ad_id, round(s, 6) AS similarity_score, query_id % 2 = 0 AS from_cache FROM found""",
     "query_fingerprint": """SELECT item_id AS query_id, 'plain' AS kind, md5(text || '|None|0.6|10|False') AS query_hash FROM benchmark
         UNION ALL SELECT item_id, 'aspect', md5('motor: ' || text || '|[''motor'']|0.5|10|True') FROM benchmark""",
     "short_queries": f"""SELECT conv_id, turn, text FROM conversations WHERE length({_strip('text')}) >= 3""",

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlattice.functions.scalars import non_empty
 from adlattice.operators.keyed import first_per_key
 from adlattice.schemas import STAGING_ADS
+from adlattice.session import materialise
 
 
 def archive_listings(listings: DataFrame, path: str, run_time: str) -> str:
@@ -50,36 +50,37 @@ def loadable_rows(listings: DataFrame, existing: DataFrame | None, order: list[s
 def load_staging(listings: DataFrame, path: str, order: list[str]) -> int:
     """Append a run's listings to the staging table and return how many rows were new.
 
-    Running the same load again inserts nothing. Files are laid out by month; a rebalance lets the
-    runtime merge small months into one file and split a month that holds most of the load. The
-    count is observed while writing.
+    Running the same load again inserts nothing. Files are laid out by month, and of the stored rows
+    only the months of the load are read. A rebalance lets the runtime merge small months into one
+    file and split a month that holds most of the load. What is inserted is written to the shared
+    folder first and counted from there, as that count needs no column.
     """
     spark = listings.sparkSession
-    existing = spark.read.parquet(path) if path_exists(spark, path) else None
-    inserted = Observation("inserted")
+    month = F.date_format("scraped_at", "yyyy-MM")
+    existing = None
+    if path_exists(spark, path):
+        months = [r[0] for r in listings.select(month).distinct().collect()]  # a text per month of the load
+        existing = spark.read.parquet(path).where(F.col("month").isin(months))
     rows = loadable_rows(listings, existing, order).select(*[f.name for f in STAGING_ADS.fields])
-    counted = rows.observe(inserted, F.count(F.lit(1)).alias("rows"))
-    by_month = counted.withColumn("month", F.date_format("scraped_at", "yyyy-MM")).hint("rebalance", "month")
-    by_month.write.mode("append").partitionBy("month").parquet(path)
-    return observed(inserted, "rows")
+    new = materialise(rows)
+    inserted = new.count()
+    if inserted:
+        new.withColumn("month", month).hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path)
+    return inserted
 
 
-def observed(observation: Observation, name: str) -> int:
-    """An observed count; zero when the planner found the input empty and dropped the observation."""
-    try:
-        return observation.get[name]
-    except Py4JJavaError as failure:
-        if "AssertionError" in str(failure.java_exception):
-            return 0
-        raise
+def clashing_keys(details: DataFrame, existing: DataFrame) -> DataFrame:
+    """Keys of ``details`` that occur twice in it or exist already, with the number of rows."""
+    keys = ["ad_id", "scraped_at"]
+    new = details.select(*keys, F.lit(1).alias("new"))
+    both = new.unionByName(existing.select(*keys, F.lit(0).alias("new")))
+    counted = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.max("new").alias("new"))
+    return counted.where("rows > 1 AND new = 1").drop("new")
 
 
 def append_details(details: DataFrame, existing: DataFrame) -> DataFrame:
     """Detail rows to append; a key that occurs twice or exists already is an error of the load."""
-    keys = ["ad_id", "scraped_at"]
-    both = details.select(*keys).unionByName(existing.select(*keys))
-    clashes = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    example = clashes.join(details.select(*keys), keys, "left_semi").first()
+    example = clashing_keys(details, existing).first()
     if example is not None:
         raise ValueError(f"duplicate key {example['ad_id']}, {example['scraped_at']}")
     return details
