@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlattice.functions.scalars import as_column, strip
-from adlattice.operators.keyed import join_spread
 
 # Turns a batch of texts into a matrix, one row per text.
 Encoder = Callable[[list[str]], np.ndarray]
@@ -116,17 +115,14 @@ def embed_missing(df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
     return embed_texts(missing_embeddings(df, text, model, store), "text", make_encoder, batch_size)
 
 
-def attach_embeddings(df: DataFrame, text: str, model: str, store: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
-    """Join stored vectors back to the rows by text.
+def attach_embeddings(df: DataFrame, text: str, model: str, store: DataFrame) -> DataFrame:
+    """Join stored vectors back to the rows by text; a text the store lacks gets NULL.
 
-    A boilerplate text may be shared by a large part of the rows. Texts used more than ``hot_rows``
-    times are few (at most all rows / ``hot_rows``) and are joined by broadcast, the rest by shuffle.
+    A boilerplate text may be shared by a large part of the rows: the left side of a left join can be
+    split, so the adaptive skew join spreads such a text over many tasks.
     """
     keyed = df.withColumn("text_key", text_key(text, model))
-    lookup = store.select("text_key", "embedding")
-    often = keyed.groupBy("text_key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-    hot = lookup.join(F.broadcast(often.select("text_key")), "text_key", "left_semi")
-    return join_spread(keyed, lookup, ["text_key"], hot).drop("text_key")
+    return keyed.join(store.select("text_key", "embedding"), "text_key", "left").drop("text_key")
 
 
 def with_dimension(df: DataFrame, dims: int, vector: str = "embedding") -> DataFrame:

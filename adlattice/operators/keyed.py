@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,55 +32,30 @@ def top_per_key(df: DataFrame, key: str | list[str], order: list[Column], k: int
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def previous_per_key(
-    df: DataFrame,
-    key: str,
-    order: str,
-    tiebreak: str,
-    value: str,
-    out: str,
-    rows_per_slice: int = 4_000_000,
-) -> DataFrame:
+def previous_per_key(df: DataFrame, key: str, order: str, tiebreak: str, value: str, out: str,
+                     slice_of: Column | None = None) -> DataFrame:
     """Add ``out``: ``value`` of the row before this one within ``key`` (ordered by ``order, tiebreak``).
 
-    A plain window sends a whole key to one task. Keys with more than ``rows_per_slice`` rows are
-    therefore cut into equally deep slices of ``order``; the window runs per (key, slice) and the
-    last value of each slice is handed to the first row of the next one. Without such keys the plan
-    is the plain window.
+    A plain window sends a whole key to one task. Here the window runs per key and slice of the
+    order (``slice_of``, by default the day; it must not fall as ``order`` rises), and the last value
+    of each slice is handed to the first row of the next one. Last values are aggregated before the
+    shuffle: a row per key and slice. Rows without an order value come first and are one slice.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    largest = counts.agg(F.max("__n")).first()[0] or 0
-    slices = math.ceil(largest / rows_per_slice)
-    if slices <= 1:
-        in_order = Window.partitionBy(key).orderBy(order, tiebreak)
-        return df.withColumn(out, F.lag(value).over(in_order))
-
-    # At most (all rows / rows_per_slice) keys are this large, so their cut points can be broadcast.
-    large = counts.where(F.col("__n") > rows_per_slice).select(key)
-    fractions = [i / slices for i in range(1, slices)]
-    cuts = (
-        df.join(F.broadcast(large), key, "left_semi")
-        .groupBy(key)
-        .agg(F.percentile_approx(order, fractions, max(10_000, 20 * slices)).alias("__cuts"))
-    )
-    sliced = df.join(F.broadcast(cuts), key, "left").withColumn(
-        "__slice", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col(order))), F.lit(0))
-    )
-    last = (
-        sliced.where(F.col("__cuts").isNotNull())
-        .groupBy(key, "__slice")
-        .agg(F.max_by(F.struct(value), F.struct(order, tiebreak)).alias("__last"))
-    )
-    # An empty slice has no row here, so lag over the existing slices finds the true predecessor.
+    slices = F.date_trunc("day", order) if slice_of is None else slice_of
+    sliced = df.withColumn("__slice", slices)
+    last = sliced.groupBy(F.col(key).alias("__key"), F.col("__slice").alias("__at")).agg(
+        F.max_by(F.struct(value), F.struct(order, tiebreak)).alias("__last"))
+    # A slice without rows is absent, so lag over the slices there are finds the true predecessor.
     handed_on = last.select(
-        key, "__slice", F.lag("__last").over(Window.partitionBy(key).orderBy("__slice")).alias("__before")
-    )
+        "__key", "__at", F.lag("__last").over(Window.partitionBy("__key").orderBy("__at")).alias("__before")
+    ).where(F.col("__before").isNotNull())
     in_slice = Window.partitionBy(key, "__slice").orderBy(order, tiebreak)
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.col("__slice").eqNullSafe(F.col("__at"))
     return (
         sliced.withColumn("__prev", F.lag(F.struct(value)).over(in_slice))
-        .join(F.broadcast(handed_on), [key, "__slice"], "left")
+        .join(handed_on, same, "left")
         .withColumn(out, F.coalesce("__prev", "__before")[value])
-        .drop("__cuts", "__slice", "__prev", "__before")
+        .drop("__slice", "__prev", "__key", "__at", "__last", "__before")
     )
 
 

@@ -175,10 +175,10 @@ def price_history_rows(staging: DataFrame, ads_before: DataFrame, with_initial:
     return changed.unionByName(first)
 
 
-def price_changes_log(staging: DataFrame, rows_per_slice: int = 4_000_000) -> DataFrame:
+def price_changes_log(staging: DataFrame) -> DataFrame:
     """Every price change over the whole snapshot log, with the price before it."""
     columns = staging.select("ad_id", "scraped_at", "snapshot_id", "price").withColumn("seen", F.struct("price"))
-    previous = previous_per_key(columns, "ad_id", "scraped_at", "snapshot_id", "seen", "before", rows_per_slice)
+    previous = previous_per_key(columns, "ad_id", "scraped_at", "snapshot_id", "seen", "before")
     return previous.where(
         F.col("before").isNotNull() & F.col("price").isNotNull() & is_changed(F.col("before.price"), F.col("price"))
     ).select("ad_id", F.col("before.price").alias("old_price"), F.col("price").alias("new_price"),
@@ -197,9 +197,9 @@ def seen_listings(staging: DataFrame, scope: str = "all", since: Column | None =
     elif scope == "since":
         rows = staging.where(F.col("scraped_at") >= since)
     elif scope == "last_run":
-        # One row by construction: a global maximum.
-        newest = staging.agg((F.max("scraped_at") - F.expr(f"INTERVAL {run_length}")).alias("run_start"))
-        rows = staging.join(F.broadcast(newest), F.col("scraped_at") >= F.col("run_start"))
+        # One value, found first, so that the filter can reach the scan.
+        newest = staging.agg(F.max("scraped_at")).first()[0]
+        rows = staging.where(F.col("scraped_at") >= F.lit(newest).cast(staging.schema["scraped_at"].dataType) - F.expr(f"INTERVAL {run_length}"))
     else:
         raise ValueError(f"unknown scope {scope!r}")
     return rows.select("ad_id").distinct()

@@ -25,7 +25,7 @@ def aspect_centroids(spark: SparkSession, sf: str) -> DataFrame:
 def pair_cosines(spark: SparkSession, sf: str) -> DataFrame:
     """Cosine of every vector to its label's centroid."""
     vectors = vector_chunks(spark, sf)
-    both = vectors.join(F.broadcast(centroids(vectors, "label")), "label")
+    both = vectors.join(centroids(vectors, "label"), "label")
     return both.select("chunk_id", F.round(cosine("embedding", "centroid"), 6).alias("cos"))
 
 
@@ -98,7 +98,7 @@ def grouped_hits(spark: SparkSession, sf: str) -> DataFrame:
 def top_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The three chunks of every listing nearest to their own label's centroid."""
     vectors = vector_chunks(spark, sf)
-    near = vectors.join(F.broadcast(centroids(vectors, "label")), "label").select(
+    near = vectors.join(centroids(vectors, "label"), "label").select(
         "ad_id", "chunk_id", F.round(1.0 - cosine("embedding", "centroid"), 6).alias("distance")
     )
     return top_per_key(near, "ad_id", [F.col("distance").asc(), F.col("chunk_id").asc()], 3)
@@ -121,9 +121,9 @@ def similar_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Similarity score of every listing to the centroids of labels 0 to 3, read as aspects."""
+    """Similarity score of every listing to the centroids of all labels, read as aspects."""
     chunks = vector_chunks(spark, sf)
-    means = centroids(chunks, "label").where("label < 4").orderBy("label").collect()  # four rows
+    means = centroids(chunks, "label").orderBy("label").collect()  # one row per label, ten in all
     names, matrix = [f"aspect{r['label']}" for r in means], np.asarray([r["centroid"] for r in means])
     scored = similarity_scores(chunks, "ad_id", names, matrix, aspects=[*names, "unknown"])
     return scored.select("ad_id", "aspect", F.round("similarity_score", 6).alias("similarity_score"), "similar_chunks")
@@ -273,7 +273,7 @@ ORACLE = {
         SELECT query_id, ad_id, round(s, 6) AS similarity_score, row_number() OVER (PARTITION BY query_id ORDER BY r) AS rank
         FROM ranked WHERE r <= 6 AND ad_id <> query_id QUALIFY rank <= 5""",
     "embedding_scores": f"""{_BASE}, cosines AS (SELECT ad_id, 'aspect' || z.label AS aspect,
-          list_cosine_similarity(c.embedding, centroid) AS cos FROM chunks c CROSS JOIN centroids z WHERE z.label < 4)
+          list_cosine_similarity(c.embedding, centroid) AS cos FROM chunks c CROSS JOIN centroids z)
         SELECT ad_id, aspect, round((max(cos) * 0.7 + avg(cos) * 0.3 + 1.0) / 2.0, 6) AS similarity_score,
           count(*) FILTER (WHERE cos > 0.6) AS similar_chunks FROM cosines GROUP BY ALL
         UNION ALL SELECT DISTINCT ad_id, 'unknown', 0.5, 0 FROM chunks""",

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from adlattice.operators.keyed import first_per_key, latest_per_key, previous_per_key
 from adlattice.operators.lifecycle import price_differs
-from adlattice.session import materialise
 from adlattice.sources.archive import path_exists
 from adlattice.sources.snapshots import read_snapshot, versions, write_snapshot
 
@@ -116,9 +115,7 @@ def changes_in_batch(before: DataFrame | None, batch: DataFrame, log: DataFrame
         new = new.unionByName(before.join(touched, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
         new = new.unionByName(log.join(late, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
     once = new.groupBy(*key).agg(F.min("price").alias("price"), F.max("new").alias("new"), F.max("late").alias("late"))
-    # Written once, as the comparison counts its rows before it orders them.
-    seen = materialise(once.withColumn("seen", F.struct("price")))
-    in_order = previous_per_key(seen, "ad_id", "scraped_at", "snapshot_id", "seen", "before")
+    in_order = previous_per_key(once.withColumn("seen", F.struct("price")), "ad_id", "scraped_at", "snapshot_id", "seen", "before")
     pairs = in_order.where(
         (F.col("new") | F.col("late")) & F.col("before").isNotNull() & F.col("price").isNotNull()
         & price_differs(F.col("before.price"), F.col("price"))
@@ -166,7 +163,8 @@ def maintain_cache(stream: DataFrame, root: str, checkpoint: str, lag: str = "1
     def step(before: DataFrame | None, batch: DataFrame, _: int) -> DataFrame:
         newest = latest_per_key(batch, "query_hash", ["created_at"])
         merged = newest if before is None else latest_per_key(before.unionByName(newest), "query_hash", ["created_at"])
-        now = merged.agg(F.max("created_at").alias("now"))
-        return merged.join(F.broadcast(now), F.col("expires_at") >= F.col("now") - F.expr(f"INTERVAL {lag}")).drop("now")
+        # One value, found before the filter, so that the filter can reach the scan.
+        now = merged.agg(F.max("created_at")).first()[0]
+        return merged.where(F.col("expires_at") >= F.lit(now).cast(merged.schema["created_at"].dataType) - F.expr(f"INTERVAL {lag}"))
 
     run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
