@@ -642,10 +642,11 @@ ORACLE = {
         FROM found f JOIN listings l ON l.ad_id = f.ad_id
         LEFT JOIN kw k ON k.doc_id = f.ad_id AND k.aspect = CASE WHEN query_id % 2 = 0 THEN 'sails' ELSE 'motor' END""",
     "similar_by_description": f"""WITH {_found_sql("SELECT ad_id AS query_id, description AS text FROM listings WHERE active AND ad_id % 100 = 0", 6, 0.6)},
-        {_keyword_sql(WORD_LEXICON)}
-        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS rank, ad_id, round(s, 6) AS similarity_score,
+        {_keyword_sql(WORD_LEXICON)},
+        others AS (SELECT query_id, ad_id, s, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place FROM found WHERE ad_id <> query_id)
+        SELECT query_id, place AS rank, ad_id, round(s, 6) AS similarity_score,
           (SELECT CAST(count(*) AS INTEGER) FROM aspects) AS aspects, round(k.keyword_score, 6) AS motor
-        FROM found f LEFT JOIN kw k ON k.doc_id = f.ad_id AND k.aspect = 'motor' WHERE ad_id <> query_id QUALIFY rank <= 5""",
+        FROM others o LEFT JOIN kw k ON k.doc_id = o.ad_id AND k.aspect = 'motor' WHERE place <= 5""",
     "search_cached": f"""WITH {_found_sql(_BENCHMARK, 10, 0.6)}
         SELECT query_id, rank, ad_id, round(s, 6) AS similarity_score, query_id % 2 = 0 AS from_cache FROM found""",
     "query_fingerprint": """SELECT item_id AS query_id, 'plain' AS kind, md5(text || '|None|0.6|10|False') AS query_hash FROM benchmark
