@@ -111,11 +111,11 @@ def _label_cells(chunks: DataFrame) -> np.ndarray:
 
 
 def similar_listings(spark: SparkSession, sf: str) -> DataFrame:
-    """Five listings similar to the first chunk of every listing, found in the two nearest of ten cells."""
+    """Five listings similar to the first chunk of every listing; all ten cells are probed, so the result is exact."""
     chunks = vector_chunks(spark, sf)
     cells = _label_cells(chunks)
     references = chunks.where("chunk_order = 0").select("ad_id", "embedding")
-    nearest = lambda rows, queries, k: cell_index.nearest_in_cells(rows, queries, cells, k, nprobe=2)
+    nearest = lambda rows, queries, k: cell_index.nearest_in_cells(rows, queries, cells, k, nprobe=len(cells))
     found = search.similar_listings(references, chunks, nearest, 5, 0.55)
     return found.select("query_id", "rank", "ad_id", F.round("similarity_score", 6).alias("similarity_score"))
 
