@@ -130,11 +130,12 @@ def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Approximate nearest 20 chunks of every label centroid and every first chunk: three of ten cells are probed."""
+    """Nearest 20 chunks of every label centroid and every first chunk; all ten cells are probed, so the result is exact."""
     chunks = vector_chunks(spark, sf)
     first = chunks.where("chunk_order = 0").select((F.col("ad_id") + 1000).alias("query_id"), F.col("embedding").cast("array<double>"))
     queries = _label_queries(chunks).select("query_id", "embedding").unionByName(first)
-    return _hit_columns(cell_index.nearest_in_cells(chunks, queries, _label_cells(chunks), 20, nprobe=3))
+    cells = _label_cells(chunks)
+    return _hit_columns(cell_index.nearest_in_cells(chunks, queries, cells, 20, nprobe=len(cells)))
 
 
 def ann_topk_exact(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,3 +41,12 @@ def test_similar_listings_are_the_exact_ones(spark, connection):
         FROM ranked WHERE r <= 6 AND ad_id <> query_id QUALIFY rank <= 5"""
     same, message = compare(vector_queries.similar_listings(spark, FOLDER), exact, connection)
     assert same, message
+
+
+def test_ann_topk_recall_over_its_own_queries(spark, connection):
+    asked = f"""SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids
+        UNION ALL SELECT query_id + 1000, q FROM ({FIRST_CHUNKS})"""
+    near = connection.execute(f"""{vector_queries._BASE}, {vector_queries._distances(queries=asked)}
+        SELECT query_id, chunk_id FROM {vector_queries._top(20)}""").fetchall()
+    found = {(r["query_id"], r["chunk_id"]) for r in vector_queries.ann_topk(spark, FOLDER).collect()}
+    assert len(found & set(near)) / len(near) >= 0.9
