@@ -34,28 +34,42 @@ def _coder(path: str):
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        whole = json.load(file)
+    vocabulary, added = whole["model"]["vocab"], [t["content"] for t in whole["added_tokens"]]
     # The byte alphabet of byte-level vocabularies: printable Latin-1 stands for itself, the rest from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    ranks = {bytes(map(letters.__getitem__, piece)): i for piece, i in vocabulary.items() if piece != "<|endoftext|>"}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(map(letters.__getitem__, piece)): i for piece, i in vocabulary.items() if piece not in added}
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), added
+
+
+@functools.lru_cache(maxsize=2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 def byte_bpe(path: str | None = None) -> Callable[[list[str]], list[np.ndarray]]:
     """An encoder for the tokenizer file at ``path`` (default: the public 50k byte-level vocabulary).
 
     It appends id 0 to each text. The vocabulary is read from the file once per worker and run by tiktoken, which gives
-    the ids that the ``tokenizers`` library gives, four times as fast. Special tokens' strings are ordinary text.
+    the ids that the ``tokenizers`` library gives, four times as fast. A text that holds an added token of the file, such
+    as ``<|endoftext|>``, is run by ``tokenizers`` itself, which gives that token's id.
     """
     def encode(texts: list[str]) -> list[np.ndarray]:
         import public_tokenizers
 
-        coder, known = _coder(path or public_tokenizers.path("byte_bpe_50k.json")), {}
+        file, known = path or public_tokenizers.path("byte_bpe_50k.json"), {}
+        coder, added = _coder(file)
         for text in texts:
             if text not in known:
-                known[text] = np.append(np.asarray(coder.encode_ordinary(text), np.uint32), np.uint32(0))
+                if any(token in text for token in added):
+                    ids = _library(file).encode(text, add_special_tokens=False).ids
+                else:
+                    ids = coder.encode_ordinary(text)
+                known[text] = np.append(np.asarray(ids, np.uint32), np.uint32(0))
         return [known[t] for t in texts]
 
     return encode

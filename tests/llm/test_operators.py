@@ -259,6 +259,15 @@ def test_encoder_gives_the_tokenizers_ids(docs):
         assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
 
 
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|><|endoftext|>\n é", "<|endoftext"])
+def test_encoder_gives_the_ids_of_added_tokens(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.byte_bpe()([text])[0].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_packed_pieces(spark, docs):
     out = queries.op6_bin_slack_packing(spark, FOLDER).toPandas()
     ids = dict(zip([d["doc_id"] for d in docs], packing.byte_bpe()([d["text"] for d in docs])))
