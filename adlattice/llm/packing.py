@@ -10,6 +10,7 @@ to the patterns by their rank within their length, which Spark computes over all
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -23,6 +24,8 @@ from adlattice.operators.keyed import running_position
 from adlattice.session import materialise
 
 WINDOW = 1024
+# A run of white space from this length on is left to the tokenizers library: tiktoken fails at about a million.
+LONG_RUN = 1000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -51,12 +54,18 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+def _has_long_run(text: str) -> bool:
+    """Whether ``text`` has ``LONG_RUN`` characters of white space in a row: such a run covers two of the places looked at."""
+    return bool(re.search(r"\s\s", text[:: LONG_RUN // 2])) and bool(re.search(rf"(?<!\s)\s{{{LONG_RUN}}}", text))
+
+
 def byte_bpe(path: str | None = None) -> Callable[[list[str]], list[np.ndarray]]:
     """An encoder for the tokenizer file at ``path`` (default: the public 50k byte-level vocabulary).
 
     It appends id 0 to each text. The vocabulary is read from the file once per worker and run by tiktoken, which gives
     the ids that the ``tokenizers`` library gives, four times as fast. A text that holds an added token of the file, such
-    as ``<|endoftext|>``, is run by ``tokenizers`` itself, which gives that token's id.
+    as ``<|endoftext|>``, is run by ``tokenizers`` itself, which gives that token's id; so is one with a long run of white
+    space, at which tiktoken's pattern runs out of stack.
     """
     def encode(texts: list[str]) -> list[np.ndarray]:
         import public_tokenizers
@@ -65,7 +74,7 @@ def byte_bpe(path: str | None = None) -> Callable[[list[str]], list[np.ndarray]]
         coder, added = _coder(file)
         for text in texts:
             if text not in known:
-                if any(token in text for token in added):
+                if any(token in text for token in added) or _has_long_run(text):
                     ids = _library(file).encode(text, add_special_tokens=False).ids
                 else:
                     ids = coder.encode_ordinary(text)

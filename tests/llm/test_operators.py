@@ -268,6 +268,20 @@ def test_encoder_gives_the_ids_of_added_tokens(text):
     assert packing.byte_bpe()([text])[0].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b", "x \t" + " \n" * 500_000])
+def test_encoder_takes_long_white_space(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.byte_bpe()([text])[0].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
+
+
+@pytest.mark.parametrize("at", [0, 1, 250, 499, 500, 501])
+def test_long_runs_are_seen_wherever_they_start(at):
+    assert packing._has_long_run("x" * at + " " * 1000 + "y") and not packing._has_long_run("x" * at + " " * 999 + "y")
+
+
 def test_packed_pieces(spark, docs):
     out = queries.op6_bin_slack_packing(spark, FOLDER).toPandas()
     ids = dict(zip([d["doc_id"] for d in docs], packing.byte_bpe()([d["text"] for d in docs])))
