@@ -130,3 +130,17 @@ def in_mix_order(df: DataFrame, places: DataFrame, id_col: str = "doc_id", sourc
         .sortWithinPartitions("mix_position")
         .drop("mix_position")
     )
+
+
+def with_file_order(df: DataFrame, out: str) -> DataFrame:
+    """Rows of a table read from files numbered 0,1,2,... in ``out``: files in name order, rows in file order."""
+    named = df.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = named.groupBy(F.col("__file").alias("__name")).agg(F.count(F.lit(1)).alias("__rows"))
+    # One row per file. From part 100000 on names are longer.
+    in_order = Window.orderBy(F.length("__name"), "__name")
+    before = sizes.select("__name", (F.sum("__rows").over(in_order) - F.col("__rows")).alias("__before"))
+    return (
+        named.join(F.broadcast(before), F.col("__file") == F.col("__name"))
+        .withColumn(out, F.col("__before") + F.col("__row"))
+        .drop("__file", "__row", "__name", "__before")
+    )

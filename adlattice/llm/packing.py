@@ -12,7 +12,8 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,8 @@ from adlattice.session import materialise
 WINDOW = 1024
 # A run of white space from this length on is left to the tokenizers library: tiktoken fails at about a million.
 LONG_RUN = 1000
+# Rounds that the windows of a pattern are spread over where pieces have an order.
+ROUNDS = 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -85,29 +88,36 @@ def byte_bpe(path: str | None = None) -> Callable[[list[str]], list[np.ndarray]]
 
 
 def token_pieces(df: DataFrame, encoder: Callable, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
-                 with_ids: bool = False) -> DataFrame:
-    """Pieces of every document: (doc_id, start, length, ids_crc32, doc_tokens[, ids as little-endian bytes]).
+                 with_ids: bool = False, order: str | None = None) -> DataFrame:
+    """Pieces of every document: (doc_id, start, length, ids_crc32, doc_tokens[, ids as little-endian bytes][, order]).
 
-    A null or empty text has the end id alone. Null ids stay null and repeated rows repeated; other columns are left out.
+    A null or empty text has the end id alone. Null ids stay null and repeated rows repeated; other columns are left out,
+    but for ``order``, a whole number that every piece of a row takes over.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 rows: list[tuple] = []
-                for doc, ids in zip(batch.column(0).to_pylist(), encoder([t or "" for t in batch.column(1).to_pylist()])):
+                places: list[int] = []
+                encoded = encoder([t or "" for t in batch.column(1).to_pylist()])
+                for at_row, (doc, ids) in enumerate(zip(batch.column(0).to_pylist(), encoded)):
                     raw = memoryview(ids.astype("<u4").tobytes())
                     for start in range(0, len(ids), window):
                         part = raw[4 * start : 4 * (start + window)]
                         rows.append((doc, start, len(part) // 4, zlib.crc32(part), len(ids), *([bytes(part)] * with_ids)))
+                        places.append(at_row)
                 arrays = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:5]]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:
                     arrays, names = [*arrays, pa.array([r[5] for r in rows], pa.binary())], [*names, "ids"]
+                if order:
+                    arrays, names = [*arrays, batch.column(2).take(pa.array(places, pa.int64()))], [*names, order]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, PIECES + ", ids binary" * with_ids)
+    narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       *([F.col(order).cast("long")] if order else []))
+    return narrow.mapInArrow(run, PIECES + ", ids binary" * with_ids + (f", `{order}` long" if order else ""))
 
 
 @dataclass(frozen=True)
@@ -161,32 +171,45 @@ def fill_windows(counts: dict[int, int], window: int = WINDOW) -> list[Pattern]:
     return patterns
 
 
-def seat_table(patterns: list[Pattern]) -> dict[int, np.ndarray]:
+def in_rounds(patterns: list[Pattern], rounds: int = ROUNDS) -> Iterator[Pattern]:
+    """The same windows with every pattern's spread evenly over ``rounds``, so that all lengths are used up at one pace."""
+    for r in range(rounds):
+        for i, p in enumerate(patterns):
+            phase = i * 0.6180339887 % 1  # patterns used a few times do not all fall into the same rounds
+            n = int(p.times * (r + 1) / rounds + phase) - int(p.times * r / rounds + phase)
+            if n:
+                yield Pattern(p.counts, n)
+
+
+def seat_table(patterns: Iterable[Pattern]) -> dict[int, np.ndarray]:
     """By length, rows (first rank, pieces per window, first sequence id, offset in the window), in rank order."""
-    seats: dict[int, list[tuple[int, int, int, int]]] = {}
+    seats: dict[int, array] = {}
     used: dict[int, int] = {}
     sequence = 0
     for pattern in patterns:
         offset = 0
         for length in sorted(pattern.counts, reverse=True):
             n = pattern.counts[length]
-            seats.setdefault(length, []).append((used.get(length, 0), n, sequence, offset))
+            seats.setdefault(length, array("q")).extend((used.get(length, 0), n, sequence, offset))
             used[length] = used.get(length, 0) + n * pattern.times
             offset += n * length
         sequence += pattern.times
-    return {length: np.array(rows, np.int64) for length, rows in seats.items()}
+    return {length: np.array(rows, np.int64).reshape(-1, 4) for length, rows in seats.items()}
 
 
-def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+def pack(pieces: DataFrame, window: int = WINDOW, order: str | None = None) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: each sequence holds at most ``window`` ids, without gaps.
 
     ``pieces`` needs (doc_id, start, length, ids_crc32); rows are written once. Pieces of equal length are taken in the
-    order of (doc_id, start, ids_crc32). An empty table gives no rows.
+    order of (doc_id, start, ids_crc32). An empty table gives no rows. With ``order``, a column that numbers the documents,
+    they are taken in the order of (``order``, start, ids_crc32), all lengths at one pace, and sequences are numbered by
+    the mean ``order`` of their ids.
     """
     pieces = materialise(pieces.drop("sequence_id", "offset"))
     # At most ``window`` rows: the counts by length.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    seats = seat_table(fill_windows(counts, window))
+    patterns = fill_windows(counts, window)
+    seats = seat_table(in_rounds(patterns) if order else patterns)
     begins, total = {}, 0
     for length in sorted(counts):
         begins[length], total = total, total + counts[length]
@@ -208,9 +231,19 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     names = pieces.columns
-    numbered = running_position(pieces, ["length", "doc_id", "start", "ids_crc32"], "__n")
+    numbered = running_position(pieces, ["length", order or "doc_id", "start", "ids_crc32"], "__n")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return numbered.select(*names, "__n").mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    packed = numbered.select(*names, "__n").mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return _sequences_in_order(packed, order) if order else packed
+
+
+def _sequences_in_order(packed: DataFrame, order: str) -> DataFrame:
+    """``packed`` with its sequences numbered anew by the mean ``order`` of their ids."""
+    means = packed.groupBy(F.col("sequence_id").alias("__old")).agg(
+        (F.sum(F.col(order) * F.col("length")) / F.sum("length")).alias("__mean"))
+    numbers = running_position(means, ["__mean", "__old"], "__new")
+    joined = packed.join(numbers, F.col("sequence_id") == F.col("__old"))
+    return joined.select(*[F.col("__new").alias(c) if c == "sequence_id" else c for c in packed.columns])
 
 
 def sequences(packed: DataFrame, window: int = WINDOW) -> DataFrame:

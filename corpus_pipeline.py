@@ -48,8 +48,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their sequence and offset."""
-    return packing.pack(packing.token_pieces(docs, packing.byte_bpe()))
+    """Pieces of all documents with their sequence and offset; sequences follow the order of the files of ``docs``."""
+    placed = mixing.with_file_order(docs, "place")
+    return packing.pack(packing.token_pieces(placed, packing.byte_bpe(), order="place"), order="place").drop("place")
 
 
 STAGES = [

@@ -486,3 +486,30 @@ def test_stages(spark, docs):
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, FOLDER).toPandas()
     assert len(out) and out.groupby("sequence_id").length.sum().max() <= 1024
+
+
+def test_sequences_follow_the_mix(spark, tmp_path):
+    """One hot source: along sequence_id each source's share of the tokens is that of the mix, up to where a source ends."""
+    draw = np.random.default_rng(8)
+    rows = [(i, " ".join(["word"] * int(draw.integers(20, 1500))), "hot" if i < 640 else "cold") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    corpus_pipeline.mix_sources(spark, docs, FOLDER).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.pack_sequences(spark, spark.read.parquet(f"{tmp_path}/mixed"), FOLDER).toPandas()
+    assert sorted(out.columns) == sorted(["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+    out = out.sort_values(["sequence_id", "offset"])
+    assert (out.offset == out.groupby("sequence_id").length.cumsum() - out.length).all()
+    assert out.groupby("sequence_id").length.sum().max() <= 1024
+    assert sorted(out.sequence_id.unique()) == list(range(out.sequence_id.nunique()))
+    assert out.groupby("doc_id").length.sum().eq(out.groupby("doc_id").doc_tokens.first()).all()
+    # Weights are rows ** 0.5, so 640 : 160 rows are mixed 2 : 1, and cold lasts for 480 of 800 documents.
+    for quarter in range(4):
+        part = out[(out.sequence_id >= quarter * 0.13 * out.sequence_id.max()) & (out.sequence_id < (quarter + 1) * 0.13 * out.sequence_id.max())]
+        assert abs(part[part.doc_id < 640].length.sum() / part.length.sum() - 2 / 3) < 0.13
+    last = out[out.sequence_id > 0.7 * out.sequence_id.max()]
+    assert last[last.doc_id < 640].length.sum() / last.length.sum() > 0.97
+
+
+def test_rounds_use_every_window_once():
+    patterns = [packing.Pattern({9: 1, 1: 2}, 130), packing.Pattern({8: 1}, 1), packing.Pattern({7: 1}, 3)]
+    spread = list(packing.in_rounds(patterns))
+    assert [sum(p.times for p in spread if p.counts == q.counts) for q in patterns] == [130, 1, 3]
