@@ -6,7 +6,8 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlattice.llm import chat, fingerprints, mixing, near_dedup, packing, quality, repeats, secrets, sharding, toxicity
+from adlattice.llm import (block_names, chat, fingerprints, mixing, near_dedup, packing, quality, repeats, secrets, sharding,
+                           strata_index, toxicity, whitening)
 from adlattice.sources.tables import read_table
 
 SHARDS = 40
@@ -92,12 +93,47 @@ def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_strata_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return strata_index.rank_documents(documents(spark, folder), read_table(spark, folder, "benchmark"))
+
+
+def op12_spectrum_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
+def op13_block_naming(spark: SparkSession, folder: str) -> DataFrame:
+    return block_names.exact_duplicates(documents(spark, folder))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_feistel_shards, op2_secret_automaton, op3_weighted_fingerprints, op4_minhash_groups, op5_chat_format,
-    op6_bin_slack_packing, op7_pfair_mix, op8_rule_ledger, op9_gated_toxicity, op10_suffix_repeats, pipeline,
+    op6_bin_slack_packing, op7_pfair_mix, op8_rule_ledger, op9_gated_toxicity, op10_suffix_repeats, op11_strata_ranking,
+    op12_spectrum_whitening, op13_block_naming, pipeline,
 )}
-ORACLE: dict[str, str] = {}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"unnest(regexp_extract_all({_LOWER.format('text')}, '{strata_index.TERM}')) AS term"
+
+ORACLE = {
+    "op11_strata_ranking": f"""WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+        doc_terms AS (SELECT row, doc_id, {_TERMS} FROM numbered),
+        item_terms AS (SELECT item_id, {_TERMS} FROM benchmark),
+        asked AS (SELECT item_id, term, count(*) AS repeats FROM item_terms GROUP BY ALL),
+        lengths AS (SELECT row, doc_id, count(*) AS n FROM doc_terms GROUP BY ALL),
+        corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+        postings AS (SELECT row, term, count(*) AS tf FROM doc_terms SEMI JOIN asked USING (term) GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM postings, corpus GROUP BY term, docs),
+        parts AS (SELECT item_id, row, repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS part
+          FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (row), corpus),
+        scores AS (SELECT item_id, row, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scores JOIN lengths USING (row) WHERE score > 0 QUALIFY rank <= 20""",
+    "op13_block_naming": f"""WITH texts AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+        groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM texts JOIN groups USING (t)""",
+}
