@@ -230,16 +230,7 @@ def _top(k: int, source: str = "distances", rank: str = "rank") -> str:
   QUALIFY {rank} <= {k})"""
 
 
-def _probed(queries: str, nprobe: int) -> str:
-    """CTEs ending in ``distances`` of queries to the chunks of their nearest cells, the cells being the label centroids."""
-    cosine = "round(list_cosine_similarity({}, centroid), 9)"
-    return f"""queries AS ({queries}),
-placed AS (SELECT c.*, z.label AS cell FROM chunks c CROSS JOIN centroids z
-  QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY {cosine.format('c.embedding')} DESC, z.label) = 1),
-probes AS (SELECT query_id, q, label AS cell FROM queries CROSS JOIN centroids
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY {cosine.format('q')} DESC, label) <= {nprobe}),
-distances AS (SELECT query_id, chunk_id, ad_id, round(1.0 - list_cosine_similarity(embedding, q), 9) AS distance
-  FROM probes JOIN placed USING (cell))"""
+_FIRST_CHUNKS = "SELECT ad_id AS query_id, embedding AS q FROM chunks WHERE chunk_order = 0"
 
 
 _HITS = "query_id, rank, chunk_id, ad_id, round(distance, 6) AS distance"
@@ -267,8 +258,7 @@ ORACLE = {
     "top_chunks": f"""{_BASE}, near AS (SELECT ad_id, chunk_id, round(1.0 - list_cosine_similarity(embedding, centroid), 6) AS distance
           FROM chunks c JOIN centroids z ON z.label = c.label)
         SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY distance, chunk_id) AS rank FROM near QUALIFY rank <= 3""",
-    "similar_listings": f"""{_BASE}, {_probed('SELECT ad_id AS query_id, embedding AS q FROM chunks WHERE chunk_order = 0', 2)},
-        hits AS {_top(12, rank='hit')},
+    "similar_listings": f"""{_BASE}, {_distances(queries=_FIRST_CHUNKS)}, hits AS {_top(12, rank='hit')},
         grouped AS (SELECT query_id, ad_id, greatest(0.0, 1.0 - min(distance) / 2.0) AS s FROM hits GROUP BY ALL),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ad_id) AS r FROM grouped WHERE s >= 0.55)
         SELECT query_id, ad_id, round(s, 6) AS similarity_score, row_number() OVER (PARTITION BY query_id ORDER BY r) AS rank
@@ -278,8 +268,8 @@ ORACLE = {
         SELECT ad_id, aspect, round((max(cos) * 0.7 + avg(cos) * 0.3 + 1.0) / 2.0, 6) AS similarity_score,
           count(*) FILTER (WHERE cos > 0.6) AS similar_chunks FROM cosines GROUP BY ALL
         UNION ALL SELECT DISTINCT ad_id, 'unknown', 0.5, 0 FROM chunks""",
-    "ann_topk": f"""{_BASE}, {_probed("""SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids
-        UNION ALL SELECT ad_id + 1000, embedding FROM chunks WHERE chunk_order = 0""", 3)} SELECT {_HITS} FROM {_top(20)}""",
+    "ann_topk": f"""{_BASE}, {_distances(queries=f"""SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids
+        UNION ALL SELECT query_id + 1000, q FROM ({_FIRST_CHUNKS})""")} SELECT {_HITS} FROM {_top(20)}""",
     "ann_topk_exact": f"{_BASE}, {_distances()} SELECT {_HITS} FROM {_top(20)}",
     "cache_live": f"""WITH {CACHE} SELECT c.query_hash, c.position, c.ad_id, round(c.similarity_score, 6) AS similarity_score,
           o.o_orderpriority AS title, o.o_orderstatus AS description
