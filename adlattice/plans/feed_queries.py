@@ -53,8 +53,8 @@ def stream_master(spark: SparkSession, sf: str) -> DataFrame:
 def stream_price_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Price changes found batch by batch over the whole log, which comes out of order."""
     history = scratch_path(spark, "changes")
-    feeds.watch_prices(_snapshot_stream(spark, sf), scratch_path(spark, "prices"), history, scratch_path(spark, "checkpoint"))
-    return feeds.price_changes(spark.read.parquet(f"{history}/changes").drop("batch"))
+    feeds.watch_prices(_snapshot_stream(spark, sf), history, scratch_path(spark, "checkpoint"))
+    return feeds.price_changes(spark.read.parquet(history))
 
 
 def stream_cache(spark: SparkSession, sf: str) -> DataFrame:

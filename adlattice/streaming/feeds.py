@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from adlattice.operators.keyed import first_per_key, latest_per_key, previous_per_key
-from adlattice.operators.lifecycle import price_differs
+from adlattice.operators.keyed import first_per_key, latest_per_key
 from adlattice.sources.archive import path_exists
 from adlattice.sources.snapshots import read_snapshot, versions, write_snapshot
+from adlattice.streaming import price_watch
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -60,12 +60,18 @@ def append_deduplicated(stream: DataFrame, keys: list[str], order: list[str], ta
 def newest_prices(ads: DataFrame | None, batch: DataFrame) -> DataFrame:
     """Next (ad_id, price, scraped_at, snapshot_id) state: the newest snapshot of each listing.
 
-    A late snapshot never rolls a newer state back, as rows compete by scrape time, not arrival.
+    A late snapshot never rolls a newer state back, as rows compete by scrape time, not arrival. Snapshots equal in listing, time and number
+    are one, with the lowest price, as in the price watch.
     """
-    newest = latest_per_key(batch, "ad_id", ["scraped_at", "snapshot_id"])
-    if ads is None:
-        return newest
-    return latest_per_key(ads.unionByName(newest), "ad_id", ["scraped_at", "snapshot_id"])
+    order = ["scraped_at", "snapshot_id"]
+    both = batch if ads is None else ads.unionByName(latest_per_key(_once(batch), "ad_id", order))
+    return latest_per_key(_once(both), "ad_id", order).select(batch.columns)
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    keys = ["ad_id", "scraped_at", "snapshot_id"]
+    others = [F.first(c).alias(c) for c in rows.columns if c not in (*keys, "price")]
+    return rows.groupBy(*keys).agg(F.min("price").alias("price"), *others)
 
 
 def versioned_batches(root: str, step: Callable[[DataFrame | None, DataFrame, int], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -90,68 +96,30 @@ def maintain_master(stream: DataFrame, root: str, checkpoint: str) -> None:
     run_available(stream.writeStream.foreachBatch(merge), checkpoint)
 
 
-SNAPSHOT = ["ad_id", "scraped_at", "snapshot_id", "price"]
 CHANGE = ["ad_id", "snapshot_id", "changed_at", "old_price", "new_price"]
 
 
-def changes_in_batch(before: DataFrame | None, batch: DataFrame, log: DataFrame | None = None,
-                     history: DataFrame | None = None) -> DataFrame:
-    """Price changes a micro-batch adds to the known ones, as rows with ``sign`` 1, or -1 for one taken back.
-
-    Where all snapshots of a listing are newer than its state, the state joins them as their
-    predecessor. A late snapshot comes between two others: such listings are compared again over
-    the whole ``log`` of earlier batches, and what differs from their ``history`` is corrected.
-    A missing price is remembered but not reported. Snapshots equal in listing, time and number are
-    one, with the lowest price.
-    """
-    key = SNAPSHOT[:3]
-    new = batch.select(*SNAPSHOT, F.lit(True).alias("new"), F.lit(False).alias("late"))
-    if before is not None:
-        known = before.select("ad_id", F.struct(*key[1:]).alias("known"))
-        touched = batch.groupBy("ad_id").agg(F.min(F.struct(*key[1:])).alias("first")).join(known, "ad_id").select(
-            "ad_id", (F.col("first") <= F.col("known")).alias("late"))
-        late = touched.where("late")
-        new = new.drop("late").join(touched, "ad_id", "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        new = new.unionByName(before.join(touched, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
-        new = new.unionByName(log.join(late, "ad_id").select(*SNAPSHOT, F.lit(False).alias("new"), "late"))
-    once = new.groupBy(*key).agg(F.min("price").alias("price"), F.max("new").alias("new"), F.max("late").alias("late"))
-    in_order = previous_per_key(once.withColumn("seen", F.struct("price")), "ad_id", "scraped_at", "snapshot_id", "seen", "before")
-    pairs = in_order.where(
-        (F.col("new") | F.col("late")) & F.col("before").isNotNull() & F.col("price").isNotNull()
-        & price_differs(F.col("before.price"), F.col("price"))
-    )
-    found = pairs.select("ad_id", "snapshot_id", F.col("scraped_at").alias("changed_at"),
-                         F.col("before.price").alias("old_price"), F.col("price").alias("new_price"), F.lit(1).alias("sign"))
-    if before is None:
-        return found
-    standing = history.join(late, "ad_id", "left_semi").select(*CHANGE, (-F.col("sign")).alias("sign"))
-    both = found.unionByName(standing).groupBy(*CHANGE).agg(F.sum("sign").cast("int").alias("sign"))
-    return both.where("sign <> 0")
-
-
 def price_changes(history: DataFrame) -> DataFrame:
     """The changes that hold after all batches of :func:`watch_prices`."""
     standing = history.groupBy(*CHANGE).agg(F.sum("sign").alias("sign")).where("sign > 0")
     return standing.select("ad_id", "old_price", "new_price", "changed_at")
 
 
-def watch_prices(stream: DataFrame, root: str, history: str, checkpoint: str) -> None:
-    """Append every price change of a snapshot stream to ``history`` and keep the newest state in ``root``.
+def watch_prices(stream: DataFrame, history: str, checkpoint: str) -> None:
+    """Append every price change of a snapshot stream, in any order, to the files in ``history``.
 
-    Snapshots may come in any order. A batch's snapshots (``history/log``) and changes
-    (``history/changes``) go to their own folders before the new state is written, so a repeated
-    batch replaces them instead of adding them twice. Of the log only late listings are compared again.
+    Snapshots are kept as keyed state, so a batch looks at no earlier batch. Files of a batch that did not finish are not
+    in the folder's log, so a repeated batch adds nothing twice.
     """
-
-    def step(before: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
-        batch.select(*SNAPSHOT).write.mode("overwrite").parquet(f"{history}/log/batch={batch_id}")
-        rows = spark.read.parquet(f"{history}/log/batch={batch_id}")
-        earlier = [earlier_batches(spark, f"{history}/{part}", batch_id) for part in ("log", "changes")]
-        changes_in_batch(before, rows, *earlier).write.mode("overwrite").parquet(f"{history}/changes/batch={batch_id}")
-        return newest_prices(before, rows)
-
-    run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
+    spark = stream.sparkSession
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, price_watch.STATE_STORE)
+    try:
+        changes = price_watch.price_change_stream(stream)
+        run_available(changes.writeStream.outputMode("append").format("parquet").option("path", history), checkpoint)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def maintain_cache(stream: DataFrame, root: str, checkpoint: str, lag: str = "1 day") -> None:

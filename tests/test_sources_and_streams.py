@@ -1,7 +1,9 @@
+import collections
 import datetime
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from adlattice.operators import pages
 from adlattice.session import scratch_path, shared_dir
 from adlattice.sources import archive, snapshots
 from adlattice.sources.tables import read_html_files, spread_scan
-from adlattice.streaming import feeds
+from adlattice.streaming import feeds, price_watch
 
 DAY = datetime.datetime(2024, 1, 1)
 
@@ -166,7 +168,7 @@ def write_batch(spark, path, rows):
 
 
 def changes_of(spark, history):
-    rows = feeds.price_changes(spark.read.parquet(f"{history}/changes").drop("batch")).collect()
+    rows = feeds.price_changes(spark.read.parquet(history)).collect()
     return sorted(((r["ad_id"], r["old_price"], r["new_price"]) for r in rows), key=str)
 
 
@@ -174,16 +176,17 @@ def test_late_and_equal_time_rows_change_the_pairs(spark):
     path, root, history, check = (scratch_path(spark, n) for n in ("in", "state", "changes", "check"))
     write_batch(spark, path, [(1, 5.0, 0), (1, 6.0, 2), (1, 6.0, 3), (2, 1.0, 0), (4, 10.0, 0)])
     stream = lambda: feeds.stream_files(spark, path, spark.read.parquet(path).schema, 1)
-    feeds.watch_prices(stream(), root, history, check)
+    feeds.watch_prices(stream(), history, check)
     assert changes_of(spark, history) == [(1, 5.0, 6.0)]
     write_batch(spark, path, [(1, 9.0, 1), (1, None, 4), (1, 7.0, 5), (2, 1.0, 6), (3, 2.0, 6), (4, 20.0, 0)])
-    feeds.watch_prices(stream(), root, history, check)
+    feeds.watch_prices(stream(), history, check)
+    feeds.maintain_master(stream(), root, f"{check}-master")
     # The late 9.0 splits a pair; NULL is not reported, the way back from it is; snapshot 5 of listing 4 has the time of 4.
     assert changes_of(spark, history) == [(1, 5.0, 9.0), (1, 9.0, 6.0), (1, None, 7.0), (4, 10.0, 20.0)]
     state = {r["ad_id"]: r["price"] for r in snapshots.read_snapshot(spark, root).collect()}
     assert state == {1: 7.0, 2: 1.0, 3: 2.0, 4: 20.0}
     write_batch(spark, path, [(1, 5.0, 0)])  # a snapshot that is known already
-    feeds.watch_prices(stream(), root, history, check)
+    feeds.watch_prices(stream(), history, check)
     assert len(changes_of(spark, history)) == 4
 
 
@@ -197,16 +200,59 @@ def test_append_keeps_late_rows(spark):
 
 
 def test_repeated_batch_changes_nothing(spark):
-    root, history = scratch_path(spark, "state"), scratch_path(spark, "changes")
+    root = scratch_path(spark, "state")
     rows = [(1, 5.0, 0), (1, 6.0, 2)]
     data = [(i, p, DAY + datetime.timedelta(hours=t), n) for n, (i, p, t) in enumerate(rows)]
     batch = spark.createDataFrame(data, SNAPSHOTS)
-
-    def step(before, rows, number):
-        feeds.changes_in_batch(before, rows).write.mode("overwrite").parquet(f"{history}/batch={number}")
-        return feeds.newest_prices(before, rows)
-
-    run = feeds.versioned_batches(root, step)
+    run = feeds.versioned_batches(root, lambda before, rows, number: feeds.newest_prices(before, rows))
     for _ in range(2):
         run(batch, 0)
-    assert spark.read.parquet(history).count() == 1 and snapshots.read_snapshot(spark, root).count() == 1
+    assert [r["price"] for r in snapshots.read_snapshot(spark, root).collect()] == [6.0]
+
+
+@pytest.mark.parametrize("prices", [(10.0, 20.0), (20.0, 10.0)])
+def test_price_watch_and_master_do_not_depend_on_arrival(spark, prices):
+    """Two rows equal in listing, time and number count with the lowest price, whichever comes first."""
+    path, root, history, check = (scratch_path(spark, n) for n in ("in", "state", "changes", "check"))
+    for price in prices:
+        spark.createDataFrame([(1, price, DAY, 7)], SNAPSHOTS).write.mode("append").parquet(path)
+    stream = lambda: feeds.stream_files(spark, path, spark.read.parquet(path).schema, 1)
+    feeds.maintain_master(stream(), root, f"{check}-master")
+    assert snapshots.read_snapshot(spark, root).first()["price"] == 10.0
+    spark.createDataFrame([(1, 20.0, DAY + datetime.timedelta(days=1), 8)], SNAPSHOTS).write.mode("append").parquet(path)
+    feeds.watch_prices(stream(), history, check)
+    assert changes_of(spark, history) == [(1, 10.0, 20.0)]
+
+
+def plain_changes(entries):
+    """Changes over (time, id, price) entries, equal (time, id) being one with the lowest price."""
+    once = {}
+    for time, number, price in entries:
+        once.setdefault((time, number), []).append(price)
+    rows = [(t, n, min((p for p in ps if not np.isnan(p)), default=np.nan)) for (t, n), ps in sorted(once.items())]
+    return sorted((n, before[2], now[2]) for before, now in zip(rows, rows[1:]) for n in [now[1]] if not np.isnan(now[2]) and before[2] != now[2])
+
+
+@pytest.mark.parametrize("leaf", [2, 5, 1024])
+def test_sorted_snapshots_in_any_order(monkeypatch, leaf):
+    """The ledger of any order of arrival, cut into any batches, leaves the changes over the whole log."""
+    monkeypatch.setattr(price_watch, "LEAF", leaf)
+    draw = np.random.default_rng(leaf)
+    for _ in range(40):
+        size = int(draw.integers(1, 40))
+        rows = np.empty(size, price_watch.ENTRY)
+        rows["time"], rows["id"] = draw.integers(0, 15, size), draw.integers(0, 3, size)
+        rows["price"] = draw.choice([1.0, 2.0, 3.0, np.nan], size)
+        stored, ledger = {}, collections.Counter()
+        for part in np.array_split(rows, int(draw.integers(1, 6))):
+            if len(part):
+                new, _ = price_watch.merged(np.zeros(0, price_watch.ENTRY), part)
+                for entries, old, sign in price_watch.SortedSnapshots(stored.get, stored.__setitem__).add(new):
+                    for entry, before in zip(entries, old, strict=True):
+                        ledger[(int(entry["time"]), int(entry["id"]), str(before), float(entry["price"]))] += sign
+        assert set(ledger.values()) <= {0, 1}
+        have = sorted((n, b, p) for (_, n, b, p), count in ledger.items() if count)
+        assert have == sorted((n, str(b), p) for n, b, p in plain_changes(rows.tolist()))
+        leaves = [v for k, v in stored.items() if k >= 0] if stored[-1][:1] == b"I" else [stored[-1][1:]]
+        sizes = [len(np.frombuffer(v, price_watch.ENTRY)) for v in leaves]
+        assert max(sizes) <= leaf and sum(sizes) == len(set(zip(rows["time"].tolist(), rows["id"].tolist())))
