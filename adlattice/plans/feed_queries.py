@@ -12,7 +12,7 @@ from adlattice.plans.standins import (
 from adlattice.session import scratch_path
 from adlattice.sources import archive, snapshots
 from adlattice.sources.tables import publish_view, read_html_files, read_table, read_warehouse, spread_scan
-from adlattice.streaming import feeds
+from adlattice.streaming import feeds, listing_store
 
 _BATCHES = 5
 _SNAPSHOT_COLUMNS = ["ad_id", "price", "scraped_at", "snapshot_id"]
@@ -70,6 +70,55 @@ def stream_cache(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.read_snapshot(spark, root).select("query_hash", F.get("result_ad_ids", F.lit(0)).alias("ad_id"), "expires_at")
 
 
+_FILES_PER_SLICE = 4
+
+
+def _in_slices(spark: SparkSession, rows: DataFrame, slice_of, slices: int) -> DataFrame:
+    """``rows`` as a stream of one batch per slice, in order; each slice is written as ``_FILES_PER_SLICE`` files after the one before."""
+    path = scratch_path(spark, "stream-input")
+    numbered = rows.withColumn("run", slice_of.cast("long"))
+    for number in range(slices):
+        numbered.where(F.col("run") == number).repartition(_FILES_PER_SLICE).write.mode("append").parquet(path)
+    return feeds.stream_files(spark, path, numbered.schema, _FILES_PER_SLICE)
+
+
+_STALE_SLICES = 4
+
+
+def stream_stale(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings that were not seen again within 24 hours, from the snapshot log in slices of eight days."""
+    target = scratch_path(spark, "stale")
+    rows = event_snapshots(spark, sf).select(*_SNAPSHOT_COLUMNS)
+    stream = _in_slices(spark, rows, F.floor((F.dayofmonth("scraped_at") - 1) / 8), _STALE_SLICES).drop("run")
+    feeds.watch_stale(stream, target, scratch_path(spark, "checkpoint"))
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return spark.read.parquet(target).select("ad_id", ntz("last_seen_at"), ntz("stale_at"), "snapshots")
+
+
+_RUNS = 4
+
+
+def _listing_store(spark: SparkSession, sf: str) -> str:
+    """A store fed with four runs: two years of search snapshots each, with eight days of details each."""
+    root = scratch_path(spark, "listings")
+    searches = _in_slices(spark, staging(spark, sf), F.floor((F.year("scraped_at") - 1995) / 2), _RUNS)
+    items = _in_slices(spark, details(spark, sf), F.floor((F.dayofmonth("scraped_at") - 1) / 8), _RUNS)
+    listing_store.maintain_listings(listing_store.run_rows(searches, items), root, scratch_path(spark, "checkpoint"))
+    return root
+
+
+def stream_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The master after four streamed runs, with details kept over runs and listings not in the last run inactive."""
+    rows = listing_store.read_listings(spark, _listing_store(spark, sf))
+    return rows.select("ad_id", "ad_url", "latest_price", "first_seen_at", "last_seen_at", "active", "has_embeddings", "run",
+                       "title", "year", F.md5("description").alias("text_md5"), F.col("source_raw").isNotNull().alias("has_source"))
+
+
+def stream_listing_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The price changes that the four streamed runs found against the master before each."""
+    return listing_store.history_rows(spark, _listing_store(spark, sf))
+
+
 def archive_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots written to the JSON archive of a run and read back with typed ids."""
     listings = staging(spark, sf).drop("snapshot_id").withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
@@ -175,11 +224,15 @@ def json_rows(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in [
-        stream_dedupe, stream_master, stream_price_changes, stream_cache, archive_roundtrip, staged_load, master_versions,
+        stream_dedupe, stream_master, stream_price_changes, stream_cache, stream_stale, stream_listings, stream_listing_history,
+        archive_roundtrip, staged_load, master_versions,
         snapshot_export, appended_details, detail_clashes, html_files, cleaned_view, warehouse_table, archived_runs, json_rows,
     ]
 }
 
+_RUN_LATEST = f"""{STAGING}, {DETAILS}, runs AS (SELECT *, CAST(floor((year(scraped_at) - 1995) / 2) AS BIGINT) AS run FROM staging),
+run_latest AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY ad_id, run ORDER BY scraped_at DESC, snapshot_id DESC) = 1)"""
+
 ORACLE = {
     "stream_dedupe": f"WITH {EVENT_SNAPSHOTS} SELECT ad_id, scraped_at, snapshot_id, price FROM event_snapshots",
     "stream_master": f"""WITH {EVENT_SNAPSHOTS} SELECT ad_id, price, scraped_at, snapshot_id FROM event_snapshots
@@ -193,6 +246,27 @@ ORACLE = {
         newest AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY query_hash ORDER BY created_at DESC) = 1)
         SELECT query_hash, ad_id, expires_at FROM newest
         WHERE expires_at >= (SELECT max(created_at) FROM entries) - INTERVAL 30 DAY""",
+    "stream_stale": f"""WITH {EVENT_SNAPSHOTS}, gaps AS (SELECT *,
+          coalesce(scraped_at > lag(scraped_at) OVER w + INTERVAL 24 HOUR, true) AS starts FROM event_snapshots
+          WINDOW w AS (PARTITION BY ad_id ORDER BY scraped_at, snapshot_id)),
+        sessions AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY ad_id ORDER BY scraped_at, snapshot_id) AS session FROM gaps)
+        SELECT ad_id, max(scraped_at) AS last_seen_at, max(scraped_at) + INTERVAL 24 HOUR AS stale_at, count(*) AS snapshots
+        FROM sessions GROUP BY ad_id, session HAVING max(scraped_at) + INTERVAL 24 HOUR <= (SELECT max(scraped_at) FROM event_snapshots)""",
+    "stream_listings": f"""WITH {_RUN_LATEST},
+        run_details AS (SELECT d.*, run FROM (SELECT *, CAST(floor((day(scraped_at) - 1) / 8) AS BIGINT) AS run FROM details
+            QUALIFY row_number() OVER (PARTITION BY ad_id, run ORDER BY scraped_at DESC, snapshot_id DESC) = 1) d
+          SEMI JOIN run_latest l ON l.ad_id = d.ad_id AND l.run = d.run),
+        kept AS (SELECT ad_id, arg_max(title, run) FILTER (WHERE title IS NOT NULL) AS title,
+            arg_max(year, run) FILTER (WHERE year IS NOT NULL) AS year, arg_max(description, run) FILTER (WHERE description IS NOT NULL) AS description,
+            bool_or(source_json IS NOT NULL) AS has_source FROM run_details GROUP BY ad_id),
+        merged AS (SELECT ad_id, min(scraped_at) AS first_seen_at, max(run) AS run FROM run_latest GROUP BY ad_id)
+        SELECT m.ad_id, l.ad_url, l.price AS latest_price, m.first_seen_at, l.scraped_at AS last_seen_at,
+          m.run = (SELECT max(run) FROM runs) AS active, false AS has_embeddings, m.run, k.title, k.year, md5(k.description) AS text_md5,
+          coalesce(k.has_source, false) AS has_source
+        FROM merged m JOIN run_latest l ON l.ad_id = m.ad_id AND l.run = m.run LEFT JOIN kept k ON k.ad_id = m.ad_id""",
+    "stream_listing_history": f"""WITH {_RUN_LATEST} SELECT ad_id, price, scraped_at AS changed_at FROM (
+          SELECT *, lag(price) OVER w AS old_price, row_number() OVER w AS place FROM run_latest WINDOW w AS (PARTITION BY ad_id ORDER BY run))
+        WHERE place > 1 AND price IS NOT NULL AND price IS DISTINCT FROM old_price""",
     "archive_roundtrip": f"WITH {STAGING} SELECT ad_id, ad_url, price, specs_text, scraped_at FROM staging",
     "staged_load": f"""WITH {STAGING}, firsts AS (SELECT * FROM staging
           QUALIFY row_number() OVER (PARTITION BY ad_id, scraped_at ORDER BY snapshot_id) = 1)

@@ -136,3 +136,22 @@ def maintain_cache(stream: DataFrame, root: str, checkpoint: str, lag: str = "1
         return merged.where(F.col("expires_at") >= F.lit(now).cast(merged.schema["created_at"].dataType) - F.expr(f"INTERVAL {lag}"))
 
     run_available(stream.writeStream.foreachBatch(versioned_batches(root, step)), checkpoint)
+
+
+def gone_stale(snapshots: DataFrame, age: str = "24 hours", delay: str = "0 seconds") -> DataFrame:
+    """Stream of listings that were not seen again within ``age``: (ad_id, last_seen_at, stale_at, snapshots).
+
+    Snapshots of a listing at most ``age`` apart are one session, kept as keyed state by its end only. A session is given out once
+    event time has passed the end, and its state leaves then: ``stale_at`` is when the listing became stale, ``snapshots`` how
+    often it was seen before. Snapshots may come up to ``delay`` late; a listing seen again afterwards starts a new session.
+    """
+    rows = snapshots.withColumn("scraped_at", F.col("scraped_at").cast("timestamp")).withWatermark("scraped_at", delay)
+    sessions = rows.groupBy("ad_id", F.session_window("scraped_at", age).alias("session")).agg(
+        F.max("scraped_at").alias("last_seen_at"), F.count(F.lit(1)).alias("snapshots"))
+    return sessions.select("ad_id", "last_seen_at", F.col("session.end").alias("stale_at"), "snapshots")
+
+
+def watch_stale(stream: DataFrame, target: str, checkpoint: str, age: str = "24 hours", delay: str = "0 seconds") -> None:
+    """Append every listing that goes stale to the files in ``target``."""
+    writer = gone_stale(stream, age, delay).writeStream.outputMode("append").format("parquet").option("path", target)
+    run_available(writer, checkpoint)
