@@ -1,17 +1,18 @@
 """Exact duplicates by naming blocks: equal blocks get equal integers, then equal pairs of integers do, up to one per text.
 
-A text is cut into blocks of ``BLOCK_BYTES`` bytes. The distinct blocks are sorted, and a block's name is its place. Names of
-neighbouring blocks are then paired, the distinct pairs sorted and named in the same way, and so on until every text is one
-name. Names are never hashes: two texts share their last name (and the level it was given at) only if all their bytes agree.
-
-Text moves through the cluster twice, once to be made distinct and once to fetch its names; every level above holds half
-as many rows of a few integers. The keys that make up a large part of all rows (a group of copies may be a third of the
-table) are named by broadcast, so their rows are not dealt to one task; fewer than ``HOT_SHARE`` keys can be that frequent.
+A text is cut into blocks of ``BLOCK_BYTES`` bytes, and every block has a number, its place in the table. The blocks are sorted; all
+equal ones stand together and are named by their smallest place. Names of neighbouring blocks are then paired, the pairs
+sorted and named in the same way, and so on until every text is one name. Names are never hashes: two texts share their last
+name (and the level it was given at) only if all their bytes agree.
+
+Text moves through the cluster once, to be sorted; every level above holds half as many rows of a few integers. The keys that
+make up a large part of all rows (a group of copies may be a third of the table) are named by an aggregate and broadcast, so their rows
+are not dealt to one task; fewer than ``HOT_SHARE`` keys can be that frequent.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlattice.session import scratch_path
@@ -43,55 +44,49 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def with_names(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """``rows`` (``total`` of them, keys not null) with ``name``: equal keys, and only those, have the same integer.
+    """``rows`` (``total`` of them, ``place`` unique, keys not null) with ``name``: the smallest place of the rows of equal keys.
 
-    The distinct keys are sorted within the partitions that they are dealt to, and the name is the place there with the
-    partition's number in front. A partition that is computed again sorts the same keys, so its names do not change. Rows of
-    hot keys are not dealt: their few keys are named by the same rule, below -1, and broadcast. A hash only decides which way a row goes.
+    So equal keys, and only those, have the same name, whichever task gives it. Rows are dealt and sorted by their keys, but
+    for those of hot keys, whose few names are broadcast. A hash only decides which way a row goes.
     """
     address = F.xxhash64(*keys)
     counts = rows.groupBy(address.alias("address")).agg(F.count(F.lit(1)).alias("n"))
     # Fewer than HOT_SHARE numbers, by the rule of the filter.
     hot = [r["address"] for r in counts.where(F.col("n") > total // HOT_SHARE).select("address").collect()]
-
-    def numbered(part: DataFrame) -> DataFrame:
-        # The id counts up within a partition, so it is the place in the sorted order.
-        return part.select(*keys).distinct().sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
-
+    sorted_name = F.min("place").over(Window.partitionBy(*keys))
     if not hot:
-        return rows.join(numbered(rows), keys)
+        return rows.withColumn("name", sorted_name)
     cold, few = rows.where(~address.isin(hot)), rows.where(address.isin(hot))
-    few_names = F.broadcast(numbered(few).withColumn("name", F.lit(-2) - F.col("name")))
-    return cold.join(numbered(cold), keys).unionByName(few.join(few_names, keys))
+    names = F.broadcast(few.groupBy(*keys).agg(F.min("place").alias("name")))
+    return cold.withColumn("name", sorted_name).unionByName(few.join(names, keys))
 
 
-def identities(texts: DataFrame) -> DataFrame:
-    """The identity of every row of ``texts`` (``row`` unique, ``blocks`` array of binary): (row, level, name).
+def identities(blocks: DataFrame) -> DataFrame:
+    """The identity of every text of ``blocks`` (row, left, pos, place, block): (row, level, name).
 
-    Two rows have the same ``level`` and ``name`` if and only if their blocks are the same.
+    ``left`` is the number of blocks of the text, ``pos`` the block's number in it, ``place`` a number of its own in the table. Two rows
+    have the same ``level`` and ``name`` if and only if their blocks are the same.
     """
-    count = F.size("blocks").cast("long")
+    count, first = F.col("left").cast("long"), F.col("pos") == 0
     # At level k a text of more than 2 ** (k - 1) blocks has its count over 2 ** k, rounded up; an array has fewer than 2 ** 31 items.
     at_level = [F.sum(count), *(F.sum(F.when(count > 1 << k - 1, F.shiftright(count + (1 << k) - 1, k))) for k in range(1, 32))]
-    totals = [n for n in texts.agg(*at_level).first() if n]
-    found = None
+    totals = [n for n in blocks.where(first).agg(*at_level).first() if n]
+    found = blocks.select("row", F.lit(0).alias("level"), F.lit(0).cast("long").alias("name")).where("false")
+    rows, keys = blocks.select("row", "left", "pos", "place", "block"), ["block"]
     for level, total in enumerate(totals):
-        if level == 0:
-            rows, keys = texts.select("row", F.size("blocks").alias("left"), F.posexplode("blocks").alias("pos", "block")), ["block"]
-        else:
-            rows, keys = _pairs(names), ["a", "b"]
-        names = _written(with_names(rows, keys, total).select("row", "left", "pos", "name"), "block-names")
-        done = names.where("left = 1").select("row", F.lit(level).alias("level"), "name")
-        found = done if found is None else found.unionByName(done)
-    return found if found is not None else texts.selectExpr("row", "0 AS level", "row AS name")
+        names = _written(with_names(rows, keys, total).select("row", "left", "pos", "place", "name"), "block-names")
+        found = found.unionByName(names.where("left = 1").select("row", F.lit(level).alias("level"), "name"))
+        rows, keys = _pairs(names), ["a", "b"]
+    return found
 
 
 def _pairs(names: DataFrame) -> DataFrame:
-    """Neighbouring names of the texts that have more than one left: (row, left, pos, a, b)."""
+    """Neighbouring names of the texts that have more than one left: (row, left, pos, place, a, b)."""
     even = F.col("pos") % 2 == 0
     # No name is -1, so it stands for the missing half where a text has an odd number of names.
     return names.where("left > 1").groupBy("row", F.shiftright("pos", 1).alias("pos")).agg(
-        F.shiftright(F.first("left") + 1, 1).alias("left"), F.max(F.when(even, F.col("name"))).alias("a"),
+        F.shiftright(F.first("left") + 1, 1).alias("left"), F.max(F.when(even, F.col("place"))).alias("place"),
+        F.max(F.when(even, F.col("name"))).alias("a"),
         F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1).cast("long")).alias("b"))
 
 
@@ -115,13 +110,16 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     blocks: none of the steps holds more than one text. An empty table gives an empty result.
     """
     text = docs.select("doc_id", normalised(F.col("text")).alias("text"))
-    data = F.col("text").cast("binary")
-    # Written once, as the numbers of the rows must be the same wherever they are read.
-    rows = _written(text.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2("text", 256).alias("text_sha256"),
-        byte_blocks(data, block_bytes).alias("blocks")), "text-blocks")
-    named = _written(rows.select("row", "doc_id", "text_sha256").join(
-        identities(rows.select("row", "blocks")), "row"), "identities")
+    cut = text.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2("text", 256).alias("text_sha256"),
+                      byte_blocks(F.col("text").cast("binary"), block_bytes).alias("blocks"))
+    one = cut.select("row", "doc_id", "text_sha256", F.size("blocks").alias("left"), F.posexplode("blocks").alias("pos", "block"))
+    first = F.col("pos") == 0
+    # Written once, as rows and places must have the same numbers wherever they are read.
+    blocks = _written(one.select(
+        "row", "left", "pos", F.monotonically_increasing_id().alias("place"), "block",
+        F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("text_sha256")).alias("text_sha256")), "text-blocks")
+    rows = blocks.where(first).select("row", "doc_id", "text_sha256")
+    named = _written(rows.join(identities(blocks), "row"), "identities")
     groups = named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return with_group(named, groups, ["level", "name"], named.count()).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
