@@ -340,21 +340,26 @@ def redact_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
     All rows and columns stay, texts without a secret unchanged, nulls null.
     """
-    @F.pandas_udf("string")
-    def clean(texts):
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
         find = scanner(rules).text_spans
-
-        def one(value):
+        # Stretches of texts without a secret are passed on as they are; one text at a time is a Python string.
+        out, done = [pa.array([], texts.type)], 0
+        for i in range(len(texts)):
+            value = texts[i].as_py()
             found = find(value) if value else []
-            if not found:
-                return value
-            parts, done, shown = [], 0, -1
-            for kind, start, end in found:
-                if start >= shown:
-                    parts += [value[done:start], f"<{kind.upper()}>"]
-                done = shown = max(shown, end)
-            return "".join([*parts, value[done:]])
-
-        return texts.map(one, na_action="ignore")
+            if found:
+                out += [texts.slice(done, i - done), pa.array([_without(value, found)], texts.type)]
+                done = i + 1
+        return pa.concat_arrays([*out, texts.slice(done)])
 
     return df.withColumn(text, clean(F.col(text).cast("string")))
+
+
+def _without(value: str, found: list[tuple[str, int, int]]) -> str:
+    parts, done, shown = [], 0, -1
+    for kind, start, end in found:
+        if start >= shown:
+            parts += [value[done:start], f"<{kind.upper()}>"]
+        done = shown = max(shown, end)
+    return "".join([*parts, value[done:]])

@@ -24,6 +24,8 @@ WORD_DIMS, CHAR_DIMS, HIDDEN, ATTENTION = 12, 8, 8, 8
 TRIGRAMS = 1 << 12
 #: Bounds of the training sample: labelled rows per class, characters of a text that may be chosen, known words.
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_WORDS = 1200, 20_000, 20_000
+#: Bytes of training texts that the driver takes apart at once.
+TRAIN_BLOCK = 1 << 17
 #: Words are runs of ASCII letters and digits and of anything beyond ASCII.
 _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -222,7 +224,7 @@ def words_of(texts: list[str]) -> Words:
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
     parts = [
         read_words(data[offsets[a] : offsets[b]], offsets[a:b] - offsets[a], offsets[a + 1 : b + 1] - offsets[a])
-        for a, b in blocks(offsets)
+        for a, b in blocks(offsets, TRAIN_BLOCK)
     ]
     distinct, sample, inverse = np.unique(
         np.concatenate([p.distinct for p in parts]), return_index=True, return_inverse=True)
@@ -280,7 +282,7 @@ def train(texts: list[str], toxic: np.ndarray, toxic_share: float, epochs: int =
         if epoch == epochs // 2:
             gates = net.inputs(words)[2]
             suspicion = np.concatenate([
-                net.forward(gates, *window_ids(words, begin[i : i + 4096], end[i : i + 4096])) for i in range(0, len(begin), 4096)])
+                net.forward(gates, *window_ids(words, begin[i : i + 512], end[i : i + 512])) for i in range(0, len(begin), 512)])
         order = np.argsort(-suspicion, kind="stable")
         text = np.repeat(np.arange(len(texts)), np.diff(bounds))[order]
         top = order[np.unique(text, return_index=True)[1]]
@@ -304,7 +306,7 @@ def train(texts: list[str], toxic: np.ndarray, toxic_share: float, epochs: int =
                 one += 0.1 * (g - one)
                 two += 0.01 * (g * g - two)
                 net.w[k] -= 0.01 * (one / (1 - 0.9**count)) / (np.sqrt(two / (1 - 0.99**count)) + 1e-7)
-    _calibrate(net, net.logits(words).astype(np.float64), toxic, toxic_share)
+    _calibrate(net, net.logits(words, 512).astype(np.float64), toxic, toxic_share)
     return net
 
 
@@ -375,13 +377,13 @@ def score_toxicity(df: DataFrame, network: Network, id_col: str = "doc_id", text
 
 def drop_toxic(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text is not predicted toxic, with all their columns."""
-    @F.pandas_udf("double")
-    def score(texts):
-        data, offsets = text_buffers(pa.array(texts, pa.large_string(), from_pandas=True))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        data, offsets = text_buffers(texts)
         out = [np.zeros(0)]
         for at, end in blocks(offsets):
             low, high = int(offsets[at]), int(offsets[end])
             out.append(network.scores(read_words(data[low:high], offsets[at:end] - low, offsets[at + 1 : end + 1] - low)))
-        return texts.__class__(np.concatenate(out))
+        return pa.array(np.concatenate(out))
 
     return df.where(score(F.col(text).cast("string")) < 0.5)
