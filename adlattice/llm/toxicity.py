@@ -9,6 +9,7 @@ fitted to the training documents turns it into a score.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +25,8 @@ WORD_DIMS, CHAR_DIMS, HIDDEN, ATTENTION = 12, 8, 8, 8
 TRIGRAMS = 1 << 12
 #: Bounds of the training sample: labelled rows per class, characters of a text that may be chosen, known words.
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_WORDS = 1200, 20_000, 20_000
-#: Bytes of training texts that the driver takes apart at once.
-TRAIN_BLOCK = 1 << 17
+#: Bytes of texts that are taken apart at once.
+TRAIN_BLOCK, SCORE_BLOCK = 1 << 17, 1 << 18
 #: Words are runs of ASCII letters and digits and of anything beyond ASCII.
 _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -327,12 +328,12 @@ def _calibrate(net: Network, x: np.ndarray, toxic: np.ndarray, share: float) ->
     net.scale, net.shift = a / spread, b - a * middle / spread
 
 
-def training_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[list[str], np.ndarray, float]:
-    """Texts, labels and the share of toxic rows: the bounded sample that the network is fitted to.
+def training_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, float]:
+    """(__id, toxic, text), the bounded sample that the network is fitted to, and the share of toxic among labelled rows.
 
     Only labelled rows whose crc32(id as text) is not divisible by 5 are read. Of each class the ``TRAIN_ROWS`` ids with
     the smallest hash are chosen from the labels alone; their number bounds what is broadcast to the scan of the texts.
-    Texts of more than ``TRAIN_CHARS`` characters are left out, so the driver holds a bounded amount.
+    Texts of more than ``TRAIN_CHARS`` characters are left out, so the sample has a bounded size.
     """
     known = labels.select(F.col(id_col).cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic")).where(
         "__id IS NOT NULL AND toxic IS NOT NULL").where(learnable("__id")).groupBy("__id").agg(F.max("toxic").alias("toxic"))
@@ -341,9 +342,7 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     chosen = [known.where(F.col("toxic") == mark).orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS) for mark in (0, 1)]
     rows = df.select(F.col(id_col).cast("long").alias("__id"), F.col(text).cast("string").alias("text")).where(
         F.length("text") <= TRAIN_CHARS)
-    found = rows.join(F.broadcast(chosen[0].union(chosen[1])), "__id").select("__id", "toxic", "text").collect()
-    found.sort(key=lambda r: (r["toxic"], r["__id"], r["text"]))
-    return [r["text"] for r in found], np.array([r["toxic"] for r in found], bool), share
+    return rows.join(F.broadcast(chosen[0].union(chosen[1])), "__id").select("__id", "toxic", "text"), share
 
 
 def learnable(column: str):
@@ -351,7 +350,23 @@ def learnable(column: str):
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> Network:
-    return train(*training_rows(df, labels, id_col, text))
+    """The network for the labels of ``df``. It is trained in a task of its own, and only its weights come to the driver."""
+    sample, share = training_rows(df, labels, id_col, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (r[1], r[0], r[2]))
+        network = train([r[2] for r in rows], np.array([r[1] for r in rows], bool), share)
+        parts = (network.vocabulary, network.w, float(network.scale), float(network.shift))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(parts)], pa.binary())], names=["parts"])
+
+    found = sample.repartition(1).mapInArrow(run, "parts binary").collect()  # one row
+    if not found:
+        return train([], np.zeros(0, bool), share)
+    vocabulary, weights, scale, shift = pickle.loads(found[0]["parts"])
+    network = Network(vocabulary)
+    network.w, network.scale, network.shift = weights, scale, shift
+    return network
 
 
 def score_toxicity(df: DataFrame, network: Network, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -363,7 +378,7 @@ def score_toxicity(df: DataFrame, network: Network, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            for at, end in blocks(offsets):
+            for at, end in blocks(offsets, SCORE_BLOCK):
                 low, high = int(offsets[at]), int(offsets[end])
                 words = read_words(data[low:high], offsets[at:end] - low, offsets[at + 1 : end + 1] - low)
                 found = network.scores(words)
@@ -381,7 +396,7 @@ def drop_toxic(df: DataFrame, network: Network, text: str = "text") -> DataFrame
     def score(texts: pa.Array) -> pa.Array:
         data, offsets = text_buffers(texts)
         out = [np.zeros(0)]
-        for at, end in blocks(offsets):
+        for at, end in blocks(offsets, SCORE_BLOCK):
             low, high = int(offsets[at]), int(offsets[end])
             out.append(network.scores(read_words(data[low:high], offsets[at:end] - low, offsets[at + 1 : end + 1] - low)))
         return pa.array(np.concatenate(out))
