@@ -48,7 +48,7 @@ TERMS_PER_PASS = 20_000
 
 # Documents in a block of a stratum, postings in a partition of the index, and blocks that a task orders at once.
 DOCS_PER_BLOCK = 4096
-POSTINGS_PER_PART = 4_000_000
+POSTINGS_PER_PART = 250_000
 BLOCKS_AT_ONCE = 256
 
 # Blocks that each item scores to get its first threshold.
@@ -166,7 +166,7 @@ def build_index(postings: DataFrame, documents: int, terms: int, total: int) ->
     all documents is spread over several tasks and cut into blocks.
     """
     spark = postings.sparkSession
-    parts = max(1, -(-total // POSTINGS_PER_PART), spark.sparkContext.defaultParallelism)
+    parts = max(-(-total // POSTINGS_PER_PART), spark.sparkContext.defaultParallelism)
     m = F.expr(f"{100 - LENGTH_SHARE} + ({LENGTH_SHARE} * n * {documents}L) div {max(terms, 1)}L")
     rows = postings.where("size(terms) > 0").select(m.alias("m"), F.xxhash64("doc_id", "n").alias("h"), "doc_id", "terms", "tfs")
     ordered = rows.repartitionByRange(parts, "m", "h", "doc_id").sortWithinPartitions("m", "h", "doc_id").drop("h")
