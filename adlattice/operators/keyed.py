@@ -32,30 +32,28 @@ def top_per_key(df: DataFrame, key: str | list[str], order: list[Column], k: int
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def previous_per_key(df: DataFrame, key: str, order: str, tiebreak: str, value: str, out: str,
-                     slice_of: Column | None = None) -> DataFrame:
+def previous_per_key(df: DataFrame, key: str, order: str, tiebreak: str, value: str, out: str) -> DataFrame:
     """Add ``out``: ``value`` of the row before this one within ``key`` (ordered by ``order, tiebreak``).
 
-    A plain window sends a whole key to one task. Here the window runs per key and slice of the
-    order (``slice_of``, by default the day; it must not fall as ``order`` rises), and the last value
-    of each slice is handed to the first row of the next one. Last values are aggregated before the
-    shuffle: a row per key and slice. Rows without an order value come first and are one slice.
+    A plain window sends a whole key to one task. Here rows are range partitioned by (key, order, tiebreak) and written
+    once, so that a key of any size is cut over as many segments as it needs. The window runs per key and
+    segment; the first row of a segment takes the last row of the segment before, if that has the same key. Only
+    one row per segment is handed on. ``tiebreak`` must be unique within (key, order). Nulls come first.
     """
-    slices = F.date_trunc("day", order) if slice_of is None else slice_of
-    sliced = df.withColumn("__slice", slices)
-    last = sliced.groupBy(F.col(key).alias("__key"), F.col("__slice").alias("__at")).agg(
-        F.max_by(F.struct(value), F.struct(order, tiebreak)).alias("__last"))
-    # A slice without rows is absent, so lag over the slices there are finds the true predecessor.
-    handed_on = last.select(
-        "__key", "__at", F.lag("__last").over(Window.partitionBy("__key").orderBy("__at")).alias("__before")
-    ).where(F.col("__before").isNotNull())
-    in_slice = Window.partitionBy(key, "__slice").orderBy(order, tiebreak)
-    same = F.col(key).eqNullSafe(F.col("__key")) & F.col("__slice").eqNullSafe(F.col("__at"))
+    mask = (1 << 33) - 1
+    placed = materialise_sorted(df, [key, order, tiebreak]).withColumns({
+        "__segment": F.shiftright("__at", 33), "__row": F.col("__at").bitwiseAND(F.lit(mask))})
+    ends = placed.groupBy("__segment").agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), "__row").alias("__end"))
+    # One row per segment. A segment without rows is absent, so lag over those there are finds the one before.
+    handed_on = ends.select(
+        F.col("__segment").alias("__to"), F.lag("__end").over(Window.orderBy("__segment")).alias("__end"))
+    in_segment = Window.partitionBy("__segment", key).orderBy("__row")
+    carried = F.when((F.col("__row") == 0) & F.col("__end.k").eqNullSafe(F.col(key)), F.struct(F.col("__end.v").alias(value)))
     return (
-        sliced.withColumn("__prev", F.lag(F.struct(value)).over(in_slice))
-        .join(handed_on, same, "left")
-        .withColumn(out, F.coalesce("__prev", "__before")[value])
-        .drop("__slice", "__prev", "__key", "__at", "__last", "__before")
+        placed.withColumn("__prev", F.lag(F.struct(value)).over(in_segment))
+        .join(F.broadcast(handed_on), F.col("__segment") == F.col("__to"), "left")
+        .withColumn(out, F.coalesce("__prev", carried)[value])
+        .drop("__segment", "__row", "__at", "__prev", "__to", "__end")
     )
 
 

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from adlattice.operators import lifecycle as life
 from adlattice.operators import quality
 from adlattice.operators.keyed import latest_per_key
+from adlattice.operators.ranges import range_join, with_place_of_ranges
 from adlattice.plans.standins import (
     AS_OF, CUTOFF, EVENT_SNAPSHOTS, LATEST, LIFECYCLE, RUN_SINCE, STAGING,
     details, event_snapshots, moment, prior_ads, staging,
 )
 from adlattice.schemas import align_to_schema, STAGING_ADS
 from adlattice.sources.archive import loadable_rows, run_counters
+from adlattice.sources.tables import read_table
 
 STALE_AGE = "90 days"
 
@@ -186,6 +188,30 @@ def latest_details(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def places_of_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of all snapshots by postal code, from a table of as many overlapping ranges as there are parts."""
+    part = read_table(spark, sf, "part")
+    low = F.col("p_partkey") * 37 % 9000
+    ranges = part.select(
+        low.alias("low"), (low + F.col("p_partkey") * F.col("p_size") % 400).alias("high"),
+        F.col("p_name").alias("municipality"), F.col("p_brand").alias("county"))
+    code = F.lpad((F.col("snapshot_id") * 7 % 10500).cast("string"), 4, "0")
+    rows = staging(spark, sf).select(
+        "snapshot_id", code.alias("postal_code"),
+        F.when(F.col("snapshot_id") % 3 == 0, "known").when(F.col("snapshot_id") % 3 == 1, "0301").alias("municipality"),
+        F.lit(None).cast("string").alias("county"))
+    return with_place_of_ranges(rows, ranges)
+
+
+def prices_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """For every price range made from a part, the snapshots inside it and the sum of their prices."""
+    low = F.floor(F.col("p_retailprice") * 100).cast("bigint")
+    ranges = read_table(spark, sf, "part").select(
+        "p_partkey", low.alias("low"), (low + F.col("p_size") * F.col("p_size") - 40).alias("high"))
+    pairs = range_join(staging(spark, sf).select("price"), ranges, "price", "low", "high")
+    return pairs.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("snapshots"), F.sum("price").alias("total"))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -194,6 +220,7 @@ QUERIES = {
         price_changes_log, price_changes_log_nulls, deactivated, deactivated_last_run, snapshot_to_master,
         gone_listings, idempotent_append, load_counters, key_violations, duplicate_keys, cascade_prune,
         orphaned_snapshots, schema_alignment, quarantined_rows, informative_details, latest_details,
+        places_of_codes, prices_in_ranges,
     ]
 }
 
@@ -279,4 +306,19 @@ ORACLE = {
         SELECT l.ad_id, l.price, CASE WHEN event_type <> 'error' THEN event_type END AS title,
           CASE WHEN event_type <> 'view' THEN 1990 + CAST(floor(value) AS INTEGER) END AS year
         FROM latest l LEFT JOIN newest n ON n.user_id = l.ad_id""",
+    "places_of_codes": f"""WITH {STAGING}, ranges AS (
+          SELECT p_partkey * 37 % 9000 AS low, p_partkey * 37 % 9000 + p_partkey * p_size % 400 AS high, p_name, p_brand FROM part),
+        coded AS (SELECT snapshot_id, lpad(CAST(snapshot_id * 7 % 10500 AS VARCHAR),
+            greatest(4, length(CAST(snapshot_id * 7 % 10500 AS VARCHAR)))::INTEGER, '0') AS full_code, full_code[1:4] AS postal_code
+          FROM staging),
+        best AS (SELECT postal_code, p_name, p_brand FROM (SELECT DISTINCT postal_code FROM coded)
+          JOIN ranges ON CAST(postal_code AS INTEGER) BETWEEN low AND high
+          QUALIFY row_number() OVER (PARTITION BY postal_code ORDER BY high - low, low, p_name, p_brand) = 1)
+        SELECT snapshot_id, postal_code, CASE WHEN snapshot_id % 3 = 0 THEN 'known'
+          ELSE coalesce(p_name, CASE WHEN snapshot_id % 3 = 1 THEN '0301' END) END AS municipality, p_brand AS county
+        FROM coded LEFT JOIN best USING (postal_code)""",
+    "prices_in_ranges": f"""WITH {STAGING}, ranges AS (SELECT p_partkey, CAST(floor(p_retailprice * 100) AS BIGINT) AS low,
+          CAST(floor(p_retailprice * 100) AS BIGINT) + p_size * p_size - 40 AS high FROM part)
+        SELECT p_partkey, count(*) AS snapshots, CAST(sum(price) AS BIGINT) AS total
+        FROM staging JOIN ranges ON price BETWEEN low AND high GROUP BY p_partkey""",
 }

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlattice.functions.scalars import non_empty
 from adlattice.operators.keyed import first_per_key
 from adlattice.schemas import STAGING_ADS
-from adlattice.session import materialise
 
 
 def archive_listings(listings: DataFrame, path: str, run_time: str) -> str:
@@ -52,21 +51,22 @@ def load_staging(listings: DataFrame, path: str, order: list[str]) -> int:
 
     Running the same load again inserts nothing. Files are laid out by month, and of the stored rows
     only the months of the load are read. A rebalance lets the runtime merge small months into one
-    file and split a month that holds most of the load. What is inserted is written to the shared
-    folder first and counted from there, as that count needs no column.
+    file and split a month that holds most of the load. Rows are counted by the tasks that write them
+    (after the last shuffle, so a task that is run again counts once), and written once.
     """
     spark = listings.sparkSession
     month = F.date_format("scraped_at", "yyyy-MM")
     existing = None
     if path_exists(spark, path):
         months = [r[0] for r in listings.select(month).distinct().collect()]  # a text per month of the load
-        existing = spark.read.parquet(path).where(F.col("month").isin(months))
+        stored = T.StructType([*STAGING_ADS.fields, T.StructField("month", T.StringType())])
+        existing = spark.read.schema(stored).parquet(path).where(F.col("month").isin(months))
     rows = loadable_rows(listings, existing, order).select(*[f.name for f in STAGING_ADS.fields])
-    new = materialise(rows)
-    inserted = new.count()
-    if inserted:
-        new.withColumn("month", month).hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path)
-    return inserted
+    counters = Observation()
+    laid_out = rows.withColumn("month", month).hint("rebalance", "month")
+    counted = laid_out.observe(counters, F.count(F.lit(1)).alias("inserted"))
+    counted.write.mode("append").partitionBy("month").parquet(path)
+    return counters.get["inserted"]
 
 
 def clashing_keys(details: DataFrame, existing: DataFrame) -> DataFrame:

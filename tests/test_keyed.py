@@ -1,10 +1,11 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adlattice.operators import percentiles
-from adlattice.operators.keyed import first_per_key, join_spread, latest_per_key, previous_per_key, running_position, top_per_key
+from adlattice.operators.keyed import first_per_key, join_spread, latest_per_key, materialise_sorted, previous_per_key, running_position, top_per_key
 
 
 def skewed(spark, rows=6000):
@@ -21,13 +22,30 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def test_previous_with_sliced_keys(spark):
+def test_previous_across_segments(uncoalesced):
+    spark = uncoalesced
     df = skewed(spark).withColumn("s", F.struct("v"))
     df = df.withColumn("t", F.when(F.col("id") % 50 != 0, F.col("t"))).withColumn("k", F.when(F.col("id") % 31 != 0, F.col("k")))
     plain = df.withColumn("before", F.lag("s").over(Window.partitionBy("k").orderBy("t", "id")))
-    for width in (2000, 37, 5):
-        sliced = previous_per_key(df, "k", "t", "id", "s", "before", F.floor(F.col("t") / width))
-        assert rows_of(sliced.select(*plain.columns)) == rows_of(plain)
+    assert rows_of(previous_per_key(df, "k", "t", "id", "s", "before").select(*plain.columns)) == rows_of(plain)
+    assert previous_per_key(df.limit(0), "k", "t", "id", "s", "before").count() == 0
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Small tables keep all their partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_previous_of_one_key_and_moment(uncoalesced):
+    """All rows share key and time; they still are cut over several segments, and none is lost at their borders."""
+    spark = uncoalesced
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.lit(9).alias("t"), "id", F.struct((F.col("id") % 7).alias("v")).alias("s"))
+    assert materialise_sorted(df, ["k", "t", "id"]).select(F.shiftright("__at", 33)).distinct().count() > 1
+    have = previous_per_key(df, "k", "t", "id", "s", "before").select("id", F.col("before.v")).orderBy("id").collect()
+    assert [r["v"] for r in have] == [None, *[i % 7 for i in range(4999)]]
 
 
 def test_latest_first_and_top(spark):
