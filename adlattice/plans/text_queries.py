@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlattice.functions.scalars import any_contains, shortened
-from adlattice.operators import cache, chunking, percentiles, queues, scoring, search
+from adlattice.operators import cache, chunking, percentiles, phrase_index, queues, scoring, search
 from adlattice.operators.embedding import HashingEncoder, attach_embeddings, embed_missing, embed_texts
 from adlattice.plans import nightly
 from adlattice.plans.standins import DESCRIPTIONS, descriptions, documents
@@ -161,6 +161,24 @@ def keyword_scores_words(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "aspect", F.round("keyword_score", 6).alias("keyword_score"), "hits", "keyword_chunks")
 
 
+def benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon as large as its table: all runs of two to six words of every benchmark text, (aspect, phrase, weight)."""
+    words = read_table(spark, sf, "benchmark").select(F.split(F.lower("text"), "[ \n]+").alias("w"))
+    runs = words.select("w", F.explode(F.sequence(F.lit(2), F.lit(6))).alias("n")).where(F.size("w") >= F.col("n")).select(
+        F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1),
+                              lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))).alias("phrase"))
+    size = F.length("phrase")
+    aspect = F.element_at(F.array(*map(F.lit, scoring.ASPECTS)), size % 4 + 1)
+    return runs.distinct().select(aspect.alias("aspect"), "phrase", ((size * 7 % 19 - 9) / 10).alias("weight"))
+
+
+def keyword_scores_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrase scores with thousands of phrases made from ``benchmark``, through an index of their rarest grams."""
+    chunks = materialise(chunking.text_chunks(documents(spark, sf), "doc_id", "text"))
+    scored = phrase_index.keyword_scores_of_table(chunks, "doc_id", materialise(benchmark_phrases(spark, sf)))
+    return scored.withColumn("keyword_score", F.round("keyword_score", 6))
+
+
 def _scored(spark: SparkSession, sf: str, lexicon: dict) -> DataFrame:
     return scoring.score_texts(documents(spark, sf), "doc_id", "text", make_encoder, lexicon)
 
@@ -389,7 +407,7 @@ QUERIES = {
         clean_text, word_counts, text_chunks, sentence_spans, section_breaks, aspect_chunks, text_with_equipment,
         shortened_texts, embed_queue, embed_queue_next, score_queue, score_queue_next, backfill_queue, backfill_queue_next,
         backfill_decision,
-        overwritten_descriptions, processed_listings, replaced_chunks, keyword_scores, keyword_scores_words,
+        overwritten_descriptions, processed_listings, replaced_chunks, keyword_scores, keyword_scores_words, keyword_scores_indexed,
         aspect_scores, aspect_scores_words, named_aspects_failing, aspect_scores_stored, distinct_chunk_texts, supporting_chunk_ids,
         search_texts, search_texts_listing_first, search_by_aspect, similar_by_description, search_cached, query_fingerprint, short_queries, nightly_scores, percentile_by_position,
         percentile_by_share, share_in_dataset, top_per_aspect, score_upsert,
@@ -451,9 +469,17 @@ def _lexicon_sql(lexicon: dict) -> str:
 _ASPECTS_SQL = "aspects(aspect) AS (VALUES " + ", ".join(f"('{a}')" for a in scoring.ASPECTS) + ")"
 
 
-def _keyword_sql(lexicon: dict, key: str = "doc_id", p: str = "") -> str:
-    """CTEs ending in ``{p}kw`` (key, aspect, keyword_score, hits, keyword_chunks)."""
-    return f"""{p}{_lexicon_sql(lexicon)}, {_ASPECTS_SQL if not p else 'unused' + p + ' AS (SELECT 1)'},
+BENCHMARK_LEXICON = rf"""words AS (SELECT string_split_regex(lower(text), '[ \n]+') AS w FROM benchmark),
+sized AS (SELECT w, unnest(range(2, 7)) AS n FROM words),
+runs AS (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized WHERE len(w) >= n),
+lexicon AS (SELECT ([{", ".join(f"'{a}'" for a in scoring.ASPECTS)}])[length(phrase) % 4 + 1] AS aspect, phrase,
+  (length(phrase) * 7 % 19 - 9) / 10 AS weight FROM (SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS phrase FROM runs))"""
+
+
+def _keyword_sql(lexicon: dict | str, key: str = "doc_id", p: str = "") -> str:
+    """CTEs ending in ``{p}kw`` (key, aspect, keyword_score, hits, keyword_chunks); the lexicon may be CTEs of its own."""
+    own = lexicon if isinstance(lexicon, str) else p + _lexicon_sql(lexicon)
+    return f"""{own}, {_ASPECTS_SQL if not p else 'unused' + p + ' AS (SELECT 1)'},
 {p}hit AS (SELECT c.{key}, c.chunk_order, x.aspect, x.weight FROM {p}chunks c JOIN {p}lexicon x ON contains(c.chunk_text, x.phrase)),
 {p}sums AS (SELECT {key}, aspect, sum(CAST(round(weight * 10000) AS BIGINT)) / 10000.0 AS total, count(*) AS hits, count(DISTINCT chunk_order) AS keyword_chunks
   FROM {p}hit GROUP BY ALL),
@@ -619,6 +645,7 @@ ORACLE = {
         FROM s_chunks s LEFT JOIN chunks o ON o.doc_id = s.doc_id AND o.chunk_order = s.chunk_order""",
     "keyword_scores": f"WITH {chunks_sql('documents')}, {_keyword_sql(scoring.LEXICON)} SELECT {_KEYWORD_COLUMNS} FROM kw",
     "keyword_scores_words": f"WITH {chunks_sql('documents')}, {_keyword_sql(WORD_LEXICON)} SELECT {_KEYWORD_COLUMNS} FROM kw",
+    "keyword_scores_indexed": f"""WITH {chunks_sql('documents')}, {_keyword_sql(BENCHMARK_LEXICON)} SELECT {_KEYWORD_COLUMNS} FROM kw""",
     "aspect_scores": _score_sql(scoring.LEXICON),
     "aspect_scores_words": _score_sql(WORD_LEXICON),
     "named_aspects_failing": f"""SELECT doc_id, aspect, raw_score, confidence, supporting, score_method
