@@ -118,7 +118,74 @@ QUERIES = {f.__name__: f for f in (
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = f"unnest(regexp_extract_all({_LOWER.format('text')}, '{strata_index.TERM}')) AS term"
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_BITS = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in quality.RULES)
+
 ORACLE = {
+    "op4_minhash_groups": f"""WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+        places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+        reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+        groups AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN groups USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
+    "op5_chat_format": f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT {CHECK_CONVERSATION[0]}, i, ['user', 'assistant'][i + 1], '{CHECK_CONVERSATION[1]}' FROM range(2) r(i)),
+        sized AS (SELECT *, length(concat('### ', replace(url_encode(role), '%20', ' '), ': ', text, chr(10), '</turn>', chr(10)))
+          + len(regexp_extract_all(text, '### |</turn>')) AS chars FROM turns)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+          CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          CAST(sum(chars) AS BIGINT) AS formatted_chars FROM sized GROUP BY conv_id""",
+    "op7_pfair_mix": f"""WITH RECURSIVE rows AS (SELECT DISTINCT doc_id, source FROM documents),
+        sources AS (SELECT source, sqrt(count(*)) AS w FROM rows GROUP BY source),
+        shares AS (SELECT *, greatest({mixing.PERIOD}, 10 * count(*) OVER ()) AS period,
+          round((greatest({mixing.PERIOD}, 10 * count(*) OVER ()) - count(*) OVER ()) * w / sum(w) OVER (), 9) AS share FROM sources),
+        quotas AS (SELECT source, period, CAST(floor(share) AS BIGINT) + 1 + CASE WHEN row_number() OVER (
+            ORDER BY share - floor(share) DESC, source NULLS FIRST) <= period - sum(floor(share) + 1) OVER () THEN 1 ELSE 0 END AS q FROM shares),
+        lists AS (SELECT list(source ORDER BY source NULLS FIRST) AS sources, list(q ORDER BY source NULLS FIRST) AS q,
+          max(period) AS period FROM quotas),
+        -- One step per slot: of the released blocks the one with the earliest deadline, then of the first source.
+        steps AS (
+          SELECT CAST(-1 AS BIGINT) AS slot, list_transform(q, lambda x: CAST(0 AS BIGINT)) AS done, CAST(NULL AS BIGINT) AS pick FROM lists
+          UNION ALL
+          SELECT slot + 1, list_transform(done, lambda d, i: d + CASE WHEN i = due % 1000000 THEN 1 ELSE 0 END), due % 1000000
+          FROM (SELECT slot, done, list_min(list_transform(q, lambda x, i: CASE WHEN done[i] < x AND done[i] * period // x <= slot + 1
+              THEN ((done[i] + 1) * period + x - 1) // x * 1000000 + i END)) AS due
+            FROM steps, lists WHERE slot + 1 < period)),
+        planned AS (SELECT sources[pick] AS source, slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS turn
+          FROM steps, lists WHERE pick IS NOT NULL),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS r FROM rows),
+        blocks AS (SELECT p.doc_id, p.source, r, r // {mixing.BLOCK_ROWS} AS block, q, period
+          FROM placed p JOIN quotas z ON z.source IS NOT DISTINCT FROM p.source),
+        slotted AS (SELECT b.doc_id, b.source, r, block, block // q * period + n.slot AS slot
+          FROM blocks b JOIN planned n ON n.source IS NOT DISTINCT FROM b.source AND n.turn = b.block % b.q)
+        SELECT doc_id, source, block, slot, row_number() OVER (ORDER BY slot, r) - 1 AS mix_position FROM slotted""",
+    "op8_rule_ledger": f"""WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+        split AS (SELECT row, regexp_extract_all(t, '{_WORD}') AS w FROM texts),
+        words AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+        windows AS (SELECT row, i, word = lag(word) OVER g AS again, CASE WHEN lead(word, 7) OVER g IS NOT NULL THEN
+            concat_ws(' ', word, {", ".join(f"lead(word, {k}) OVER g" for k in range(1, 8))}) END AS win
+          FROM words WINDOW g AS (PARTITION BY row ORDER BY i)),
+        twice AS (SELECT row, i, again, win IS NOT NULL AND count(*) OVER (PARTITION BY row, win) > 1 AS rep FROM windows),
+        covered AS (SELECT row, again, bool_or(rep) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit FROM twice),
+        repeats AS (SELECT row, count(*) FILTER (hit) AS n_repeat_words, count(*) FILTER (again) AS n_stutter FROM covered GROUP BY row),
+        lines AS (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts),
+        line_counts AS (SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+          WHERE regexp_matches(line, '{_WORD}') GROUP BY row),
+        measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS upper_chars, coalesce(n_dup_lines, 0) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutter, 0) AS n_stutter
+          FROM texts JOIN split USING (row) LEFT JOIN repeats USING (row) LEFT JOIN line_counts USING (row)),
+        judged AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed FROM measured)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {quality.policy_mask(1)}) <> 0 AS base_failed,
+          (failed & {quality.policy_mask(quality.CURRENT)}) = 0 AS kept, failed FROM judged""",
     "op11_strata_ranking": f"""WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
         doc_terms AS (SELECT row, doc_id, {_TERMS} FROM numbered),
         item_terms AS (SELECT item_id, {_TERMS} FROM benchmark),
