@@ -57,11 +57,12 @@ def schedule(quotas: DataFrame, period: int = PERIOD) -> DataFrame:
                 F.struct(deadline(F.element_at(F.col("q"), i), F.element_at(state["done"], i)).alias("due"), i.alias("i")),
             ),
         )
-        pick = F.array_min(waiting)["i"]
-        return F.struct(
+        # A lambda variable holds the pick, so that it is found once per slot and not once per source.
+        after = lambda pick: F.struct(
             F.transform(state["done"], lambda d, k: d + F.when(k + 1 == pick, 1).otherwise(0)).alias("done"),
             F.concat(state["run"], F.array(pick)).alias("run"),
         )
+        return F.element_at(F.transform(F.array(F.array_min(waiting)["i"]), after), 1)
 
     start = F.struct(F.transform("q", lambda q: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("run"))
     lists = quotas.agg(F.array_sort(F.collect_list(F.struct("source", "quota"))).alias("s")).select(

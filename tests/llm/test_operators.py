@@ -319,6 +319,17 @@ def test_mix(spark, docs):
     assert sorted(r["mix_position"] for r in rows) == list(range(len(docs)))
 
 
+def test_schedule_of_many_sources(spark):
+    """Three hundred sources, one of them with a third of the period; no block starts early or ends late."""
+    quotas = {f"s{i:03}": 1500 if i == 0 else 10 for i in range(301)}
+    period = sum(quotas.values())
+    rows = mixing.schedule(spark.createDataFrame(list(quotas.items()), "source string, quota int"), period).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(period))
+    for r in rows:
+        q = quotas[r["source"]]
+        assert r["turn"] * period // q <= r["slot"] < -(-(r["turn"] + 1) * period // q)
+
+
 def test_mix_of_odd_rows(spark, odd):
     places = mixing.mix_sources(odd, block_rows=2)
     assert places.count() == 12 + 1
