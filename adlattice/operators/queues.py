@@ -101,6 +101,29 @@ def changed_texts(ads: DataFrame, processed: DataFrame) -> DataFrame:
     ).drop("__was")
 
 
+def reprocess_queue(ads: DataFrame, processed: DataFrame, limit: int | None = None, more_than: int = 50) -> DataFrame:
+    """As ``embed_queue``, and also embedded listings whose description is not the one in ``processed`` (ad_id, text_hash)."""
+    was = processed.select("ad_id", F.col("text_hash").alias("__was"))
+    changed = ~F.md5("description").eqNullSafe(F.col("__was"))
+    due = ads.join(was, "ad_id", "left").where(
+        F.col("active") & (F.length(F.trim("description")) > more_than)
+        & (~F.coalesce("has_embeddings", F.lit(False)) | changed)
+    )
+    return first_by_id(due.drop("__was"), limit)
+
+
+def remember_texts(processed: DataFrame, ads: DataFrame, done: DataFrame) -> DataFrame:
+    """Next (ad_id, text_hash): the descriptions of the listings in ``done`` as they were processed now."""
+    hashes = ads.select("ad_id", F.md5("description").alias("text_hash")).join(
+        done.select("ad_id").distinct(), "ad_id", "left_semi")
+    return merge_by_policy(processed, hashes, ["ad_id"], ["text_hash"])
+
+
+def forget_scores(scores: DataFrame, changed: DataFrame) -> DataFrame:
+    """Scores without those of the listings in ``changed``, which are thereby due again."""
+    return scores.join(changed.select("ad_id").distinct(), "ad_id", "left_anti")
+
+
 def upsert_scores(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     """Next score table: raw score, support and method of scored (listing, aspect) pairs replaced."""
     fields = ["raw_score", "supporting_chunks", "score_method", "created_at"]

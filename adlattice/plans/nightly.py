@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from adlattice.operators.chunking import text_chunks, with_equipment
 from adlattice.operators.embedding import Encoder, attach_embeddings, embed_missing
 from adlattice.operators.percentiles import percentile_by_position
-from adlattice.operators.queues import embed_queue, mark_processed, replace_chunks, score_queue, upsert_scores
+from adlattice.operators.queues import embed_queue, mark_processed, replace_chunks, reprocess_queue, score_queue, upsert_scores
 from adlattice.operators.scoring import LEXICON, score_chunks
 from adlattice.session import materialise
 
 CHUNK_COLUMNS = ["chunk_id", "ad_id", "chunk_source", "chunk_text", "chunk_order", "chunk_length", "overlap_words", "embedding"]
 
 
-def due_texts(ads: DataFrame, limit: int | None = None) -> DataFrame:
-    """(ad_id, text) of all listings that need vectors."""
+def due_texts(ads: DataFrame, limit: int | None = None, processed: DataFrame | None = None) -> DataFrame:
+    """(ad_id, text) of all listings that need vectors; with ``processed`` also those whose description has changed since."""
     text = with_equipment("description", "equipment") if "equipment" in ads.columns else F.col("description")
-    return embed_queue(ads, limit).select("ad_id", text.alias("text"))
+    due = embed_queue(ads, limit) if processed is None else reprocess_queue(ads, processed, limit)
+    return due.select("ad_id", text.alias("text"))
 
 
 def embedded_chunks(texts: DataFrame, make_encoder: Callable[[], Encoder], model: str,
@@ -38,6 +39,11 @@ def embedded_chunks(texts: DataFrame, make_encoder: Callable[[], Encoder], model
     return done.join(failed, "ad_id", "left_anti").select(*CHUNK_COLUMNS), known
 
 
+def emptied_listings(texts: DataFrame) -> DataFrame:
+    """Ids of ``texts`` that no longer give any chunk, whose stored chunks and scores must go."""
+    return texts.select("ad_id").distinct().join(text_chunks(texts, "ad_id", "text").select("ad_id"), "ad_id", "left_anti")
+
+
 def store_chunks(ads: DataFrame, chunks: DataFrame, new: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """Next chunk table and next master after a run; ``new`` should be stored first, as both read it."""
     return replace_chunks(chunks, new, now), mark_processed(ads, new, now)

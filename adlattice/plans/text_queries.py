@@ -354,6 +354,37 @@ def nightly_scores(spark: SparkSession, sf: str) -> DataFrame:
     return normalised.select("ad_id", "aspect", "raw_score", F.round("normalized_score", 6).alias("normalized_score"))
 
 
+def nightly_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two nights: in the first, every fourth listing has another description; in the second, only those are done again."""
+    now, model = F.lit("2024-02-01").cast("timestamp_ntz"), f"token-hash-{DIMS}"
+    given = descriptions(spark, sf).withColumns({
+        "has_embeddings": F.lit(False), "semantic_processed_at": F.lit(None).cast("timestamp_ntz")})
+    ads = given.withColumn("description", F.when(F.col("ad_id") % 4 == 0, F.reverse("description")).otherwise(F.col("description")))
+    scores = spark.createDataFrame([], "ad_id bigint, aspect string, raw_score double, supporting_chunks array<bigint>, "
+                                       "score_method string, created_at timestamp_ntz, normalized_score double")
+    processed = spark.createDataFrame([], "ad_id bigint, text_hash string")
+    chunks = vectors = None
+    for night in (1, 2):
+        path = scratch_path(spark, f"night-{night}")
+        due = materialise(nightly.due_texts(ads, processed=processed))
+        emptied = materialise(nightly.emptied_listings(due))
+        new, vectors = nightly.embedded_chunks(due, make_encoder, model, vectors)
+        new.write.parquet(path)
+        new = spark.read.parquet(path)
+        if chunks is None:
+            chunks = new.limit(0).withColumns({"created_at": now, "updated_at": now})
+        stored, marked = nightly.store_chunks(ads, chunks, new, now)
+        chunks, marked = materialise(stored.join(emptied, "ad_id", "left_anti").select(chunks.columns)), materialise(marked)
+        handled = new.select("ad_id").unionByName(emptied)
+        scores = materialise(nightly.score_listings(marked, queues.forget_scores(scores, handled), chunks, make_encoder, now,
+                                                    lexicon=WORD_LEXICON))
+        processed = materialise(queues.remember_texts(processed, marked, handled))
+        ads = marked.drop("description").join(given.select("ad_id", "description"), "ad_id")
+    redone = new.select("ad_id").distinct().withColumn("redone", F.lit(True))
+    return scores.join(redone, "ad_id", "left").select(
+        "ad_id", "aspect", F.round("raw_score", 6).alias("raw_score"), F.coalesce("redone", F.lit(False)).alias("redone"))
+
+
 def _word_score_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored score table, as the operators below read their input more than once."""
     chunks = chunking.text_chunks(documents(spark, sf), "doc_id", "text")
@@ -409,7 +440,7 @@ QUERIES = {
         backfill_decision,
         overwritten_descriptions, processed_listings, replaced_chunks, keyword_scores, keyword_scores_words, keyword_scores_indexed,
         aspect_scores, aspect_scores_words, named_aspects_failing, aspect_scores_stored, distinct_chunk_texts, supporting_chunk_ids,
-        search_texts, search_texts_listing_first, search_by_aspect, similar_by_description, search_cached, query_fingerprint, short_queries, nightly_scores, percentile_by_position,
+        search_texts, search_texts_listing_first, search_by_aspect, similar_by_description, search_cached, query_fingerprint, short_queries, nightly_scores, nightly_changed, percentile_by_position,
         percentile_by_share, share_in_dataset, top_per_aspect, score_upsert,
     ]
 }
@@ -684,6 +715,9 @@ ORACLE = {
           WHERE l.active AND (coalesce(l.has_embeddings, FALSE) OR length(trim(l.description)) > 50))
         SELECT ad_id, aspect, raw_score, round((row_number() OVER (PARTITION BY aspect ORDER BY raw_score, ad_id) - 1)
           / (count(*) OVER (PARTITION BY aspect) - 1), 6) AS normalized_score FROM kept""",
+    "nightly_changed": f"""WITH {DESCRIPTIONS}, s AS ({_score_sql(WORD_LEXICON)})
+        SELECT doc_id AS ad_id, aspect, raw_score, doc_id % 4 = 0 AND l.description <> reverse(l.description) AS redone
+        FROM s JOIN listings l ON l.ad_id = s.doc_id WHERE l.active AND length(trim(l.description)) > 50""",
     "percentile_by_position": f"""WITH {_SCORE_TABLE} SELECT doc_id, aspect, raw_score, CASE WHEN count(*) OVER g >= 2 THEN
         round((row_number() OVER (PARTITION BY aspect ORDER BY raw_score, doc_id) - 1) / (count(*) OVER g - 1), 6) END
         AS normalized_score FROM scores WINDOW g AS (PARTITION BY aspect)""",
