@@ -79,6 +79,11 @@ def op8_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
                        base.alias("base_failed"), quality.keeps().alias("kept"), "failed")
 
 
+def rule_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of the current policy rejects, and what it alone rejects, from the ledger of ``op8_rule_ledger``."""
+    return quality.ablations(quality.ledger(quality.measure(documents(spark, folder))))
+
+
 def op9_gated_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder)
     network = toxicity.fit(rows, read_table(spark, folder, "labels"))
@@ -111,7 +116,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_feistel_shards, op2_secret_automaton, op3_weighted_fingerprints, op4_minhash_groups, op5_chat_format,
-    op6_bin_slack_packing, op7_pfair_mix, op8_rule_ledger, op9_gated_toxicity, op10_suffix_repeats, op11_strata_ranking,
+    op6_bin_slack_packing, op7_pfair_mix, op8_rule_ledger, rule_ablations, op9_gated_toxicity, op10_suffix_repeats, op11_strata_ranking,
     op12_spectrum_whitening, op13_block_naming, pipeline,
 )}
 
@@ -120,6 +125,25 @@ _TERMS = f"unnest(regexp_extract_all({_LOWER.format('text')}, '{strata_index.TER
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _BITS = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in quality.RULES)
+_LEDGER = f"""WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+        split AS (SELECT row, regexp_extract_all(t, '{_WORD}') AS w FROM texts),
+        words AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+        windows AS (SELECT row, i, word = lag(word) OVER g AS again, CASE WHEN lead(word, 7) OVER g IS NOT NULL THEN
+            concat_ws(' ', word, {", ".join(f"lead(word, {k}) OVER g" for k in range(1, 8))}) END AS win
+          FROM words WINDOW g AS (PARTITION BY row ORDER BY i)),
+        twice AS (SELECT row, i, again, win IS NOT NULL AND count(*) OVER (PARTITION BY row, win) > 1 AS rep FROM windows),
+        covered AS (SELECT row, again, bool_or(rep) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit FROM twice),
+        repeats AS (SELECT row, count(*) FILTER (hit) AS n_repeat_words, count(*) FILTER (again) AS n_stutter FROM covered GROUP BY row),
+        lines AS (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts),
+        line_counts AS (SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+          WHERE regexp_matches(line, '{_WORD}') GROUP BY row),
+        measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS upper_chars, coalesce(n_dup_lines, 0) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutter, 0) AS n_stutter
+          FROM texts JOIN split USING (row) LEFT JOIN repeats USING (row) LEFT JOIN line_counts USING (row)),
+        judged AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed FROM measured)"""
+_USED = ", ".join(f"('{r.name}', {1 << r.bit})" for r in quality.RULES if r.name in quality.POLICIES[quality.CURRENT])
 
 ORACLE = {
     "op4_minhash_groups": f"""WITH RECURSIVE words AS (
@@ -166,26 +190,12 @@ ORACLE = {
         slotted AS (SELECT b.doc_id, b.source, r, block, block // q * period + n.slot AS slot
           FROM blocks b JOIN planned n ON n.source IS NOT DISTINCT FROM b.source AND n.turn = b.block % b.q)
         SELECT doc_id, source, block, slot, row_number() OVER (ORDER BY slot, r) - 1 AS mix_position FROM slotted""",
-    "op8_rule_ledger": f"""WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
-        split AS (SELECT row, regexp_extract_all(t, '{_WORD}') AS w FROM texts),
-        words AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
-        windows AS (SELECT row, i, word = lag(word) OVER g AS again, CASE WHEN lead(word, 7) OVER g IS NOT NULL THEN
-            concat_ws(' ', word, {", ".join(f"lead(word, {k}) OVER g" for k in range(1, 8))}) END AS win
-          FROM words WINDOW g AS (PARTITION BY row ORDER BY i)),
-        twice AS (SELECT row, i, again, win IS NOT NULL AND count(*) OVER (PARTITION BY row, win) > 1 AS rep FROM windows),
-        covered AS (SELECT row, again, bool_or(rep) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit FROM twice),
-        repeats AS (SELECT row, count(*) FILTER (hit) AS n_repeat_words, count(*) FILTER (again) AS n_stutter FROM covered GROUP BY row),
-        lines AS (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts),
-        line_counts AS (SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
-          WHERE regexp_matches(line, '{_WORD}') GROUP BY row),
-        measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-            CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS upper_chars, coalesce(n_dup_lines, 0) AS n_dup_lines,
-            coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutter, 0) AS n_stutter
-          FROM texts JOIN split USING (row) LEFT JOIN repeats USING (row) LEFT JOIN line_counts USING (row)),
-        judged AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed FROM measured)
+    "op8_rule_ledger": f"""{_LEDGER}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {quality.policy_mask(1)}) <> 0 AS base_failed,
           (failed & {quality.policy_mask(quality.CURRENT)}) = 0 AS kept, failed FROM judged""",
+    "rule_ablations": f"""{_LEDGER}, used(rule, bit) AS (VALUES {_USED})
+        SELECT rule, count(*) FILTER (failed & bit <> 0) AS n_failed,
+          count(*) FILTER (failed & {quality.policy_mask(quality.CURRENT)} = bit) AS n_alone FROM used, judged GROUP BY rule""",
     "op11_strata_ranking": f"""WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
         doc_terms AS (SELECT row, doc_id, {_TERMS} FROM numbered),
         item_terms AS (SELECT item_id, {_TERMS} FROM benchmark),
