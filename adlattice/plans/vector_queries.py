@@ -44,20 +44,27 @@ def _label_queries(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _asked(vectors: DataFrame) -> DataFrame:
+    """The label centroids, and the vectors of all chunks whose id is divisible by 100, numbered from 1,000 on."""
+    own = vectors.where("chunk_id % 100 = 0").select(
+        (F.col("chunk_id") + 1000).alias("query_id"), F.col("embedding").cast("array<double>"), F.lit(0.6).alias("min_score"))
+    return _label_queries(vectors).unionByName(own)
+
+
 def _hit_columns(hits: DataFrame) -> DataFrame:
     return hits.select("query_id", "rank", "chunk_id", "ad_id", F.round("distance", 6).alias("distance"))
 
 
 def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Nearest 20 chunks of every label centroid."""
+    """Nearest 20 chunks of every label centroid and of every chunk whose id is divisible by 100."""
     chunks = vector_chunks(spark, sf)
-    return _hit_columns(search.nearest_chunks(chunks, _label_queries(chunks), 20))
+    return _hit_columns(search.nearest_chunks(chunks, _asked(chunks), 20))
 
 
 def vector_topk_listings(spark: SparkSession, sf: str) -> DataFrame:
-    """Nearest 20 listings of every label centroid, by their best chunk."""
+    """Nearest 20 listings of the same queries, by their best chunk."""
     chunks = vector_chunks(spark, sf)
-    return _hit_columns(search.nearest_chunks(chunks, _label_queries(chunks), 20, "listing_first"))
+    return _hit_columns(search.nearest_chunks(chunks, _asked(chunks), 20, "listing_first"))
 
 
 def _ads_of(chunks: DataFrame) -> DataFrame:
@@ -72,15 +79,15 @@ def vector_topk_active(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest 20 chunks among active, embedded listings only."""
     chunks = vector_chunks(spark, sf)
     live = search.searchable_chunks(chunks, _ads_of(chunks))
-    return _hit_columns(search.nearest_chunks(live, _label_queries(chunks), 20))
+    return _hit_columns(search.nearest_chunks(live, _asked(chunks), 20))
 
 
 def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
     """Chunk hits rolled up to listings, filtered and ranked, with the best three chunks."""
     chunks = vector_chunks(spark, sf)
-    queries = _label_queries(chunks)
+    queries = _asked(chunks)
     hits = search.nearest_chunks(chunks, queries, 40)
-    ranked = search.rank_listings(search.group_hits(hits.drop("rank"), chunks, 400), queries, 10)
+    ranked = search.rank_listings(search.group_hits(hits.drop("rank"), chunks), queries)
     return ranked.select(
         "query_id", "rank", "ad_id", F.round("similarity_score", 6).alias("similarity_score"),
         F.array_join("matching_chunks", "|").alias("matching_chunks"),
@@ -89,8 +96,8 @@ def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 def grouped_hits(spark: SparkSession, sf: str) -> DataFrame:
     chunks = vector_chunks(spark, sf)
-    hits = search.nearest_chunks(chunks, _label_queries(chunks), 40)
-    return search.group_hits(hits.drop("rank"), chunks, 400).select(
+    hits = search.nearest_chunks(chunks, _asked(chunks), 40)
+    return search.group_hits(hits.drop("rank"), chunks).select(
         "query_id", "ad_id", F.round("min_distance", 6).alias("min_distance"), F.round("avg_distance", 6).alias("avg_distance"), "hits"
     )
 
@@ -139,10 +146,10 @@ def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ann_topk_exact(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact nearest 20 chunks of every label centroid through 16 fitted cells, all of which are probed."""
+    """Exact nearest 20 chunks of the queries of ``vector_topk`` through 16 fitted cells, all of which are probed."""
     chunks = vector_chunks(spark, sf)
     cells = cell_index.fit_cells(chunks, 16)
-    return _hit_columns(cell_index.nearest_in_cells(chunks, _label_queries(chunks), cells, 20, nprobe=len(cells)))
+    return _hit_columns(cell_index.nearest_in_cells(chunks, _asked(chunks), cells, 20, nprobe=len(cells)))
 
 
 def _cache(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +226,11 @@ QUERIES = {
 _BASE = f"WITH {VECTOR_CHUNKS}, {CENTROIDS}"
 
 
-def _distances(source: str = "chunks", queries: str = "SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids") -> str:
+_ASKED = """SELECT CAST(label AS BIGINT) AS query_id, centroid AS q FROM centroids
+  UNION ALL SELECT chunk_id + 1000, embedding FROM chunks WHERE chunk_id % 100 = 0"""
+
+
+def _distances(source: str = "chunks", queries: str = _ASKED) -> str:
     return f"""queries AS ({queries}),
 distances AS (SELECT query_id, c.chunk_id, c.ad_id, c.chunk_order, c.chunk_text,
   round(1.0 - list_cosine_similarity(c.embedding, q), 9) AS distance FROM {source} c CROSS JOIN queries)"""
