@@ -42,6 +42,40 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
     )
 
 
+def range_totals(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, key: str, count: str, total: str) -> DataFrame:
+    """Per ``key`` of the ranges: the number of pairs of :func:`range_join` and the sum of their points, without making the pairs.
+
+    Points are folded into every dyadic bin (2 ** n numbers) that holds them, up to the length of the longest range. A range is the
+    disjoint union of at most two bins of each width, so it looks up at most twice the logarithm of its length, however many points
+    it holds and however many equal ones there are. Sums are decimals until the end, as a bin that no range takes may hold more than
+    a bigint. Keys without pairs have no row. Ends must be less than 2 ** 62 apart.
+    """
+    shift = lambda value, bits: F.call_function("shiftright", value, bits)
+    asked = ranges.where(F.col(low) <= F.col(high)).select(
+        F.col(key).alias("__key"), F.col(low).cast("bigint").alias("__low"), F.col(high).cast("bigint").alias("__high"))
+    length = asked.agg(F.max(F.col("__high") - F.col("__low") + 1)).first()[0] or 0
+    levels = F.array(*[F.lit(n) for n in range(int(length).bit_length())]).cast("array<int>")
+    folded = points.where(F.col(point).isNotNull()).groupBy(F.col(point).cast("bigint").alias("__point")).agg(
+        F.count(F.lit(1)).alias("__count"), F.sum(F.col(point).cast("decimal(20,0)")).alias("__sum"))
+    bins = (
+        folded.withColumn("__level", F.explode(levels))
+        .groupBy("__level", shift(F.col("__point"), F.col("__level")).alias("__bin"))
+        .agg(F.sum("__count").alias("__count"), F.sum("__sum").alias("__sum"))
+    )
+    # At width 2 ** n the bins from ``first`` up to ``end`` lie inside; the outer ones that are no half of a wider bin inside are taken.
+    first, end = -shift(-F.col("__low"), F.col("__level")), shift(F.col("__high") + 1, F.col("__level"))
+    odd = lambda value: F.pmod(value, F.lit(2)) == 1
+    pieces = (
+        asked.withColumn("__level", F.explode(levels))
+        .select("__key", "__level", first.alias("__first"), end.alias("__end"))
+        .where("__first < __end")
+        .select("__key", "__level", F.explode(F.array_compact(F.array(
+            F.when(odd(F.col("__first")), F.col("__first")), F.when(odd(F.col("__end")), F.col("__end") - 1)))).alias("__bin"))
+    )
+    return pieces.join(bins, ["__level", "__bin"]).groupBy(F.col("__key").alias(key)).agg(
+        F.sum("__count").alias(count), F.sum("__sum").cast("bigint").alias(total))
+
+
 def with_range_values(df: DataFrame, ranges: DataFrame, code: Column, low: str, high: str, values: list[str]) -> DataFrame:
     """``df`` with ``values`` of the interval that holds ``code``; null where none does.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlattice.operators import lifecycle as life
 from adlattice.operators import quality
 from adlattice.operators.keyed import latest_per_key
-from adlattice.operators.ranges import range_join, with_place_of_ranges
+from adlattice.operators.ranges import range_totals, with_place_of_ranges
 from adlattice.plans.standins import (
     AS_OF, CUTOFF, EVENT_SNAPSHOTS, LATEST, LIFECYCLE, RUN_SINCE, STAGING,
     details, event_snapshots, moment, prior_ads, staging,
@@ -208,8 +208,7 @@ def prices_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
     low = F.floor(F.col("p_retailprice") * 100).cast("bigint")
     ranges = read_table(spark, sf, "part").select(
         "p_partkey", low.alias("low"), (low + F.col("p_size") * F.col("p_size") - 40).alias("high"))
-    pairs = range_join(staging(spark, sf).select("price"), ranges, "price", "low", "high")
-    return pairs.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("snapshots"), F.sum("price").alias("total"))
+    return range_totals(staging(spark, sf).select("price"), ranges, "price", "low", "high", "p_partkey", "snapshots", "total")
 
 
 QUERIES = {

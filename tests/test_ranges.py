@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from adlattice.operators.items import with_place_of_code
-from adlattice.operators.ranges import range_join, with_place_of_ranges
+from adlattice.operators.ranges import range_join, range_totals, with_place_of_ranges
 
 
 def test_range_join_is_the_nested_loop(spark):
@@ -26,6 +26,29 @@ def test_range_join_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_range_totals_are_those_of_the_pairs(spark):
+    source = random.Random(9)
+    points = [(source.choice([None, source.randint(-300, 300), 7, 7, 2 ** 55]),) for _ in range(500)] + [(2 ** 62 - 1,)] * 3
+    ranges = [(i % 150, *source.choice([(a, a + source.choice([0, 1, 2, 5, 64, 127, 500, -3])) for a in range(-320, 320)])) for i in range(300)]
+    ranges += [(900, None, 5), (901, -5, None), (902, -(2 ** 60), 2 ** 60), (903, 7, 7), (904, 2 ** 55, 2 ** 55), (903, 7, 7), (905, 400, 900)]
+    p, r = spark.createDataFrame(points, "x bigint"), spark.createDataFrame(ranges, "rid bigint, low bigint, high bigint")
+    pairs = range_join(p, r, "x", "low", "high").groupBy("rid").agg(F.count("x"), F.sum("x"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(range_totals(p, r, "x", "low", "high", "rid", "n", "total")) == key(pairs)
+    assert range_totals(p, r.limit(0), "x", "low", "high", "rid", "n", "total").count() == 0
+    assert range_totals(p.limit(0), r, "x", "low", "high", "rid", "n", "total").count() == 0
+
+
+def test_range_totals_make_no_pairs(spark):
+    """20,000 equal points in 20,000 equal ranges are 400,000,000 pairs; the totals come from a row or two per range."""
+    p = spark.range(20_000).select(F.lit(5).alias("x"))
+    r = spark.range(20_000).select("id", F.lit(0).alias("low"), F.lit(9).alias("high"))
+    totals = range_totals(p, r, "x", "low", "high", "id", "n", "total")
+    assert totals.selectExpr("min(n)", "max(n)", "min(total)", "max(total)", "count(*)").first()[:] == (20_000, 20_000, 100_000, 100_000, 20_000)
+    joined = [line for line in totals._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joined) == 1 and "<=" not in joined[0]
+
+
 def test_place_of_ranges_equals_the_literal_lookup(spark):
     listed = [(1, 1299, "Oslo", "Oslo"), (5003, 5268, "Bergen", "Vestland")]
     codes = ["0001", "1299", "1300", "0000", "5100", "51", None, "x", "05100"]
