@@ -14,7 +14,8 @@ from adlattice.functions.scalars import (
 from adlattice.operators import pages
 from adlattice.session import scratch_path, shared_dir
 from adlattice.sources import archive, snapshots
-from adlattice.sources.tables import read_html_files, spread_scan
+from adlattice.sources import tables
+from adlattice.sources.tables import read_html_files, spread_scan, write_html_files
 from adlattice.streaming import feeds, price_watch
 
 DAY = datetime.datetime(2024, 1, 1)
@@ -120,6 +121,19 @@ def test_snapshot_versions(spark):
     assert (snapshots.read_snapshot(spark, root).count(), snapshots.read_snapshot(spark, root, 1).count()) == (5, 3)
 
 
+def test_html_files_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """A table of one large split, with more splits than cores or not, is written by tasks of about as many files as allowed."""
+    monkeypatch.setattr(tables, "FILES_PER_TASK", 5)
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('<p>', id, '</p>') AS html").repartition(16)
+    write_html_files(pages, "page_id", str(tmp_path / "out"))
+    files = [f for f in (tmp_path / "out").glob("page_id=*/part-*")]
+    per_task = {}
+    for f in files:
+        per_task[f.name[:10]] = per_task.get(f.name[:10], 0) + 1
+    assert len(files) == 400 and max(per_task.values()) <= 20 and len(per_task) > 60
+    assert {r["html"] for r in read_html_files(spark, str(tmp_path / "out")).collect()} == {f"<p>{i}</p>\n" for i in range(400)}
+
+
 def test_html_files(spark, tmp_path):
     (tmp_path / "a.html").write_text("<html>\nå</html>", encoding="utf-8")
     row = read_html_files(spark, str(tmp_path)).first()
