@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.operators.scoring import ASPECTS, WEIGHT_UNIT, keyword_score
+from adlattice.session import written
 
-GRAM = 3
+# Length of the grams under which phrases are filed, and of those for phrases shorter than it.
+GRAM = 8
+SHORT_GRAM = 3
+
+
+def gram_size(phrase: Column) -> Column:
+    """Length of the grams of a phrase: its own length if it is shorter than a short gram."""
+    size = F.length(phrase)
+    return F.when(size >= GRAM, F.lit(GRAM)).otherwise(F.least(size, F.lit(SHORT_GRAM)))
 
 
 def grams(text: Column, sizes: list[int]) -> Column:
@@ -23,26 +32,31 @@ def phrase_hits(texts: DataFrame, ids: list[str], text: str, phrases: DataFrame)
 
     Each phrase is filed under the one of its grams that the fewest texts hold, so a text meets only phrases whose
     rarest gram it has, and only those are looked for. A phrase with a gram that no text has is found nowhere and leaves the join.
-    Phrases shorter than a gram are filed under all they have. Empty and null phrases are found nowhere.
+    A gram of eight characters is mostly rarer than any word, so few texts are looked at in vain; shorter phrases have grams of
+    three, or of all they have. Empty and null phrases are found nowhere.
     """
     lowered = texts.select(*ids, F.lower(text).alias("__text"))
     asked = phrases.select(F.lower("phrase").alias("phrase")).where("phrase <> ''").distinct()
-    # One row per length up to that of a gram: at most three.
-    sizes = sorted(r[0] for r in asked.select(F.least(F.length("phrase"), F.lit(GRAM))).distinct().collect())
+    # One row per length of grams in use: at most four.
+    sizes = sorted(r[0] for r in asked.select(gram_size(F.col("phrase"))).distinct().collect())
     if not sizes:
         return texts.select(*ids, F.lit(None).cast("string").alias("phrase")).limit(0)
-    size_of = F.least(F.length("phrase"), F.lit(GRAM))
+    size_of = gram_size(F.col("phrase"))
     own_grams = reduce(lambda chain, n: F.when(size_of == n, grams(F.col("phrase"), [n])).otherwise(chain), sizes[1:],
                        grams(F.col("phrase"), sizes[:1]))
-    filed = asked.select("phrase", F.explode(own_grams).alias("gram"))
+    # Written tables, so Spark knows their sizes: the distinct grams of the phrases, eight bytes each, are sent to the texts unless
+    # there are too many, and what no phrase has is left out before anything is shuffled.
+    filed = written(asked.select("phrase", F.explode(own_grams).alias("gram")), "filed-phrases")
+    known = written(filed.select("gram").distinct(), "known-grams")
     met = lowered.select(*ids, F.explode(grams(F.col("__text"), sizes)).alias("gram"))
-    held = met.select("gram").join(filed.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
-        F.count(F.lit(1)).alias("texts"))
+    # Counted where the texts are, so a task sends each of its grams once.
+    held = met.join(known, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
     counted = filed.join(held, "gram", "left").groupBy("phrase").agg(
         F.min_by("gram", F.struct(F.coalesce("texts", F.lit(0)), "gram")).alias("gram"),
         F.min(F.coalesce("texts", F.lit(0))).alias("texts"))
-    rarest = counted.where("texts > 0").drop("texts")
-    candidates = met.join(rarest, "gram").select(*ids, "phrase")
+    rarest = written(counted.where("texts > 0").drop("texts"), "rarest-grams")
+    looked_for = written(rarest.select("gram").distinct(), "looked-for-grams")
+    candidates = met.join(looked_for, "gram", "left_semi").join(rarest, "gram").select(*ids, "phrase")
     return candidates.join(lowered, ids).where(F.contains("__text", "phrase")).select(*ids, "phrase")
 
 

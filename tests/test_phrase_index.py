@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from adlattice.operators import scoring
 from adlattice.operators.phrase_index import keyword_scores_of_table, phrase_hits
 from adlattice.plans.text_queries import WORD_LEXICON
+from adlattice.session import shared_dir
 
 
 def rows_of(df):
@@ -35,3 +36,15 @@ def test_scores_equal_those_of_the_literal_lexicon(spark):
     have = keyword_scores_of_table(chunks, "k", table)
     assert rows_of(have.select(*want.columns)) == rows_of(want)
     assert rows_of(keyword_scores_of_table(chunks, "k", table.limit(0)).select("keyword_score").distinct()) == [(0.0,)]
+
+
+def test_grams_of_texts_are_not_shuffled(spark):
+    """Each of 2,000 texts has some hundred grams; what is shuffled are the texts and their few rarest grams."""
+    shared_dir(spark)
+    texts = spark.range(2000).select(F.col("id").alias("k"), F.lit(0).alias("n"), F.concat_ws(" ", *[
+        F.md5((F.col("id") + i).cast("string")) for i in range(8)], F.when(F.col("id") % 100 == 0, F.lit("ny motor"))).alias("text"))
+    phrases = spark.createDataFrame([("ny motor",), ("gammel motor",)], "phrase string")
+    hits = phrase_hits(texts.checkpoint(), ["k", "n"], "text", phrases)
+    assert hits.count() == 20
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "BroadcastHashJoin [gram" in plan and "SortMergeJoin [gram" not in plan
