@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.operators.chunking import text_chunks, with_equipment
-from adlattice.operators.embedding import Encoder, attach_embeddings, embed_missing
+from adlattice.operators.embedding import Encoder, attach_embeddings, embed_missing, text_key
 from adlattice.operators.percentiles import percentile_by_position
 from adlattice.operators.queues import embed_queue, mark_processed, replace_chunks, reprocess_queue, score_queue, upsert_scores
 from adlattice.operators.scoring import LEXICON, score_chunks
-from adlattice.session import materialise
+from adlattice.session import materialise, written
 
 CHUNK_COLUMNS = ["chunk_id", "ad_id", "chunk_source", "chunk_text", "chunk_order", "chunk_length", "overlap_words", "embedding"]
 
@@ -24,24 +24,33 @@ def due_texts(ads: DataFrame, limit: int | None = None, processed: DataFrame | N
     return due.select("ad_id", text.alias("text"))
 
 
-def embedded_chunks(texts: DataFrame, make_encoder: Callable[[], Encoder], model: str,
-                    store: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Chunks of ``texts`` with vectors, and the next vector store.
+def cut_texts(texts: DataFrame) -> DataFrame:
+    """Chunks of ``texts`` (ad_id, text), cut once and written, as a run reads them several times."""
+    return written(text_chunks(texts, "ad_id", "text"), "cut-texts")
+
+
+def embedded_chunks(texts: DataFrame, make_encoder: Callable[[], Encoder], model: str, store: DataFrame | None = None,
+                    chunks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Chunks of ``texts`` with vectors, and the next vector store; ``chunks`` are those of :func:`cut_texts`, if at hand.
 
     The model sees every distinct text the store lacks once; its vectors are written before they are
-    used. A listing of which any chunk could not be embedded is left out as a whole and stays in the queue.
+    used. A listing of which any chunk could not be embedded is left out as a whole and stays in the queue; which ones is
+    known from the keys of the texts, so vectors are joined once.
     """
-    chunks = text_chunks(texts, "ad_id", "text")
+    chunks = cut_texts(texts) if chunks is None else chunks
     fresh = materialise(embed_missing(chunks, "chunk_text", make_encoder, model, store)).where("error IS NULL")
     known = fresh if store is None else store.unionByName(fresh)
-    done = attach_embeddings(chunks, "chunk_text", model, known)
-    failed = done.where("embedding IS NULL").select("ad_id").distinct()
-    return done.join(failed, "ad_id", "left_anti").select(*CHUNK_COLUMNS), known
+    keyed = chunks.select("ad_id", text_key("chunk_text", model).alias("text_key"))
+    readable = known.where("embedding IS NOT NULL").select("text_key")
+    failed = keyed.join(readable, "text_key", "left_anti").select("ad_id").distinct()
+    kept = chunks.join(failed, "ad_id", "left_anti")
+    return attach_embeddings(kept, "chunk_text", model, known).select(*CHUNK_COLUMNS), known
 
 
-def emptied_listings(texts: DataFrame) -> DataFrame:
+def emptied_listings(texts: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
     """Ids of ``texts`` that no longer give any chunk, whose stored chunks and scores must go."""
-    return texts.select("ad_id").distinct().join(text_chunks(texts, "ad_id", "text").select("ad_id"), "ad_id", "left_anti")
+    chunks = text_chunks(texts, "ad_id", "text") if chunks is None else chunks
+    return texts.select("ad_id").distinct().join(chunks.select("ad_id"), "ad_id", "left_anti")
 
 
 def store_chunks(ads: DataFrame, chunks: DataFrame, new: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

@@ -145,3 +145,24 @@ def test_scores_from_stored_chunks_equal_those_from_texts(spark):
     for a, b in zip(direct, stored):
         assert (a["aspect"], a["supporting_chunks"], a["keywords"]) == (b["aspect"], b["supporting_chunks"], b["keywords"])
         assert a["raw_score"] == pytest.approx(b["raw_score"], abs=1e-9) and a["confidence"] == pytest.approx(b["confidence"], abs=1e-9)
+
+
+def test_a_run_cuts_texts_once_and_leaves_out_failed_listings(spark):
+    from adlattice.plans import nightly
+
+    class Unreadable(HashingEncoder):
+        def __call__(self, texts):
+            if any("motor" in t for t in texts):
+                raise ValueError("unreadable")
+            return super().__call__(texts)
+
+    sentence = "this boat has eight words in one sentence."
+    texts = spark.createDataFrame([(1, f"{sentence} {sentence}"), (2, f"{sentence} the motor of this boat is an old one."), (3, "short"),
+                                   (4, None)], "ad_id bigint, text string")
+    new, known = nightly.embedded_chunks(texts, lambda: Unreadable(16), "m")
+    assert sorted((r["ad_id"], r["chunk_order"]) for r in new.collect()) == [(1, 0), (1, 1)]
+    assert "Generate" not in new._jdf.queryExecution().optimizedPlan().toString()
+    cut = nightly.cut_texts(texts)
+    assert sorted(r[0] for r in nightly.emptied_listings(texts, cut).collect()) == [3, 4]
+    again, _ = nightly.embedded_chunks(texts, lambda: Unreadable(16), "m", known, cut)
+    assert sorted(map(tuple, again.select("ad_id", "chunk_order").collect())) == [(1, 0), (1, 1)]
