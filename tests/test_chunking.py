@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -115,3 +116,38 @@ def test_aspects_and_equipment(spark):
     two = spark.createDataFrame([("tekst", ["GPS", "VHF"]), ("tekst", [])], "d string, e array<string>")
     assert [r[0] for r in two.select(chunking.with_equipment("d", "e")).collect()] == ["tekst\nUtstyr: GPS, VHF", "tekst"]
     assert two.select(F.size(chunking.words_of(F.lit("  a  b ")))).first()[0] == 2
+
+
+def test_long_sentence_is_cut_in_linear_time(spark):
+    """Windows of a sentence were counted anew for each window: 200,000 words without a stop took minutes."""
+    df = spark.range(1).select(F.lit(1).alias("id"), F.repeat(F.lit("word "), 200_000).alias("text"))
+    began = time.monotonic()
+    chunks = chunking.text_chunks(df, "id", "text").agg(F.count(F.lit(1)), F.sum("chunk_length")).first()
+    windows = -(-(200_000 - 25) // 13)
+    assert tuple(chunks) == (windows + 1, windows * 20 + 200_000 - windows * 13)
+    assert time.monotonic() - began < 15
+
+
+@pytest.mark.parametrize("rule", [ChunkRule(overlap=1, slack=0), ChunkRule(overlap=2, slack=1, keep_short=True), ChunkRule(10, 3, 10, 0)])
+def test_tails_of_long_sentences_obey_the_rule(spark, rule):
+    words = [f"w{i}" + "." * (i % 47 == 46) for i in range(300)]
+    df = spark.createDataFrame([(1, " ".join(words))], "id bigint, text string")
+    have = [r["chunk_text"] for r in chunking.text_chunks(df, "id", "text", rule).orderBy("chunk_order").collect()]
+    spans = chunking.chunk_spans(df, "id", "text", rule).orderBy("from_word").collect()
+    assert have == [" ".join(words[r["from_word"] : r["to_word"]]) for r in spans]
+
+
+def test_blank_runs_become_one_blank(spark):
+    texts = ["a b", "a  b", "a\tb", "a   b", "a\n  b  c", "\x1ca\x85\x85b", "a * b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(chunking.clean_text("text")).collect()] == ["a b", "a b", "a b", "a b", "a b c", "a b", "a  b"]
+
+
+def test_aspect_chunks_agree_with_single_mentions(spark):
+    """Keywords in one pass per aspect, also with upper case, characters of patterns and missing texts."""
+    groups = {"a": ["SEIL".lower(), "x+y"], "b": ["køy", "a.b"], "none": []}
+    rows = [(1, "Storseil og KØY"), (2, "x+y a.b"), (3, "xxy aab"), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "id bigint, chunk_text string")
+    have = {(r["id"], r["aspect"]) for r in chunking.aspect_chunks(df, ["a", "b", "none", "other"], groups).collect()}
+    flags = df.select("id", *[chunking.mentions_aspect("chunk_text", x, groups).alias(x) for x in ("a", "b", "none", "other")])
+    assert have == {(r["id"], x) for r in flags.collect() for x in ("a", "b", "none", "other") if r[x]}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adlattice.operators import scoring
 from adlattice.operators.chunking import text_chunks
 from adlattice.operators.embedding import (
-    HashingEncoder, attach_embeddings, embed_missing, embed_texts, with_dimension, wrong_dimension,
+    HashingEncoder, attach_embeddings, embed_missing, embed_texts, missing_embeddings, with_dimension, wrong_dimension,
 )
 
 TEXT = ("Veldig fin båt med 3 seil, to nye i fjor og ett gammelt. Motoren har hatt jevnlig vedlikehold og fungerer utmerket "
@@ -166,3 +166,33 @@ def test_a_run_cuts_texts_once_and_leaves_out_failed_listings(spark):
     assert sorted(r[0] for r in nightly.emptied_listings(texts, cut).collect()) == [3, 4]
     again, _ = nightly.embedded_chunks(texts, lambda: Unreadable(16), "m", known, cut)
     assert sorted(map(tuple, again.select("ad_id", "chunk_order").collect())) == [(1, 0), (1, 1)]
+
+
+def test_cosines_hold_a_bounded_number_of_texts(spark, tmp_path):
+    """The model gets at most ``batch_size`` chunks, and results leave the task in slices; rows without chunks stay in place."""
+    class Counting(HashingEncoder):
+        def __call__(self, texts):
+            assert len(texts) <= 16
+            return super().__call__(texts)
+
+    counts = [i % 7 for i in range(600)]
+    df = spark.createDataFrame([(i, [f"w{j} seil" for j in range(n)]) for i, n in enumerate(counts)], "id bigint, c array<string>")
+    cosines = scoring.chunk_cosines(lambda: Counting(64), {"a": ["seil"], "b": ["w1"]}, 16)
+    rows = df.coalesce(1).select("id", cosines("c").alias("v")).collect()
+    assert [[len(x) for x in r["v"]] for r in rows] == [[counts[r["id"]]] * 2 for r in rows]
+    assert scoring.ROWS_TOGETHER < len(rows)
+
+
+def test_phrases_are_found_in_one_pass(spark):
+    phrases = ["god", "god stand", "a.b", "fin(", "å"]
+    texts = ["i god stand", "godt", "axb", "a.b fin(", "på", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    have = [r[0] for r in df.select(scoring.phrases_in(phrases)("text")).collect()]
+    assert have == [[p for p in phrases if p in (t or "")] for t in texts]
+
+
+def test_distinct_texts_are_found_without_sorting(spark):
+    df = spark.createDataFrame([("a b",), ("a b",), (" ",), (None,), ("c",)], "t string")
+    missing = missing_embeddings(df, "t", "m", None)
+    assert {r["text"] for r in missing.collect()} == {"a b", "c"}
+    assert "SortAggregate" not in missing._jdf.queryExecution().executedPlan().toString()
