@@ -131,11 +131,14 @@ def upsert_scores(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
 
 
 def resolve_chunk_ids(support: DataFrame, chunks: DataFrame, source: str = "description") -> DataFrame:
-    """Supporting chunk texts (ad_id, aspect, texts) to chunk ids by listing, source and text."""
-    wanted = support.select("ad_id", "aspect", F.explode("texts").alias("chunk_text"))
-    known = chunks.where(F.col("chunk_source") == source).select("ad_id", "chunk_text", "chunk_id")
+    """Supporting chunk texts (ad_id, aspect, texts) to chunk ids by listing, source and text.
+
+    Texts are compared by their MD5, so a join row has a fixed size and no text is moved for it.
+    """
+    wanted = support.select("ad_id", "aspect", F.explode(F.transform("texts", F.md5)).alias("__text"))
+    known = chunks.where(F.col("chunk_source") == source).select("ad_id", F.md5("chunk_text").alias("__text"), "chunk_id")
     return (
-        wanted.join(known, ["ad_id", "chunk_text"])
+        wanted.join(known, ["ad_id", "__text"])
         .groupBy("ad_id", "aspect")
         .agg(F.sort_array(F.collect_set("chunk_id")).alias("supporting_chunks"))
     )
