@@ -33,7 +33,11 @@ def quoted(text: str) -> str:
 
 
 _TRIMMED = f"btrim({{}}, {quoted(BLANK_CHARS)})"
-_PAIRS = ", ".join(f"struct({quoted(f'&{n};')} AS name, {quoted(c)} AS char)" for n, c in ENTITIES.items())
+# Entities that most pages use; a text is looked through for the others only if it has any.
+COMMON_ENTITIES = ["lt", "gt", "quot", "apos", "amp"]
+_RARE = {n: c for n, c in ENTITIES.items() if n not in COMMON_ENTITIES}
+_RARE_PAIRS = ", ".join(f"struct({quoted(f'&{n};')} AS name, {quoted(c)} AS char)" for n, c in _RARE.items())
+_RARE_MARK = quoted(f"&(?:{'|'.join(_RARE)});")
 
 
 def trimmed(text: str) -> str:
@@ -52,8 +56,11 @@ def _numeric_entities(name: str) -> str:
 
 def _decoded(name: str) -> str:
     """Decode entities in the text of a variable, only if it has any."""
-    named = f"aggregate(array({_PAIRS}), {_numeric_entities(name)}, (done, e) -> replace(done, e.name, e.char))"
-    return f"if(contains({name}, '&'), {named}, {name})"
+    rare = f"aggregate(array({_RARE_PAIRS}), n, (done, e) -> replace(done, e.name, e.char))"
+    named = f"if(n RLIKE {_RARE_MARK}, {rare}, n)"
+    for entity in COMMON_ENTITIES:
+        named = f"replace({named}, {quoted(f'&{entity};')}, {quoted(ENTITIES[entity])})"
+    return f"if(contains({name}, '&'), {once(_numeric_entities(name), 'n', named)}, {name})"
 
 
 def once(value: str, name: str, use: str) -> str:
@@ -68,11 +75,12 @@ def decode_entities(text: str) -> str:
 def visible_text(html: str, separator: str = " ") -> str:
     """Text pieces between tags, each trimmed, empty ones dropped, joined by ``separator``.
 
-    Comments, scripts and styles are left out.
+    Comments, scripts and styles are left out. A text without any tag is one piece.
     """
-    pieces = f"split(regexp_replace({html}, {quoted(HIDDEN)}, ''), '<[^>]*>')"
+    pieces = f"split(regexp_replace(h, {quoted(HIDDEN)}, ''), '<[^>]*>')"
     texts = f"transform({pieces}, p -> {trimmed(_decoded('p'))})"
-    return f"array_join(filter({texts}, t -> t != ''), {quoted(separator)})"
+    joined = f"array_join(filter({texts}, t -> t != ''), {quoted(separator)})"
+    return once(html, "h", f"if(contains(h, '<'), {joined}, {trimmed(_decoded('h'))})")
 
 
 def non_empty_sql(text: str) -> str:
@@ -81,9 +89,9 @@ def non_empty_sql(text: str) -> str:
 
 def attribute(tag: str, name: str) -> str:
     """Decoded value of an attribute in the text of an opening tag, NULL if absent or empty."""
-    pattern = quoted(rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-    parts = ", ".join(f"regexp_extract(t, {pattern}, {g})" for g in (1, 2, 3))
-    return decode_entities(non_empty_sql(once(tag, "t", f"concat({parts})")))
+    pattern = quoted(rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+    bare = "if(left(v, 1) IN ('\"', '\\''), substring(v, 2, length(v) - 2), v)"
+    return decode_entities(non_empty_sql(once(f"regexp_extract({tag}, {pattern}, 1)", "v", bare)))
 
 
 def has_classes(*classes: str) -> str:
@@ -106,6 +114,11 @@ def element(name: str, condition: str = "") -> str:
     return rf"(?is)<{name}\b{condition}[^>]*>(.*?)</{name}\s*>"
 
 
+def holding(html: str, lowered: str, mark: str) -> str:
+    """The page if its text in lower case holds ``mark``, else '', so that a pattern with that mark looks through no page without it."""
+    return f"if(contains({lowered}, {quoted(mark.lower())}), {html}, '')"
+
+
 def first_match(html: str, pattern: str, group: int = 0) -> str:
     return non_empty_sql(f"regexp_extract({html}, {quoted(pattern)}, {group})")
 
@@ -128,7 +141,8 @@ def label_value_pairs(html: str, pattern: str, label: int, value: int) -> str:
 
 def last_value(pairs: str, label: str) -> str:
     """Value of the last pair with this label in a column of label and value pairs."""
-    return f"try_element_at(filter({pairs}, x -> x.label = {quoted(label)}), -1).value"
+    # The position is 0 without such a pair, for which NULL is the index.
+    return f"get(reverse({pairs}.value), int(nullif(array_position(reverse({pairs}.label), {quoted(label)}), 0)) - 1)"
 
 
 def headed_blocks(html: str) -> str:

@@ -17,8 +17,8 @@ NESTED_KEYS = ["items", "value", "values", "list", "children"]
 NAME_KEYS = ["label", "title", "value", "name", "text"]
 HEADING_KEYS = ["heading", "title", "label", "name", "text"]
 
-# JSON texts that count as missing where a fallback is tried next: null, "", 0, false, [] and {}.
-FALSY = r'^(null|""|-?0(\\.0)?|false|\\[\\]|\\{\\})$'
+# JSON texts that count as missing where a fallback is tried next (fixed values).
+FALSY = ["null", '""', "0", "-0", "0.0", "-0.0", "false", "[]", "{}"]
 
 
 def tolerant_json(text: Column | str) -> Column:
@@ -29,7 +29,8 @@ def tolerant_json(text: Column | str) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    """Only an object can be read as a struct; its members are not looked into for this."""
+    return F.try_variant_get(value, "$", "struct<a: variant>").isNotNull()
 
 
 # The functions below take and give SQL text, as one item page needs some hundred of these small
@@ -47,10 +48,20 @@ class Fields:
         self.paths, self.struct = paths, struct
 
     def reading(self, variant: str) -> str:
-        jsons = ", ".join(f"to_json(try_variant_get({variant}, '$.{p}', 'variant'))" for p in self.paths)
-        texts = ", ".join(f"try_variant_get({variant}, '$.{p}', 'string')" for p in self.paths)
-        kept = f"transform(js, j -> if(j RLIKE '{FALSY}', NULL, j))"
-        return f"get(transform(array(array({jsons})), js -> struct(js AS jsons, {kept} AS raws, array({texts}) AS texts)), 0)"
+        """NULL if the variant is no object. Its members are taken out in one pass, so a path is followed in a small variant only."""
+        members = list(dict.fromkeys(p.split(".")[0] for p in self.paths))
+        taken = f"try_variant_get({variant}, '$', 'struct<{', '.join(f'{m}: variant' for m in members)}>')"
+
+        def read(path: str, kind: str) -> str:
+            member, _, inner = path.partition(".")
+            return f"try_variant_get(o.{member}, '${inner and '.' + inner}', '{kind}')"
+
+        jsons = ", ".join(f"to_json({read(p, 'variant')})" for p in self.paths)
+        texts = ", ".join(read(p, "string") for p in self.paths)
+        falsy = ", ".join(f"'{text}'" for text in FALSY)
+        kept = f"transform(js, j -> if(j IN ({falsy}), NULL, j))"
+        fields = f"get(transform(array(array({jsons})), js -> struct(js AS jsons, {kept} AS raws, array({texts}) AS texts)), 0)"
+        return f"get(transform(array({taken}), o -> if(o IS NULL, NULL, {fields})), 0)"
 
     def bound(self, struct: str) -> Fields:
         return Fields(self.paths, struct)

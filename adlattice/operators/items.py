@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.functions.html import (
-    TAG_REST, all_matches, attribute, block_under, element, first_match, has_attribute, has_classes, headed_blocks,
+    TAG_REST, all_matches, attribute, block_under, element, first_match, has_attribute, has_classes, headed_blocks, holding,
     label_value_pairs, last_value, once, open_tag, quoted, sql, texts_of, trimmed, visible_text,
 )
 from adlattice.functions.scalars import (
@@ -95,9 +95,8 @@ ROOT_TAG = rf"""(?is)<[a-z][a-z0-9]*\s(?:[^<]*?\s)?id\s*=\s*["']{ROOT_ID}["']"""
 
 def props_texts(html: str, has_root: str) -> str:
     """Props of the root element if the page has one, else of all elements that carry any."""
-    carrying = f"filter({all_matches(html, PROPS_TAG)}, m -> {attribute('m', 'data-props')} IS NOT NULL)"
-    chosen = f"filter({carrying}, m -> NOT {has_root} OR m RLIKE {quoted(ROOT_MARK)})"
-    return f"transform({chosen}, m -> {attribute('m', 'data-props')})"
+    chosen = f"filter({all_matches(html, PROPS_TAG)}, m -> NOT {has_root} OR m RLIKE {quoted(ROOT_MARK)})"
+    return f"filter(transform({chosen}, m -> {attribute('m', 'data-props')}), a -> a IS NOT NULL)"
 
 
 def props_root(texts: str, has_root: str) -> Column:
@@ -188,8 +187,8 @@ def equipment_inputs(outer: Fields, ad: Fields) -> Column:
 
     Only props of the root element are searched.
     """
-    block = "to_json(props.obj)"
-    searched = f"get(transform(array({block}), b -> if(has_root AND contains(lower(b), '{EQUIPMENT_HEADING}'), b, NULL)), 0)"
+    block = "if(has_root, to_json(props.obj), NULL)"
+    searched = f"get(transform(array({block}), b -> if(contains(lower(b), '{EQUIPMENT_HEADING}'), b, NULL)), 0)"
     lists = []
     for key in EQUIPMENT_KEYS:
         text = coalesced(ad[key].raw, outer[key].raw)
@@ -227,11 +226,11 @@ LINKED_SCRIPT = element("script", has_attribute("type", r"application/ld\+json")
 def linked_objects(html: str) -> Column:
     """Objects of every linked-data script: array of arrays of variants."""
     listed = "coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))"
-    objects = f"filter({listed}, o -> startswith(schema_of_variant(o), 'OBJECT'))"
+    objects = f"filter({listed}, o -> try_variant_get(o, '$', 'struct<a: variant>') IS NOT NULL)"
     return sql(f"transform(transform({all_matches(html, LINKED_SCRIPT, 1)}, s -> try_parse_json(s)), v -> {objects})")
 
 
-def json_ld_pack(html: str, objects: str) -> Pack:
+def json_ld_pack(html: str, low: str, objects: str) -> Pack:
     """Title, price, brand, model and address of the first linked-data script that yields anything.
 
     ``objects`` is a column of :func:`linked_objects`.
@@ -261,7 +260,8 @@ def json_ld_pack(html: str, objects: str) -> Pack:
     any_field = " OR ".join(f"p.{name} IS NOT NULL" for name in fields)
     read = f"transform({objects}, vs -> transform(vs, v -> {LINKED_FIELDS.reading('v')}))"
     used = F.expr(f"get(filter(transform({read}, objs -> struct({values})), p -> {any_field}), 0)")
-    meta = sql(attribute(first_match(html, open_tag("meta", has_attribute("property", "og:title"))), "content"))
+    titled = holding(html, low, "og:title")
+    meta = sql(attribute(first_match(titled, open_tag("meta", has_attribute("property", "og:title"))), "content"))
     pack = {name: used[name] for name in fields}
     return {**pack, "title": F.coalesce(pack["title"], meta)}
 
@@ -283,7 +283,8 @@ def advertising_pack(targets: str) -> Pack:
     """Year, sizes, engine and place from the targeting entries: the first value of each key."""
 
     def first_value(key: str) -> str:
-        return f"get(try_element_at(filter({targets}, t -> t.key = '{key}'), -1).value, 0)"
+        # The last entry of a key counts; the position is 0 without one, for which NULL is the index.
+        return f"get(get(reverse({targets}.value), int(nullif(array_position(reverse({targets}.key), '{key}'), 0)) - 1), 0)"
 
     numbers = {
         field: F.expr(f"if({first_value(key)} RLIKE '^ *[+-]?[0-9]+ *$', try_cast(trim({first_value(key)}) AS int), NULL)")
@@ -298,7 +299,7 @@ def advertising_pack(targets: str) -> Pack:
 EXPANDABLE = r"""(?is)(<[a-z0-9]+\b[^>]*data-testid\s*=\s*["']expandable-section["'].*)$"""
 
 
-def visible_description(blocks: str, html: str) -> str:
+def visible_description(blocks: str, html: str, low: str) -> str:
     """Text under the description heading (more than 50 characters), else the meta description (more than 20)."""
 
     def without_buttons(text: str) -> str:
@@ -312,22 +313,23 @@ def visible_description(blocks: str, html: str) -> str:
     following = once(following, "f", f"if(length(f) > 50, nullif({without_buttons('f')}, ''), NULL)")
     described = f"filter({blocks}, b -> contains(lower(b.heading), '{DESCRIPTION_HEADING}'))"
     found = f"get(filter(transform({described}, b -> coalesce({in_section}, {following})), d -> d IS NOT NULL), 0)"
-    meta = trimmed(attribute(first_match(html, open_tag("meta", has_attribute("name", "description"))), "content"))
+    meta = first_match(holding(html, low, "description"), open_tag("meta", has_attribute("name", "description")))
+    meta = trimmed(attribute(meta, "content"))
     return f"coalesce({found}, {once(meta, 'm', 'if(length(m) > 20, m, NULL)')})"
 
 
-def visible_price(html: str) -> Column:
+def visible_price(html: str, low: str) -> Column:
     """Number in the h2 next to the price label, else in the first price span."""
-    labelled = f"regexp_extract({html}, {quoted(rf'(?is)<p[^>]*>[ ]*{PRICE_LABEL}[ ]*</p[ ]*>(.*?)(?:</div|</section|$)')}, 1)"
+    labelled = f"regexp_extract({holding(html, low, PRICE_LABEL)}, {quoted(rf'(?is)<p[^>]*>[ ]*{PRICE_LABEL}[ ]*</p[ ]*>(.*?)(?:</div|</section|$)')}, 1)"
     beside = digits_int(sql(visible_text(first_match(labelled, element("h2"), 1), "")))
-    span = visible_text(first_match(html, element("span", has_classes("t2")), 1), "")
+    span = visible_text(first_match(holding(html, low, "t2"), element("span", has_classes("t2")), 1), "")
     return F.coalesce(beside, digits_int(sql(span)))
 
 
-def visible_pack(html: str, blocks: str, grid: str, specs: str, anchor: str) -> Pack:
+def visible_pack(html: str, low: str, blocks: str, grid: str, specs: str, anchor: str) -> Pack:
     """Fields of the visible page; specification pairs go over grid pairs.
 
-    ``grid`` and ``specs`` are columns of label and value pairs, ``anchor`` the link under the place
+    ``low`` is the page in lower case, ``grid`` and ``specs`` are columns of label and value pairs, ``anchor`` the link under the place
     heading as (href, text).
     """
 
@@ -348,11 +350,11 @@ def visible_pack(html: str, blocks: str, grid: str, specs: str, anchor: str) ->
         value = sql(last_value(specs, label))
         value = digits_int(value) if field in NUMERIC_SPECS else value
         pack[field] = F.coalesce(value, pack[field]) if field in pack else value
-    price = visible_price(html)
+    price = visible_price(html, low)
     return {
         **pack,
-        "title": non_empty(sql(visible_text(first_match(html, element("h1"), 1), ""))),
-        "description": sql(visible_description(blocks, html)),
+        "title": non_empty(sql(visible_text(first_match(holding(html, low, "<h1"), element("h1"), 1), ""))),
+        "description": sql(visible_description(blocks, html, low)),
         "price": price,
         "currency": F.when(price.isNotNull(), F.lit(DEFAULT_CURRENCY)),
         "equipment": F.when(F.size(equipment) > 0, equipment),
@@ -424,9 +426,10 @@ def evaluated(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> Dat
     """``keep`` plus new columns, each computed exactly once per row at this point of the plan.
 
     The columns pass through a generator, across which the optimizer moves no predicate and merges no
-    projection; without it every later mention of a field would repeat its whole extraction.
+    projection; without it every later mention of a field would repeat its whole extraction. They are
+    computed in the projection below it, which Spark compiles and in which it shares equal parts.
     """
-    return df.select(*keep, F.inline(F.array(as_struct(columns))))
+    return df.select(*keep, as_struct(columns).alias("__row")).select(*keep, F.inline(F.array("__row")))
 
 
 def parse_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
@@ -434,20 +437,26 @@ def parse_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
 
     Every extract stays on the page's row, so pages of any number are parsed in one narrow stage.
     """
-    html, keys = "html", ["page_id", "url", "html"]
-    sources = evaluated(pages.select(*keys), keys, {
-        "has_root": F.col(html).rlike(ROOT_TAG),
-        "contact_json": script_json(html, CONTACT_ID),
-        "linked": linked_objects(html),
-        "targets": advertising_targets(script_json(html, ADVERTISING_ID)),
-        "blocks": sql(headed_blocks(html)),
-        "grid": sql(label_value_pairs(html, GRID_PATTERN, 2, 3)),
-        "specs": sql(label_value_pairs(html, SPEC_PATTERN, 1, 2)),
-        "canonical": sql(attribute(first_match(html, open_tag("link", has_attribute("rel", "canonical"))), "href")),
-        "og_url": sql(attribute(first_match(html, open_tag("meta", has_attribute("property", "og:url"))), "content")),
+    html, low, keys = "html", "low", ["page_id", "url", "html", "low"]
+
+    def where(mark: str) -> str:
+        return holding(html, low, mark)
+
+    # Patterns ignore case, so a page whose lower case lacks a text of the pattern is not looked through for it.
+    lowered = pages.select("page_id", "url", "html", F.lower(html).alias(low))
+    sources = evaluated(lowered, keys, {
+        "has_root": F.expr(where(ROOT_ID)).rlike(ROOT_TAG),
+        "contact_json": script_json(where(CONTACT_ID), CONTACT_ID),
+        "linked": linked_objects(where("application/ld+json")),
+        "targets": advertising_targets(script_json(where(ADVERTISING_ID), ADVERTISING_ID)),
+        "blocks": sql(headed_blocks(where("<h2"))),
+        "grid": sql(label_value_pairs(where("s-text-subtle"), GRID_PATTERN, 2, 3)),
+        "specs": sql(label_value_pairs(where("<dt"), SPEC_PATTERN, 1, 2)),
+        "canonical": sql(attribute(first_match(where("canonical"), open_tag("link", has_attribute("rel", "canonical"))), "href")),
+        "og_url": sql(attribute(first_match(where("og:url"), open_tag("meta", has_attribute("property", "og:url"))), "content")),
     })
     found = evaluated(sources, sources.columns, {
-        "props": props_root(props_texts(html, "has_root"), "has_root"),
+        "props": props_root(props_texts(where("data-props"), "has_root"), "has_root"),
         "place": sql(once(
             first_match(block_under("blocks", PLACE_HEADING), r"(?is)<a\b(?=[^>]*\shref\s*=)[^>]*>.*?</a\s*>"), "a",
             f"struct({attribute('a', 'href')} AS href, {visible_text('a', '')} AS text)",
@@ -461,8 +470,8 @@ def parse_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     props = {**props_pack(outer, ad), "equipment": equipment_of(F.col("items"), outer, ad)}
     packs = {
         "data_props": props,
-        "jsonld": json_ld_pack(html, "linked"),
-        "dom": visible_pack(html, "blocks", "grid", "specs", "place"),
+        "jsonld": json_ld_pack(html, low, "linked"),
+        "dom": visible_pack(html, low, "blocks", "grid", "specs", "place"),
         "contact": contact_pack("contact_json"),
         "advertising": advertising_pack("targets"),
     }
