@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adlattice.functions.scalars import strip
 from adlattice.operators.lifecycle import merge_by_policy
+from adlattice.session import written
 
 
 def first_by_id(df: DataFrame, limit: int | None, key: str = "ad_id") -> DataFrame:
@@ -62,10 +63,10 @@ def replace_chunks(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     """Next chunk table: listings in ``new`` have all their chunks of that source replaced.
 
     A chunk whose (listing, source, order) existed keeps its ``created_at``; leftovers of an earlier,
-    longer text disappear.
+    longer text disappear. What was processed is a written table of known size, so Spark decides by it whether old chunks must be shuffled.
     """
     keys = ["ad_id", "chunk_source", "chunk_order"]
-    processed = new.select("ad_id", "chunk_source").distinct()
+    processed = written(new.select("ad_id", "chunk_source").distinct(), "processed-listings", "zstd")
     untouched = old.join(processed, ["ad_id", "chunk_source"], "left_anti")
     born = old.select(*keys, F.col("created_at").alias("__born"))
     fresh = (
@@ -85,12 +86,17 @@ def upsert_chunks(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
 
 
 def mark_processed(ads: DataFrame, processed: DataFrame, now: Column) -> DataFrame:
-    """Next master with ``has_embeddings`` and the processing time set for processed listings."""
-    done = processed.select("ad_id").distinct().withColumns(
-        {"has_embeddings": F.lit(True), "semantic_processed_at": now}
-    )
-    known = done.join(ads.select("ad_id"), "ad_id", "left_semi")
-    return merge_by_policy(ads, known, ["ad_id"], ["has_embeddings", "semantic_processed_at"])
+    """Next master with ``has_embeddings`` and the processing time set for processed listings.
+
+    Only flags change and no listing is added, so their ids, a written table of known size, are joined to the master; Spark decides by that size
+    whether descriptions must be shuffled.
+    """
+    done = written(processed.select("ad_id").distinct(), "done-listings", "zstd").withColumn("__done", F.lit(True))
+    marked = ads.join(done, "ad_id", "left").withColumns({
+        "has_embeddings": F.when(F.col("__done"), F.lit(True)).otherwise(F.col("has_embeddings")),
+        "semantic_processed_at": F.when(F.col("__done"), now).otherwise(F.col("semantic_processed_at")),
+    })
+    return marked.select(ads.columns)
 
 
 def changed_texts(ads: DataFrame, processed: DataFrame) -> DataFrame:
