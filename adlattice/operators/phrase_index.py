@@ -1,30 +1,74 @@
-"""Phrases of a lexicon of any size found in texts through an inverted index of character grams."""
+"""Phrases of a lexicon of any size found in texts through an inverted index of byte grams."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlattice.operators.scoring import ASPECTS, WEIGHT_UNIT, keyword_score
 from adlattice.session import written
 
-# Length of the grams under which phrases are filed, and of those for phrases shorter than it.
+# Bytes of the grams under which phrases are filed, and of those for phrases shorter than it.
 GRAM = 8
 SHORT_GRAM = 3
 
 
+# Bytes of text whose grams a task makes at once.
+TEXT_BYTES = 1 << 20
+
+
 def gram_size(phrase: Column) -> Column:
-    """Length of the grams of a phrase: its own length if it is shorter than a short gram."""
-    size = F.length(phrase)
+    """Bytes of the grams of a phrase: its own length if it is shorter than a short gram."""
+    size = F.octet_length(phrase)
     return F.when(size >= GRAM, F.lit(GRAM)).otherwise(F.least(size, F.lit(SHORT_GRAM)))
 
 
+def byte_grams(texts: pa.Array, sizes: list[int]) -> pa.Array:
+    """The runs of each size of the bytes of each text, as numbers; a run that occurs twice is given twice."""
+    if len(texts) == 0:
+        return pa.array([], pa.list_(pa.int64()))
+    texts = texts.cast(pa.string())
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    length = np.diff(ends)
+    counts = [np.maximum(length - n + 1, 0) for n in sizes]
+    offsets = np.concatenate([[0], np.cumsum(np.sum(counts, axis=0))])
+    out, at = np.empty(offsets[-1], np.int64), offsets[:-1].copy()
+    for n, count in zip(sizes, counts, strict=True):
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = np.repeat(ends[:-1], count) + nth
+        if n == 8 and len(start):
+            runs = np.ndarray((len(data) - 7,), "<i8", data, strides=(1,))[start]
+        else:
+            runs = sum((data[start + j].astype(np.int64) << (8 * j) for j in range(n)), np.zeros(len(start), np.int64))
+        out[np.repeat(at, count) + nth] = runs
+        at += count
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
+
+
 def grams(text: Column, sizes: list[int]) -> Column:
-    """Hashes of the distinct runs of each size in ``text``, in code points. Equal hashes of unequal runs do no harm."""
-    runs = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}})).")) for n in sizes]
-    return F.array_distinct(F.transform(reduce(lambda a, b: F.concat(a, b), runs), lambda run: F.xxhash64(run)))
+    """The runs of each size of the UTF-8 bytes of ``text``, at most eight, as numbers (not distinct); nothing for NULL.
+
+    A text that contains a phrase contains its bytes, so no characters are looked at.
+    """
+
+    @F.arrow_udf("array<bigint>")
+    def runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+            # Slices of whole texts, of about so many bytes.
+            edges = np.flatnonzero(np.diff(np.cumsum(size) // TEXT_BYTES, prepend=0))
+            for a, b in pairwise([0, *edges[edges > 0].tolist(), len(batch)]):
+                yield byte_grams(batch.slice(a, b - a), sizes)
+
+    return runs(text)
 
 
 def phrase_hits(texts: DataFrame, ids: list[str], text: str, phrases: DataFrame) -> DataFrame:
@@ -32,8 +76,9 @@ def phrase_hits(texts: DataFrame, ids: list[str], text: str, phrases: DataFrame)
 
     Each phrase is filed under the one of its grams that the fewest texts hold, so a text meets only phrases whose
     rarest gram it has, and only those are looked for. A phrase with a gram that no text has is found nowhere and leaves the join.
-    A gram of eight characters is mostly rarer than any word, so few texts are looked at in vain; shorter phrases have grams of
-    three, or of all they have. Empty and null phrases are found nowhere.
+    A gram of eight bytes is mostly rarer than any word, so few texts are looked at in vain; shorter phrases have grams of
+    three, or of all they have. Empty and null phrases are found nowhere. A text stays with its grams until its phrases are found, so where
+    the index is sent to the texts, only hits leave their task.
     """
     lowered = texts.select(*ids, F.lower(text).alias("__text"))
     asked = phrases.select(F.lower("phrase").alias("phrase")).where("phrase <> ''").distinct()
@@ -48,16 +93,17 @@ def phrase_hits(texts: DataFrame, ids: list[str], text: str, phrases: DataFrame)
     # there are too many, and what no phrase has is left out before anything is shuffled.
     filed = written(asked.select("phrase", F.explode(own_grams).alias("gram")), "filed-phrases")
     known = written(filed.select("gram").distinct(), "known-grams")
-    met = lowered.select(*ids, F.explode(grams(F.col("__text"), sizes)).alias("gram"))
-    # Counted where the texts are, so a task sends each of its grams once.
-    held = met.join(known, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
+    runs = lowered.select(*ids, "__text", grams(F.col("__text"), sizes).alias("__grams"))
+    # Counted where the texts are, so a task sends each of its grams once. How often a gram occurs is as good as in how many texts.
+    held = runs.select(F.explode("__grams").alias("gram")).join(known, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
     counted = filed.join(held, "gram", "left").groupBy("phrase").agg(
         F.min_by("gram", F.struct(F.coalesce("texts", F.lit(0)), "gram")).alias("gram"),
         F.min(F.coalesce("texts", F.lit(0))).alias("texts"))
     rarest = written(counted.where("texts > 0").drop("texts"), "rarest-grams")
     looked_for = written(rarest.select("gram").distinct(), "looked-for-grams")
-    candidates = met.join(looked_for, "gram", "left_semi").join(rarest, "gram").select(*ids, "phrase")
-    return candidates.join(lowered, ids).where(F.contains("__text", "phrase")).select(*ids, "phrase")
+    met = runs.select(*ids, "__text", F.explode(F.array_distinct("__grams")).alias("gram"))
+    candidates = met.join(looked_for, "gram", "left_semi").join(rarest, "gram")
+    return candidates.where(F.contains("__text", "phrase")).select(*ids, "phrase")
 
 
 def keyword_scores_of_table(chunks: DataFrame, key: str, phrases: DataFrame, text: str = "chunk_text",
