@@ -43,3 +43,15 @@ def test_other_keys_are_left_to_the_text_writer(spark, tmp_path):
     rows = spark.createDataFrame([("a/b", "x")], "page_id string, html string")
     write_html_files(rows, "page_id", f"file://{tmp_path}/out")
     assert layout(tmp_path / "out") == {"page_id=a%2Fb": b"x\n"}
+
+
+def test_a_task_reads_many_small_files(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(40 * cores).selectExpr("id AS page_id", "'x' AS html")
+    write_html_files(rows, "page_id", f"file://{tmp_path}/out")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        back = read_html_files(spark, f"file://{tmp_path}/out")
+        assert back.rdd.getNumPartitions() == 4 * cores and back.count() == 40 * cores
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
